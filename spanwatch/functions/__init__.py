@@ -14,8 +14,9 @@ from spanwatch.functions.calendar import (
 from spanwatch.functions.numeric import (
     at_or_above,
     document_float,
+    document_float_sql,
     has_quoted_reading,
-    resultant,
+    resultant_sql,
     strain_mm_per_m,
 )
 
@@ -25,12 +26,13 @@ __all__ = [
     "day_index",
     "day_label",
     "document_float",
+    "document_float_sql",
     "has_quoted_reading",
     "hours_since_midnight",
     "iso_week",
     "iso_year",
     "parse_iso",
-    "resultant",
+    "resultant_sql",
     "strain_mm_per_m",
     "week_label",
     "week_start",

@@ -1,4 +1,8 @@
-"""Number conversion and sensor arithmetic."""
+"""Number conversion and sensor arithmetic.
+
+Functions named ``*_sql`` return expression text. Tables with dozens of sensor
+columns are selected with such text, which the session parses in one call.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +19,7 @@ _NUMBER = rf"^\s*(?:{_DECIMAL}|[+-]?(?i:inf|infinity|nan))\s*$"
 _NAN = r"^\s*[+-]?(?i:nan)\s*$"
 
 
-def document_float(doc: Column, path: str, quoted: Column | None = None) -> Column:
+def document_float_sql(doc: str, path: str, quoted: str = "true") -> str:
     """Value at ``path`` of a variant as float; null unless it reads as a number.
 
     Numbers, booleans and numeric text convert. Text that only a JVM would take
@@ -23,17 +27,19 @@ def document_float(doc: Column, path: str, quoted: Column | None = None) -> Colu
     reading of the document may be text (see ``has_quoted_reading``); where it is
     false, the text rules are skipped.
     """
-    number = F.try_variant_get(doc, path, "double")
-    text = F.try_variant_get(doc, path, "string")
-    grouped = F.regexp_replace(text, "_", "").try_cast("double")
-    value = (
-        F.when(text.rlike(_NAN), F.lit(float("nan")))
-        .when(text.rlike(_NUMBER), F.coalesce(number, grouped))
-        .when(text.isin("true", "false"), number)
+    number = f"try_variant_get({doc}, '{path}', 'double')"
+    text = f"try_variant_get({doc}, '{path}', 'string')"
+    return (
+        f"cast(CASE WHEN NOT {quoted} THEN {number} "
+        f"WHEN {text} RLIKE r'{_NAN}' THEN double('NaN') "
+        f"WHEN {text} RLIKE r'{_NUMBER}' "
+        f"THEN coalesce({number}, try_cast(replace({text}, '_', '') AS double)) "
+        f"WHEN {text} IN ('true', 'false') THEN {number} END AS float)"
     )
-    if quoted is not None:
-        value = F.when(quoted, value).otherwise(number)
-    return value.cast("float")
+
+
+def document_float(doc: str, path: str) -> Column:
+    return F.expr(document_float_sql(doc, path))
 
 
 def has_quoted_reading(line: Column) -> Column:
@@ -41,9 +47,13 @@ def has_quoted_reading(line: Column) -> Column:
     return line.rlike(r'"[a-z]"\s*:\s*"|\\')
 
 
-def resultant(x: Column, y: Column, z: Column) -> Column:
-    """Length of the acceleration vector; null if any part is null."""
-    return F.sqrt(x * x + y * y + z * z)
+def resultant_sql(sensor: str) -> str:
+    """Length of a sensor's acceleration vector; null if any part is null.
+
+    The squares are formed in the precision of the columns and the root in double.
+    """
+    x, y, z = (f"{sensor}_{axis}" for axis in "xyz")
+    return f"sqrt({x} * {x} + {y} * {y} + {z} * {z})"
 
 
 def strain_mm_per_m(raw: Column) -> Column:

@@ -7,50 +7,44 @@ family is needed, and every line is parsed exactly once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.functions import document_float, has_quoted_reading, iso_week, iso_year, parse_iso
-from spanwatch.model import ACCELEROMETERS, AXES, HUB_SENSORS, HUBS, hub_of
+from spanwatch.functions import (
+    document_float_sql,
+    has_quoted_reading,
+    iso_week,
+    iso_year,
+    parse_iso,
+)
+from spanwatch.model import ACCELEROMETERS, HUB_SENSORS, HUBS, accel_columns, hub_of
 from spanwatch.sources.documents import emit_when, with_stamp
 
-OBJECT = "map<string,variant>"
-LIST = "array<variant>"
-
 
-def is_object(doc: Column, path: str) -> Column:
+def is_object_sql(path: str) -> str:
     """True if the key holds an object; false for a missing key, null or a scalar."""
-    return F.try_variant_get(doc, path, OBJECT).isNotNull()
+    return f"try_variant_get(doc, '{path}', 'map<string,variant>') IS NOT NULL"
 
 
-def accel_struct(doc: Column, quoted: Column | None = None) -> Column:
+def accel_sql() -> str:
     """All accelerometer values, one field per sensor and axis."""
-    return F.struct(
-        *[
-            document_float(doc, f"$.{a}.{axis}", quoted).alias(f"{a}_{axis}")
-            for a in ACCELEROMETERS
-            for axis in AXES
-        ]
-    )
+    fields = []
+    for column in accel_columns():
+        path = "$." + column.replace("_", ".")
+        fields.append(f"'{column}', {document_float_sql('doc', path, 'quoted')}")
+    return f"named_struct({', '.join(fields)})"
 
 
-def hub_struct(doc: Column, hub: str, quoted: Column | None = None) -> Column:
+def hub_sql(hub: str) -> str:
     """A hub's strain and temperature values; null if the document has none of its keys."""
-    sensors = HUB_SENSORS[hub]
-    present = F.lit(False)
-    for name in sensors["S"] + sensors["T"]:
-        present = present | is_object(doc, f"$.{name}")
-    values = [document_float(doc, f"$.{s}.s", quoted).alias(s) for s in sensors["S"]]
-    values += [document_float(doc, f"$.{t}.t", quoted).alias(t) for t in sensors["T"]]
-    return F.when(present, F.struct(*values))
-
-
-def float_list(items: Column, key: str) -> Column:
-    """``key`` of every list element as float; a bad element stays as null in its place."""
-    return F.coalesce(
-        F.transform(items, lambda item: document_float(item, f"$.{key}")),
-        F.array().cast("array<float>"),
-    )
+    keys = {name: "s" for name in HUB_SENSORS[hub]["S"]}
+    keys |= {name: "t" for name in HUB_SENSORS[hub]["T"]}
+    present = " OR ".join(is_object_sql(f"$.{name}") for name in keys)
+    fields = [
+        f"'{name}', {document_float_sql('doc', f'$.{name}.{key}', 'quoted')}"
+        for name, key in keys.items()
+    ]
+    return f"CASE WHEN {present} THEN named_struct({', '.join(fields)}) END"
 
 
 # Spectra as numbers. A document this schema does not fit exactly leaves nulls and
@@ -61,70 +55,74 @@ SPECTRA_SCHEMA = ", ".join(
 )
 
 
-def spectrum_struct(doc: Column, spectra: Column, sensor: str, quoted: Column) -> Column:
-    """A sensor's spectrum; null if ``fft`` is missing or empty."""
-    numbers = spectra[sensor]["fft"]["spectrum"]
-    regular = numbers.isNotNull() & F.forall(
-        numbers, lambda p: p["f"].isNotNull() & p["a"].isNotNull()
+def spectrum_sql(sensor: str) -> str:
+    """A sensor's spectrum; null if ``fft`` is missing or empty.
+
+    A bad list element stays as null in its place, so both lists keep one length.
+    """
+    numbers = f"spectra.{sensor}.fft.spectrum"
+    items = f"try_variant_get(doc, '$.{sensor}.fft.spectrum', 'array<variant>')"
+    fft = f"try_variant_get(doc, '$.{sensor}.fft', 'map<string,variant>')"
+    regular = (
+        f"{numbers} IS NOT NULL AND forall({numbers}, p -> p.f IS NOT NULL AND p.a IS NOT NULL)"
     )
-    items = F.try_variant_get(doc, f"$.{sensor}.fft.spectrum", LIST)
-
-    def values(key: str) -> Column:
-        return F.when(regular, numbers[key].cast("array<float>")).otherwise(float_list(items, key))
-
-    fft = F.try_variant_get(doc, f"$.{sensor}.fft", OBJECT)
-    filled = F.when(numbers.isNotNull(), F.lit(True)).otherwise(F.size(fft) > 0)
-    return F.when(
-        filled,
-        F.struct(
-            F.lit(hub_of(sensor)).alias("hub"),
-            F.lit(sensor).alias("sensor_id"),
-            document_float(doc, f"$.{sensor}.fft.main.f", quoted).alias("fft_main_f"),
-            document_float(doc, f"$.{sensor}.fft.main.a", quoted).alias("fft_main_a"),
-            values("f").alias("fft_freqs"),
-            values("a").alias("fft_amps"),
-        ),
+
+    def values(key: str) -> str:
+        one_by_one = f"transform({items}, item -> {document_float_sql('item', f'$.{key}')})"
+        return (
+            f"CASE WHEN {regular} THEN cast({numbers}.{key} AS array<float>) "
+            f"ELSE coalesce({one_by_one}, cast(array() AS array<float>)) END"
+        )
+
+    def main(key: str) -> str:
+        return document_float_sql("doc", f"$.{sensor}.fft.main.{key}", "quoted")
+
+    return (
+        f"CASE WHEN {numbers} IS NOT NULL OR size({fft}) > 0 THEN named_struct("
+        f"'hub', '{hub_of(sensor)}', 'sensor_id', '{sensor}', "
+        f"'fft_main_f', {main('f')}, 'fft_main_a', {main('a')}, "
+        f"'fft_freqs', {values('f')}, 'fft_amps', {values('a')}) END"
     )
 
 
+def spectra_sql() -> str:
+    return f"array_compact(array({', '.join(spectrum_sql(a) for a in ACCELEROMETERS)}))"
+
+
 FAMILIES = ["accel", *HUBS, "fft"]
 
 
+def _family_sql(family: str) -> str:
+    if family == "accel":
+        return accel_sql()
+    return spectra_sql() if family == "fft" else hub_sql(family)
+
+
 def parse_documents(documents: DataFrame, families: list[str] | None = None) -> DataFrame:
     """One typed row per document that states a time.
 
     Columns: ``datetime`` (null if its text cannot be read), ``stamp``, the ISO year
     and week of the date written in the text, ``accel``, one struct per hub and
     ``fft``, the list of spectra present. The week is the written one, so an offset
-    never moves a document into another week. A line that is not
-    JSON gives a row with null ``stamp`` and the line in ``broken``. ``families``
-    restricts the value columns to the ones needed.
+    never moves a document into another week. A line that is not JSON gives a row
+    with null ``stamp`` and the line in ``broken``. ``families`` restricts the value
+    columns to the ones needed.
     """
     families = FAMILIES if families is None else families
-    doc, quoted = F.col("doc"), F.col("quoted")
-    broken = doc.isNull() & (F.trim("value") != "")
-    stated = F.col("stamp").isNotNull() & (F.col("stamp") != "")
+    broken = F.expr("doc IS NULL AND trim(value) <> ''")
     written = F.substring("stamp", 1, 10).try_cast("date")
-    values = {
-        "accel": accel_struct(doc, quoted),
-        **{hub: hub_struct(doc, hub, quoted) for hub in HUBS},
-        "fft": F.array_compact(
-            F.array(
-                *[spectrum_struct(doc, F.col("spectra"), a, quoted) for a in ACCELEROMETERS]
-            )
-        ),
-    }
     row = F.struct(
         parse_iso("stamp").alias("datetime"),
         F.col("stamp"),
         iso_year(written).alias("iso_year"),
         iso_week(written).alias("iso_week"),
-        *[values[name].alias(name) for name in families],
+        *[F.expr(_family_sql(name)).alias(name) for name in families],
         F.when(broken, F.col("value")).alias("broken"),
     )
     stamped = with_stamp(documents).withColumn("quoted", has_quoted_reading(F.col("value")))
     if "fft" in families:
         stamped = stamped.withColumn("spectra", F.from_json("value", SPECTRA_SCHEMA))
+    stated = F.expr("stamp IS NOT NULL AND stamp <> ''")
     typed = stamped.select((stated | broken).alias("keep"), row.alias("row"))
     return emit_when(typed, F.col("keep"), F.col("row")).select("row.*")
 

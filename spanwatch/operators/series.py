@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.functions import bin_start, day_label, hours_since_midnight, resultant, strain_mm_per_m
+from spanwatch.functions import (
+    bin_start,
+    day_label,
+    hours_since_midnight,
+    resultant_sql,
+    strain_mm_per_m,
+)
 from spanwatch.model import ACCELEROMETERS, GAUGES, HUB_SENSORS, HUBS, THERMOMETERS, hub_of
 from spanwatch.operators.medians import exact_median
 from spanwatch.operators.registry import gauge_series, registry, with_sensor
@@ -102,6 +108,12 @@ def check_accelerometers(frame: DataFrame, sensors: list[str]) -> None:
         raise ValueError(f"columns not in the acceleration table: {missing}")
 
 
+def spread_sql(column: str) -> str:
+    return (
+        f"named_struct('v_avg', avg({column}), 'v_min', min({column}), 'v_max', max({column}))"
+    )
+
+
 def accel_minute(
     accel: DataFrame, sensors: list[str] = ACCELEROMETERS, window: Window | None = None
 ) -> DataFrame:
@@ -112,20 +124,11 @@ def accel_minute(
     """
     check_accelerometers(accel, sensors)
     frame = accel if window is None else within(accel, window)
-    minute = bin_start("datetime", 1).alias("minute")
     lengths = frame.select(
-        minute,
-        *[
-            resultant(F.col(f"{s}_x"), F.col(f"{s}_y"), F.col(f"{s}_z")).alias(s)
-            for s in sensors
-        ],
-    )
-    reduced = lengths.groupBy("minute").agg(
-        *[
-            F.struct(F.avg(s).alias("v_avg"), F.min(s).alias("v_min"), F.max(s).alias("v_max")).alias(s)
-            for s in sensors
-        ]
+        bin_start("datetime", 1).alias("minute"),
+        *[F.expr(resultant_sql(s)).alias(s) for s in sensors],
     )
+    reduced = lengths.groupBy("minute").agg(*[F.expr(spread_sql(s)).alias(s) for s in sensors])
     rows = reduced.unpivot(["minute"], sensors, "sensor_id", "v")
     return rows.select("sensor_id", "minute", "v.v_avg", "v.v_min", "v.v_max")
 

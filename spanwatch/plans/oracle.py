@@ -293,23 +293,23 @@ def _backfill() -> str:
     for t in THERMOMETERS:
         chart = "temps_col" if hub_of(t) == "hub1" else "temps_arch"
         parts.append(
-            f"SELECT '{chart}' AS chart, '{t}' AS sensor_id, {hour} AS at, avg({t}) AS low, avg({t}) AS high "
-            f"FROM sst_{hub_of(t)} GROUP BY at"
+            f"SELECT '{chart}' AS chart, '{t}' AS sensor_id, {hour} AS bucket, avg({t}) AS low, avg({t}) AS high "
+            f"FROM sst_{hub_of(t)} GROUP BY bucket"
         )
     for g in GAUGES:
         eps = f"CAST(CAST(median({g}) AS FLOAT) AS DOUBLE) * CAST(3.11e-9 AS DOUBLE) * 1000"
         parts.append(
-            f"SELECT 'strain_temp', '{g}', {hour} AS at, {eps}, {eps} FROM sst_{hub_of(g)} GROUP BY at"
+            f"SELECT 'strain_temp', '{g}', {hour} AS bucket, {eps}, {eps} FROM sst_{hub_of(g)} GROUP BY bucket"
         )
     for a in ACCELEROMETERS:
         parts.append(
-            f"SELECT 'daily_v_grid', '{a}', date_trunc('minute', datetime) AS at, min({_length(a)}), "
-            f"max({_length(a)}) FROM accel_all GROUP BY at"
+            f"SELECT 'daily_v_grid', '{a}', date_trunc('minute', datetime) AS bucket, min({_length(a)}), "
+            f"max({_length(a)}) FROM accel_all GROUP BY bucket"
         )
     source = f"(SELECT *, {_week('datetime')} FROM ({_fft_all()}))"
     return f"""{_with(*TABLE_KEYS).rstrip()}, series AS ({_union_all(parts)}),
 {_kde(["iso_year", "iso_week", "sensor_id"], source).rstrip()}
-SELECT {_week('at')}, chart, sensor_id, count(low) AS n_points, round(min(low), 6) AS value_min,
+SELECT {_week('bucket')}, chart, sensor_id, count(low) AS n_points, round(min(low), 6) AS value_min,
        round(max(high), 6) AS value_max, CAST(NULL AS DOUBLE) AS f_peak
 FROM series GROUP BY ALL HAVING count(low) > 0
 UNION ALL

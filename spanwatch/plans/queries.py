@@ -19,6 +19,9 @@ from spanwatch.session import scratch_path
 from spanwatch.sources import documents, store
 
 DIGITS = 6
+SST = [f"sst_{hub}" for hub in HUBS]
+FFT = [f"fft_{hub}" for hub in HUBS]
+ARCH = SST[1:]
 GIVEN = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -180,7 +183,7 @@ def safe_float(spark, sf_dir):
         "event_id",
         F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "variant").alias("doc"),
     )
-    return rows.select("event_id", fn.document_float(F.col("doc"), "$.v").alias("reading"))
+    return rows.select("event_id", fn.document_float("doc", "$.v").alias("reading"))
 
 
 @query
@@ -220,12 +223,11 @@ def last_7_days(spark, sf_dir):
 
 @query
 def last_7_days_multi(spark, sf_dir):
-    hubs = ["hub2", "hub3", "hub4"]
-    frames = {hub: standin.sst(spark, sf_dir, hub) for hub in hubs}
+    frames = standin.tables(spark, sf_dir, ARCH)
     window = timewindow.time_window(list(frames.values()))
     kept = [
-        timewindow.within(f, window).select(F.lit(hub).alias("hub"), "datetime")
-        for hub, f in frames.items()
+        timewindow.within(f, window).select(F.lit(key[4:]).alias("hub"), "datetime")
+        for key, f in frames.items()
     ]
     return store.union_by_name(*kept)
 
@@ -268,13 +270,13 @@ def week_spine(spark, sf_dir):
 
 @query
 def temps_col(spark, sf_dir):
-    means = series.temps_col(standin.tables(spark, sf_dir))
+    means = series.temps_col(standin.tables(spark, sf_dir, ["sst_hub1"]))
     return rounded(means, "T4", "T5", "T6").orderBy("bin_start")
 
 
 @query
 def temps_col_bins(spark, sf_dir):
-    tables = standin.tables(spark, sf_dir)
+    tables = standin.tables(spark, sf_dir, ["sst_hub1"])
     window = timewindow.full_window(tables["sst_hub1"])
     means = series.temps_col(tables, minutes=15, window=window)
     return rounded(means, "T4", "T5", "T6").orderBy("bin_start")
@@ -282,26 +284,26 @@ def temps_col_bins(spark, sf_dir):
 
 @query
 def temps_arch(spark, sf_dir):
-    means = series.temps_arch(standin.tables(spark, sf_dir))
+    means = series.temps_arch(standin.tables(spark, sf_dir, ARCH))
     return rounded(means, "T1", "T2", "T3").orderBy("bin_start")
 
 
 @query
 def temps_arch_bins(spark, sf_dir):
-    tables = standin.tables(spark, sf_dir)
-    window = timewindow.full_window([tables[f"sst_hub{i}"] for i in (2, 3, 4)])
+    tables = standin.tables(spark, sf_dir, ARCH)
+    window = timewindow.full_window(list(tables.values()))
     means = series.temps_arch(tables, minutes=20, window=window)
     return rounded(means, "T1", "T2", "T3").orderBy("bin_start")
 
 
 @query
 def strain_temp(spark, sf_dir):
-    return series.strain_temp(standin.tables(spark, sf_dir)).orderBy("sensor_id", "bin_start")
+    return series.strain_temp(standin.tables(spark, sf_dir, SST)).orderBy("sensor_id", "bin_start")
 
 
 @query
 def strain_temp_bins(spark, sf_dir):
-    medians = series.strain_temp(standin.tables(spark, sf_dir), minutes=20)
+    medians = series.strain_temp(standin.tables(spark, sf_dir, SST), minutes=20)
     return medians.orderBy("sensor_id", "bin_start")
 
 
@@ -340,7 +342,7 @@ def accel_day_range(spark, sf_dir):
 
 
 def _fft(spark, sf_dir):
-    return spectrum.fft_union(standin.tables(spark, sf_dir))
+    return spectrum.fft_union(standin.tables(spark, sf_dir, FFT))
 
 
 @query

@@ -16,123 +16,138 @@ used. ``plans/oracle.py`` states the same derivation in SQL.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.model import ACCELEROMETERS, GAUGES, HUB_SENSORS, HUBS, THERMOMETERS, sst_columns
+from spanwatch.model import (
+    ACCELEROMETERS,
+    GAUGES,
+    HUB_SENSORS,
+    HUBS,
+    TABLE_KEYS,
+    accel_columns,
+    sst_columns,
+)
 
 ABSENT_HUB = {"hub3": "view"}
 ABSENT_ACCELEROMETER = {"A32": "click"}
 
 
+@lru_cache(maxsize=64)
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the file once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = read(spark, sf_dir, "events")
-    return frame.select(
+    return read(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.col("ts").alias("datetime"),
+        "ts AS datetime",
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        "cast(get_json_object(props, '$.k') AS int) AS k",
     )
 
 
-def reading(sensor: str) -> Column:
+def reading(sensor: str) -> str:
     """Value of a gauge or thermometer, in double."""
     number = int(sensor[1:])
-    kind = F.col("event_type")
     if sensor in GAUGES:
-        return F.when(kind != "error", F.col("value") * number + F.col("k"))
-    value = F.col("k") / F.lit(2.0) - number
-    return value if number % 2 else F.when(kind != "purchase", value)
+        return f"CASE WHEN event_type <> 'error' THEN value * {number} + k END"
+    value = f"k / 2D - {number}"
+    return value if number % 2 else f"CASE WHEN event_type <> 'purchase' THEN {value} END"
 
 
-def axis(sensor: str, name: str) -> Column:
+def axis(sensor: str, name: str) -> str:
     """Value of one accelerometer axis, in double."""
     number = int(sensor[1:])
     value = {
-        "t": F.col("k").cast("double"),
-        "x": F.col("value") / (100 + number),
-        "y": F.col("k") / F.lit(50.0),
-        "z": F.lit((number - 29) / 4),
+        "t": "cast(k AS double)",
+        "x": f"value / {100 + number}",
+        "y": "k / 50D",
+        "z": f"{(number - 29) / 4}D",
     }[name]
     absent = ABSENT_ACCELEROMETER.get(sensor)
-    return value if absent is None else F.when(F.col("event_type") != absent, value)
+    return value if absent is None else f"CASE WHEN event_type <> '{absent}' THEN {value} END"
 
 
 def sst(spark: SparkSession, sf_dir: str, hub: str) -> DataFrame:
     frame = events(spark, sf_dir)
     if hub in ABSENT_HUB:
         frame = frame.where(F.col("event_type") != ABSENT_HUB[hub])
-    return frame.select("datetime", *[reading(c).cast("float").alias(c) for c in sst_columns(hub)])
+    return frame.selectExpr(
+        "datetime", *[f"cast({reading(c)} AS float) AS {c}" for c in sst_columns(hub)]
+    )
 
 
 def accel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
-        "datetime",
-        *[axis(a, n).cast("float").alias(f"{a}_{n}") for a in ACCELEROMETERS for n in "txyz"],
+    return events(spark, sf_dir).selectExpr(
+        "datetime", *[f"cast({axis(*c.split('_'))} AS float) AS {c}" for c in accel_columns()]
     )
 
 
 def _spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = read(spark, sf_dir, "embeddings")
-    names = F.array(*[F.lit(a) for a in ACCELEROMETERS])
-    origin = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    return frame.select(
-        (origin + F.make_dt_interval(hours=F.col("vec_id").cast("int"))).alias("datetime"),
-        F.get(names, F.pmod("label", F.lit(len(ACCELEROMETERS)))).alias("sensor_id"),
-        (F.col("label") + F.lit(0.5)).alias("main_f"),
-        F.get("embedding", F.lit(0)).alias("main_a"),
-        F.transform("embedding", lambda _, i: i * F.lit(0.5).cast("double")).alias("freqs"),
-        F.col("embedding").alias("amps"),
+    names = ", ".join(f"'{a}'" for a in ACCELEROMETERS)
+    return read(spark, sf_dir, "embeddings").selectExpr(
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(vec_id AS int)) AS datetime",
+        f"get(array({names}), pmod(label, {len(ACCELEROMETERS)})) AS sensor_id",
+        "label + 0.5D AS main_f",
+        "get(embedding, 0) AS main_a",
+        "transform(embedding, (x, i) -> i * 0.5D) AS freqs",
+        "embedding AS amps",
     )
 
 
 def fft(spark: SparkSession, sf_dir: str, hub: str) -> DataFrame:
     frame = _spectra(spark, sf_dir).where(F.col("sensor_id").isin(HUB_SENSORS[hub]["A"]))
-    return frame.select(
+    return frame.selectExpr(
         "datetime",
         "sensor_id",
-        F.col("main_f").cast("float").alias("fft_main_f"),
-        F.col("main_a").cast("float").alias("fft_main_a"),
-        F.col("freqs").cast("array<float>").alias("fft_freqs"),
-        F.col("amps").cast("array<float>").alias("fft_amps"),
+        "cast(main_f AS float) AS fft_main_f",
+        "cast(main_a AS float) AS fft_main_a",
+        "cast(freqs AS array<float>) AS fft_freqs",
+        "cast(amps AS array<float>) AS fft_amps",
     )
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    result = {"accel_all": accel(spark, sf_dir)}
-    for hub in HUBS:
-        result[f"fft_{hub}"] = fft(spark, sf_dir, hub)
-    for hub in HUBS:
-        result[f"sst_{hub}"] = sst(spark, sf_dir, hub)
-    return result
+def table(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    if key == "accel_all":
+        return accel(spark, sf_dir)
+    family, hub = key.split("_")
+    return fft(spark, sf_dir, hub) if family == "fft" else sst(spark, sf_dir, hub)
+
+
+def tables(spark: SparkSession, sf_dir: str, keys: list[str] = TABLE_KEYS) -> dict[str, DataFrame]:
+    return {key: table(spark, sf_dir, key) for key in keys}
 
 
 def iso_text(stamp: Column) -> Column:
     return F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+def _unless(event_type: str | None, body: str) -> str:
+    if event_type is None:
+        return body
+    return f"CASE WHEN event_type <> '{event_type}' THEN {body} END"
+
+
 def reading_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON document per event, with all gauges, thermometers and accelerometers."""
-    present = {
-        s: F.col("event_type") != ABSENT_HUB[hub] if hub in ABSENT_HUB else F.lit(True)
-        for hub in HUBS
-        for s in sst_columns(hub)
-    }
-    fields = [F.struct(iso_text(F.col("datetime")).alias("datetime")).alias("time")]
+    fields = []
     for a in ACCELEROMETERS:
-        body = F.struct(*[axis(a, n).alias(n) for n in "txyz"])
-        absent = ABSENT_ACCELEROMETER.get(a)
-        fields.append((body if absent is None else F.when(F.col("event_type") != absent, body)).alias(a))
-    for s in GAUGES + THERMOMETERS:
-        key = "s" if s in GAUGES else "t"
-        body = F.struct(reading(s).alias(key))
-        fields.append(F.when(present[s], body).alias(s))
-    return events(spark, sf_dir).select(F.to_json(F.struct(*fields)).alias("value"))
+        body = ", ".join(f"'{n}', {axis(a, n)}" for n in "txyz")
+        fields.append(f"'{a}', {_unless(ABSENT_ACCELEROMETER.get(a), f'named_struct({body})')}")
+    for hub in HUBS:
+        for s in sst_columns(hub):
+            key = "s" if s in GAUGES else "t"
+            body = f"named_struct('{key}', {reading(s)})"
+            fields.append(f"'{s}', {_unless(ABSENT_HUB.get(hub), body)}")
+    stamped = events(spark, sf_dir).withColumn("stamp", iso_text(F.col("datetime")))
+    return stamped.selectExpr(
+        f"to_json(named_struct('time', named_struct('datetime', stamp), {', '.join(fields)})) AS value"
+    )
 
 
 def spectrum_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +204,8 @@ def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def versions(spark: SparkSession, sf_dir: str, hub: str = "hub2") -> tuple[DataFrame, DataFrame]:
     """An old and a new version of one hub's table, which each lack one kind of event."""
-    columns = [reading(c).cast("float").alias(c) for c in sst_columns(hub)]
+    columns = [f"cast({reading(c)} AS float) AS {c}" for c in sst_columns(hub)]
     rows = events(spark, sf_dir)
-    old = rows.where(F.col("event_type") != "signup").select("datetime", *columns)
-    new = rows.where(F.col("event_type") != "view").select("datetime", *columns)
+    old = rows.where(F.col("event_type") != "signup").selectExpr("datetime", *columns)
+    new = rows.where(F.col("event_type") != "view").selectExpr("datetime", *columns)
     return old, new

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spanwatch.functions import resultant
+from spanwatch.functions import resultant_sql
 from spanwatch.model import ACCELEROMETERS
-from spanwatch.operators.series import check_accelerometers
+from spanwatch.operators.series import check_accelerometers, spread_sql
 
 
 def _binned(stream: DataFrame, minutes: int, delay: str):
@@ -39,19 +39,8 @@ def stream_accel_minute(
 ) -> DataFrame:
     """Mean, least and greatest resultant per sensor and minute."""
     check_accelerometers(stream, sensors)
-    lengths = stream.select(
-        "datetime",
-        *[
-            resultant(F.col(f"{s}_x"), F.col(f"{s}_y"), F.col(f"{s}_z")).alias(s)
-            for s in sensors
-        ],
-    )
-    reduced = _binned(lengths, 1, delay).agg(
-        *[
-            F.struct(F.avg(s).alias("v_avg"), F.min(s).alias("v_min"), F.max(s).alias("v_max")).alias(s)
-            for s in sensors
-        ]
-    )
+    lengths = stream.select("datetime", *[F.expr(resultant_sql(s)).alias(s) for s in sensors])
+    reduced = _binned(lengths, 1, delay).agg(*[F.expr(spread_sql(s)).alias(s) for s in sensors])
     minute = F.col("window.start").cast("timestamp_ntz").alias("minute")
     rows = reduced.select(minute, *sensors).unpivot(["minute"], sensors, "sensor_id", "v")
     return rows.select("sensor_id", "minute", "v.v_avg", "v.v_min", "v.v_max")
