@@ -17,7 +17,14 @@ from spanwatch.functions import (
     iso_year,
     parse_iso,
 )
-from spanwatch.model import ACCELEROMETERS, HUB_SENSORS, HUBS, accel_columns, hub_of
+from spanwatch.model import (
+    ACCELEROMETERS,
+    HUB_SENSORS,
+    HUBS,
+    TABLE_KEYS,
+    accel_columns,
+    hub_of,
+)
 from spanwatch.sources.documents import emit_when, with_stamp
 
 
@@ -155,16 +162,20 @@ def fft_rows(parsed: DataFrame, keep: list[str] = []) -> DataFrame:
     return _timed(parsed, [*keep, "fft"]).select("datetime", *keep, F.inline("fft"))
 
 
-def flatten(documents: DataFrame) -> dict[str, DataFrame]:
-    """The nine weekly tables of a set of documents, by table key.
+def flatten(documents: DataFrame, keys: list[str] = TABLE_KEYS) -> dict[str, DataFrame]:
+    """Weekly tables of a set of documents, by table key.
 
     Each table reads the lines by itself and extracts only its own columns; see
     ``spanwatch.plans.ingest`` for writing all of them after a single parse.
     """
-    tables = {"accel_all": accel_rows(parse_documents(documents, ["accel"]))}
-    spectra = fft_rows(parse_documents(documents, ["fft"]))
-    for hub in HUBS:
-        tables[f"fft_{hub}"] = spectra.where(F.col("hub") == hub).drop("hub")
+    tables = {}
+    if "accel_all" in keys:
+        tables["accel_all"] = accel_rows(parse_documents(documents, ["accel"]))
+    if any(key.startswith("fft_") for key in keys):
+        spectra = fft_rows(parse_documents(documents, ["fft"]))
     for hub in HUBS:
-        tables[f"sst_{hub}"] = sst_rows(parse_documents(documents, [hub]), hub)
-    return tables
+        if f"fft_{hub}" in keys:
+            tables[f"fft_{hub}"] = spectra.where(F.col("hub") == hub).drop("hub")
+        if f"sst_{hub}" in keys:
+            tables[f"sst_{hub}"] = sst_rows(parse_documents(documents, [hub]), hub)
+    return {key: tables[key] for key in keys}

@@ -36,35 +36,42 @@ def exact_median(rows: DataFrame, keys: list[str], value: str, name: str = "medi
     No step holds more of a group than the limits stated above, however many rows
     the group has.
     """
-    rows = rows.select(*keys, F.col(value).cast("float").alias("v"))
-    counted = rows.groupBy(*keys, "v").agg(F.count("v").alias("n"))
-    counted = counted.withColumn("c", coarse_class(F.col("v")))
+    rows = rows.select(*keys, F.col(value).cast("float").alias("_v"))
+    counted = rows.groupBy(*keys, "_v").agg(F.count("_v").alias("_n"))
+    counted = counted.withColumn("_class", coarse_class(F.col("_v")))
 
-    classes = counted.groupBy(*keys, "c").agg(F.sum("n").alias("n"))
-    upto = F.sum("n").over(W.partitionBy(*keys).orderBy("c"))
-    total = F.sum("n").over(W.partitionBy(*keys))
-    classes = classes.select(*keys, "c", "n", upto.alias("upto"), total.alias("total"))
-    lower, upper = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
+    classes = counted.groupBy(*keys, "_class").agg(F.sum("_n").alias("_n"))
+    classes = classes.select(
+        *keys,
+        "_class",
+        "_n",
+        F.sum("_n").over(W.partitionBy(*keys).orderBy("_class")).alias("_upto"),
+        F.sum("_n").over(W.partitionBy(*keys)).alias("_total"),
+    )
+    before = F.col("_upto") - F.col("_n")
+    total = F.col("_total")
+    lower, upper = F.floor((total + 1) / 2), F.floor(total / 2) + 1
 
     def holds(rank: Column) -> Column:
-        return (F.col("upto") - F.col("n") < rank) & (rank <= F.col("upto"))
+        return (before < rank) & (rank <= F.col("_upto"))
 
-    middle = classes.where(holds(lower) | holds(upper) | (F.col("total") == 0)).select(
-        *keys,
-        "c",
-        (lower - (F.col("upto") - F.col("n"))).alias("lower"),
-        (upper - (F.col("upto") - F.col("n"))).alias("upper"),
+    middle = classes.where(holds(lower) | holds(upper) | (total == 0)).select(
+        *keys, "_class", (lower - before).alias("_lower"), (upper - before).alias("_upper")
     )
 
     inside = (
         counted.alias("l")
-        .join(middle.alias("r"), _same("l", "r", [*keys, "c"]))
-        .select("l.*", "r.lower", "r.upper")
+        .join(middle.alias("r"), _same("l", "r", [*keys, "_class"]))
+        .select("l.*", "r._lower", "r._upper")
     )
-    ranked = inside.withColumn("upto", F.sum("n").over(W.partitionBy(*keys, "c").orderBy("v")))
-    found = ranked.groupBy(*keys).agg(
-        F.max(F.when(holds(F.col("lower")), F.col("v"))).alias("a"),
-        F.max(F.when(holds(F.col("upper")), F.col("v"))).alias("b"),
+    upto = F.sum("_n").over(W.partitionBy(*keys, "_class").orderBy("_v"))
+    found = (
+        inside.withColumn("_upto", upto)
+        .groupBy(*keys)
+        .agg(
+            F.max(F.when(holds(F.col("_lower")), F.col("_v"))).alias("_a"),
+            F.max(F.when(holds(F.col("_upper")), F.col("_v"))).alias("_b"),
+        )
     )
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+    a, b = F.col("_a").cast("double"), F.col("_b").cast("double")
     return found.select(*keys, ((a + b) / 2).cast("float").alias(name))

@@ -134,12 +134,13 @@ def describe_tables(spark, sf_dir):
 
 @query
 def flatten_accel(spark, sf_dir):
-    return flatten.flatten(standin.reading_documents(spark, sf_dir))["accel_all"]
+    lines = standin.reading_documents(spark, sf_dir)
+    return flatten.flatten(lines, ["accel_all"])["accel_all"]
 
 
 @query
 def flatten_sst(spark, sf_dir):
-    tables = flatten.flatten(standin.reading_documents(spark, sf_dir))
+    tables = flatten.flatten(standin.reading_documents(spark, sf_dir), SST)
     return store.union_by_name(
         *[tables[f"sst_{hub}"].withColumn("hub", F.lit(hub)) for hub in HUBS]
     )
@@ -147,7 +148,8 @@ def flatten_sst(spark, sf_dir):
 
 @query
 def flatten_fft(spark, sf_dir):
-    spectra = spectrum.fft_union(flatten.flatten(standin.spectrum_documents(spark, sf_dir)))
+    lines = standin.spectrum_documents(spark, sf_dir)
+    spectra = spectrum.fft_union(flatten.flatten(lines, FFT))
     return spectra.select(
         "datetime",
         "hub",
