@@ -1,0 +1,159 @@
+from datetime import date, timedelta
+
+import pytest
+from helpers import at, rows, table, tables
+
+from spanwatch.operators.registry import gauge_series, registry, with_sensor
+from spanwatch.operators.series import (
+    accel_daily_grid,
+    accel_day_range,
+    accel_minute,
+    strain_temp,
+    temps_arch,
+    temps_col,
+)
+from spanwatch.operators.timewindow import (
+    full_window,
+    last_days,
+    range_filter,
+    time_bounds,
+    time_bounds_multi,
+    time_window,
+    within,
+    within_week,
+)
+
+
+def test_registry(spark):
+    sensors = registry(spark)
+    assert sensors.count() == 35
+    pairs = dict(rows(sensors.where("kind = 'S'").select("sensor_id", "temp_sensor_id")))
+    assert len(pairs) == 23
+    assert [pairs[s] for s in ("S27", "S28", "S29", "S7", "S18", "S26")] == ["T4", "T5", "T6", "T1", "T2", "T3"]
+    got = with_sensor(spark.sql("SELECT 'S7' AS sensor_id UNION ALL SELECT 'X1'"), sensors, ["label"])
+    assert rows(got, "sensor_id") == [("S7", "Arch, Section 1 – Top"), ("X1", "X1")]
+    with pytest.raises(ValueError):
+        gauge_series(spark, ["T1"])
+
+
+def test_windows(spark):
+    frame = table(
+        spark,
+        "sst_hub1",
+        [{"datetime": at(t)} for t in ("2025-12-01", "2025-12-03", "2025-12-10")],
+    )
+    earlier = table(spark, "sst_hub2", [{"datetime": at("2025-11-30")}])
+    empty = table(spark, "sst_hub3", [])
+
+    def days(f):
+        return [r[0].day for r in rows(f.select("datetime"), "datetime")]
+
+    assert days(last_days(frame)) == [3, 10]
+    assert days(within(frame, time_window(frame, end="2025-12-08"))) == [1, 3]
+    assert days(within(frame, time_window(frame, start="2025-12-02"))) == [3, 10]
+    assert days(within(earlier, time_window([earlier, frame, empty], start="2025-11-01"))) == [30]
+    assert days(within(earlier, time_window([earlier, frame, empty]))) == []
+    assert days(within(earlier, full_window([earlier, frame, empty]))) == [30]
+    assert days(range_filter(frame, "2025-12-01", "2025-12-03")) == [1, 3]
+    assert days(within_week(frame, 2025, 49)) == [1, 3]
+    assert days(last_days(empty)) == []
+    bounds = time_bounds({"a": frame, "b": empty})
+    assert rows(bounds, "table_key") == [("a", at("2025-12-01"), at("2025-12-10")), ("b", None, None)]
+    assert rows(time_bounds_multi([empty, frame, earlier])) == [(at("2025-11-30"), at("2025-12-10"))]
+
+
+def test_temps_col_means_per_hour(spark, zone):
+    data = [
+        {"datetime": at("2025-03-09T02:10"), "T4": 1.0, "T5": 2.0},
+        {"datetime": at("2025-03-09T02:50"), "T4": 3.0},
+        {"datetime": at("2025-03-09T03:00"), "T4": 5.0},
+        {"datetime": at("2025-03-01T00:00"), "T4": 99.0},
+    ]
+    got = temps_col(tables(spark, sst_hub1=data))
+    assert rows(got, "bin_start") == [
+        (at("2025-03-09T02:00"), 60, 2.0, 2.0, None),
+        (at("2025-03-09T03:00"), 60, 5.0, None, None),
+    ]
+
+
+def test_temps_arch_share_one_axis_and_window(spark):
+    data = {
+        "sst_hub2": [{"datetime": at("2025-12-01T00:05"), "T1": 1.0}, {"datetime": at("2025-12-01T00:25"), "T1": 2.0}],
+        "sst_hub3": [{"datetime": at("2025-12-01T00:08"), "T2": 3.0}],
+        "sst_hub4": [{"datetime": at("2025-12-08T00:07"), "T3": 4.0}],
+    }
+    got = temps_arch(tables(spark, **data), minutes=15)
+    assert rows(got, "bin_start") == [
+        (at("2025-12-01T00:00"), 15, None, 3.0, None),
+        (at("2025-12-01T00:15"), 15, 2.0, None, None),
+        (at("2025-12-08T00:00"), 15, None, None, 4.0),
+    ]
+
+
+def test_strain_beside_temperature(spark):
+    hub2 = [
+        {"datetime": at("2025-12-01T00:05"), "S7": 1000.0, "S8": 5.0, "T1": 4.0},
+        {"datetime": at("2025-12-01T00:15"), "S7": 3000.0, "T1": 6.0},
+        {"datetime": at("2025-12-01T00:25"), "S7": 8000.0, "T1": None},
+    ]
+    hub1 = [{"datetime": at("2025-12-05T01:00"), "S28": 10.0, "T4": 1.0, "T5": 2.0}]
+    got = strain_temp(tables(spark, sst_hub1=hub1, sst_hub2=hub2))
+    by = {(r.sensor_id, r.bin_start): r for r in got.collect()}
+    assert len(by) == 3 + 8
+    s7 = by["S7", at("2025-12-01T00:00")]
+    assert (s7.label, s7.temp_sensor_id, s7.strain_raw, s7.temp) == ("Arch, Section 1 – Top", "T1", 3000.0, 5.0)
+    assert s7.epsilon_mm == pytest.approx(3000 * 3.11e-9 * 1000)
+    s8 = by["S8", at("2025-12-01T00:00")]
+    assert (s8.strain_raw, s8.temp) == (5.0, 5.0)
+    s9 = by["S9", at("2025-12-01T00:00")]
+    assert (s9.strain_raw, s9.epsilon_mm, s9.temp) == (None, None, 5.0)
+    assert by["S28", at("2025-12-05T01:00")].temp == 2.0
+    one = strain_temp(tables(spark, sst_hub2=hub2), ["S7"], minutes=15)
+    assert [(r[0], r[5], r[7]) for r in rows(one, "bin_start")] == [("S7", 1000.0, 4.0), ("S7", 5500.0, 6.0)]
+
+
+def accel(spark, *records):
+    return table(spark, "accel_all", [dict(zip(("datetime", "A30_x", "A30_y", "A30_z"), (at(r[0]), *r[1:]))) for r in records])
+
+
+def test_minute_resultants(spark):
+    frame = accel(spark, ("2025-12-01T00:00:10", 3.0, 4.0, 0.0), ("2025-12-01T00:00:50", 0.0, 0.0, 1.0), ("2025-12-01T00:01:00", 1.0, None, 1.0))
+    got = accel_minute(frame, ["A30"])
+    assert rows(got, "minute") == [
+        ("A30", at("2025-12-01T00:00"), 3.0, 1.0, 5.0),
+        ("A30", at("2025-12-01T00:01"), None, None, None),
+    ]
+    assert accel_minute(frame).count() == 12
+    with pytest.raises(ValueError, match="A99_x"):
+        accel_minute(frame, ["A99"])
+
+
+def test_daily_grid_has_at_most_seven_whole_days(spark):
+    frame = accel(spark, ("2025-11-01T00:00:00", 9.0, 0.0, 0.0), ("2025-12-01T06:30:10", 3.0, 4.0, 0.0), ("2025-12-07T23:59:59", 0.0, 2.0, 0.0))
+    got = accel_daily_grid(frame, ["A30"])
+    last = date(2025, 12, 7)
+    expected = [("A30", last - timedelta(days=i)) for i in range(6, -1, -1)]
+    table_ = rows(got, "day")
+    assert [r[:2] for r in table_] == expected
+    assert table_[0][2:] == ("01. Dec.", 6.5, 5.0, 5.0, 5.0)
+    assert table_[1][2:] == ("02. Dec.", None, None, None, None)
+    assert table_[-1][3:] == (23 + 59 / 60, 2.0, 2.0, 2.0)
+    ranges = {r[1]: r[2:] for r in rows(accel_day_range(got))}
+    assert ranges[last] == (2.0, 2.0) and ranges[date(2025, 12, 2)] == (None, None)
+
+
+def test_daily_grid_of_a_shorter_window(spark):
+    frame = accel(spark, ("2025-12-01T00:00:00", 1.0, 0.0, 0.0), ("2025-12-03T00:00:00", 2.0, 0.0, 0.0), ("2025-12-04T00:00:00", 3.0, 0.0, 0.0))
+    got = accel_daily_grid(frame, ["A30"], start="2025-12-02T12:00:00", end="2025-12-03T01:00:00")
+    assert [(r[1].day, r[5]) for r in rows(got, "day")] == [(2, None), (3, 2.0)]
+    assert accel_daily_grid(frame, ["A30"], start="2025-12-03", end="2025-12-01").count() == 0
+
+
+def test_counts_of_bins_sum_to_the_input(spark):
+    from pyspark.sql import functions as F
+
+    from spanwatch.functions import bin_start
+
+    frame = spark.range(5000).select((F.lit("2025-12-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") * 37)).alias("datetime"))
+    counted = frame.groupBy(bin_start("datetime", 20)).count()
+    assert counted.agg(F.sum("count")).first()[0] == 5000
