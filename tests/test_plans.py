@@ -1,0 +1,63 @@
+"""What the plans must look like to hold at scale."""
+
+from helpers import at, table, tables
+from pyspark.sql import functions as F
+
+from spanwatch.operators.compare import diff_except, diff_full_outer
+from spanwatch.operators.medians import exact_median
+from spanwatch.operators.series import accel_minute, temps_col
+from spanwatch.operators.spectrum import fft_points
+from spanwatch.operators.timewindow import last_days, range_filter
+from spanwatch.sources.store import merge_weeks, read_table, table_path, with_week
+
+
+def physical(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def stored(spark, tmp_path, key, records):
+    path = str(tmp_path)
+    merge_weeks(with_week(table(spark, key, records)), table_path(path, key))
+    return read_table(spark, path, key)
+
+
+def test_windows_reach_the_scan_and_only_needed_columns_are_read(spark, tmp_path):
+    frame = stored(spark, tmp_path, "sst_hub1", [{"datetime": at("2025-12-01"), "T4": 1.0}])
+    fixed = physical(range_filter(frame, "2025-12-01", "2025-12-02").select("T4"))
+    assert "GreaterThanOrEqual(datetime,2025-12-01" in fixed and "LessThanOrEqual(datetime" in fixed
+    assert "ReadSchema: struct<datetime:timestamp_ntz,T4:float>" in fixed
+    recent = physical(last_days(frame).select("T5"))
+    assert "GreaterThanOrEqual(datetime,ScalarSubquery" in recent
+    assert "LessThanOrEqual(datetime,ScalarSubquery" in recent
+    assert "S27" not in physical(temps_col({"sst_hub1": frame}))
+
+
+def test_all_accelerometers_take_one_scan_and_one_shuffle(spark, tmp_path):
+    frame = stored(spark, tmp_path, "accel_all", [{"datetime": at("2025-12-01"), "A30_x": 1.0}])
+    plan = physical(accel_minute(frame))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert "partial_avg" in plan
+
+
+def test_medians_count_values_once_and_before_the_shuffle(spark, tmp_path):
+    frame = stored(spark, tmp_path, "sst_hub2", [{"datetime": at("2025-12-01"), "S7": 1.0}])
+    median = exact_median(frame.select("datetime", "S7"), ["datetime"], "S7")
+    assert median.count() == 1
+    plan = physical(median)
+    assert "partial_count" in plan
+    assert "percentile" not in plan and "collect_list" not in plan
+    median.collect()
+    assert "ReusedExchange" in median._jdf.queryExecution().executedPlan().toString()
+
+
+def test_differences_combine_copies_before_the_shuffle(spark):
+    a = tables(spark, sst_hub2=[{"datetime": at("2025-12-01"), "S7": 1.0}])["sst_hub2"]
+    assert physical(diff_except(a, a)).count("Exchange hash") == 1
+    plan = physical(diff_full_outer(a, a))
+    assert "FullOuter" not in plan and "LeftAnti" in plan
+
+
+def test_points_are_filtered_where_they_are_unnested(spark, tmp_path):
+    frame = stored(spark, tmp_path, "fft_hub2", [{"datetime": at("2025-12-01"), "sensor_id": "A30"}])
+    plan = physical(fft_points(frame.where(F.col("sensor_id") == "A30")))
+    assert "Exchange" not in plan and "EqualTo(sensor_id,A30)" in plan
