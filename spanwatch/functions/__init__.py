@@ -1,12 +1,14 @@
 """Column expressions; no Python runs per row."""
 
 from spanwatch.functions.calendar import (
+    bin_number,
     bin_start,
     day_index,
     day_label,
     hours_since_midnight,
     iso_week,
     iso_year,
+    numbered_bin_start,
     parse_iso,
     week_label,
     week_start,
@@ -22,6 +24,7 @@ from spanwatch.functions.numeric import (
 
 __all__ = [
     "at_or_above",
+    "bin_number",
     "bin_start",
     "day_index",
     "day_label",
@@ -31,6 +34,7 @@ __all__ = [
     "hours_since_midnight",
     "iso_week",
     "iso_year",
+    "numbered_bin_start",
     "parse_iso",
     "resultant_sql",
     "strain_mm_per_m",

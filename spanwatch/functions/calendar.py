@@ -28,6 +28,20 @@ def bin_start(ts, minutes: int) -> Column:
     return F.window(_col(ts), f"{int(minutes)} minutes")["start"]
 
 
+def bin_number(ts, minutes: int) -> Column:
+    """Number of the bin, counted from 1970-01-01 00:00, as a compact grouping key."""
+    ts = _col(ts)
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return F.floor((days * 1440 + F.hour(ts) * 60 + F.minute(ts)) / F.lit(int(minutes)))
+
+
+def numbered_bin_start(number, minutes: int) -> Column:
+    """Start of the bin with this number."""
+    origin = F.lit("1970-01-01").cast("timestamp_ntz")
+    seconds = (_col(number) * int(minutes) * 60).cast("decimal(18,6)")
+    return origin + F.make_dt_interval(secs=seconds)
+
+
 def week_start(ts) -> Column:
     """Monday of the ISO week, as a date."""
     return F.trunc(_col(ts).cast("date"), "week")

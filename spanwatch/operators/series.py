@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanwatch.functions import (
+    bin_number,
     bin_start,
     day_label,
     hours_since_midnight,
+    numbered_bin_start,
     resultant_sql,
     strain_mm_per_m,
 )
 from spanwatch.model import ACCELEROMETERS, GAUGES, HUB_SENSORS, HUBS, THERMOMETERS, hub_of
 from spanwatch.operators.medians import exact_median
 from spanwatch.operators.registry import gauge_series, registry, with_sensor
-from spanwatch.operators.timewindow import Window, time_window, within
+from spanwatch.operators.timewindow import (
+    DEFAULT_DAYS,
+    Window,
+    as_stamp,
+    bins_spanned,
+    day_span,
+    time_window,
+    within,
+)
 
 Tables = dict[str, DataFrame]
 
@@ -52,9 +62,17 @@ def temps_arch(tables: Tables, minutes: int = 60, window: Window | None = None)
     return mean_series(stacked, ARCH_THERMOMETERS, minutes)
 
 
+# Gauges and thermometers by number, to pack a series and a bin into one long.
+SERIES = GAUGES + THERMOMETERS
+SLOTS = 64
+
+
 def _hub_series(frame: DataFrame, columns: list[str], minutes: int) -> DataFrame:
-    binned = frame.select(bin_start("datetime", minutes).alias("bin_start"), *columns)
-    return binned.unpivot(["bin_start"], columns, "series", "v")
+    """One row per value: its series and bin as ``slot``, and the value."""
+    binned = frame.select(bin_number("datetime", minutes).alias("bin"), *columns)
+    pairs = ", ".join(f"{SERIES.index(c)}, {c}" for c in columns)
+    values = binned.selectExpr("bin", f"stack({len(columns)}, {pairs}) AS (series, v)")
+    return values.select((F.col("bin") * SLOTS + F.col("series")).alias("slot"), "v")
 
 
 def strain_temp(
@@ -71,18 +89,29 @@ def strain_temp(
     once; a thermometer shared by several gauges is paired with them afterwards, on
     the medians.
     """
-    stacked = None
+    stacked, used = None, []
     for hub in HUBS:
         wanted = [g for g in HUB_SENSORS[hub]["S"] if g in gauges]
         if not wanted:
             continue
         frame = tables[f"sst_{hub}"]
+        used.append(frame)
         inside = within(frame, window or time_window(frame, start, end))
         part = _hub_series(inside, wanted + HUB_SENSORS[hub]["T"], minutes)
         stacked = part if stacked is None else stacked.unionByName(part)
     spark = tables["sst_hub1"].sparkSession
     pairs = gauge_series(spark, gauges)
-    medians = exact_median(stacked, ["series", "bin_start"], "v")
+    if window is None and start is None:
+        bins = DEFAULT_DAYS * 24 * 60 // minutes + 2
+    else:
+        bins = bins_spanned(used, minutes)
+    groups = bins * (len(gauges) + len(THERMOMETERS))
+    names = F.array(*[F.lit(name) for name in SERIES])
+    medians = exact_median(stacked, ["slot"], "v", groups=groups).select(
+        F.get(names, F.pmod("slot", F.lit(SLOTS)).cast("int")).alias("series"),
+        numbered_bin_start(F.floor(F.col("slot") / SLOTS), minutes).alias("bin_start"),
+        "median",
+    )
     paired = medians.join(F.broadcast(pairs), "series")
     value = F.col("median")
     wide = paired.groupBy("sensor_id", "bin_start").agg(
@@ -145,16 +174,27 @@ def accel_daily_grid(
     stays complete.
     """
     check_accelerometers(accel, sensors)
-    low, high = time_window(accel, start, end)
-    spark = accel.sparkSession
-    limits = spark.range(1).select(
-        F.greatest(low.cast("date"), F.date_sub(high.cast("date"), MAX_GRID_DAYS - 1)).alias("first"),
-        high.cast("date").alias("last"),
-    )
-    first = limits.select(F.col("first").cast("timestamp_ntz")).scalar()
-    after = limits.select(F.date_add("last", 1).cast("timestamp_ntz")).scalar()
+
+    def first_day(high: Column) -> Column:
+        low = as_stamp(start) if start is not None else high - day_span(7)
+        return F.greatest(low.cast("date"), F.date_sub(high.cast("date"), MAX_GRID_DAYS - 1))
+
+    def days_until(high: Column) -> Column:
+        first, last = first_day(high), high.cast("date")
+        return F.explode(F.when(first <= last, F.sequence(first, last))).alias("day")
+
     stamp = F.col("datetime")
-    minutes = accel_minute(accel.where((stamp >= first) & (stamp < after)), sensors)
+    if end is None:
+        latest = F.max("datetime")
+        first = accel.agg(first_day(latest).cast("timestamp_ntz")).scalar()
+        inside = accel.where(stamp >= first)
+        days = accel.agg(latest.alias("high")).select(days_until(F.col("high")))
+    else:
+        high = as_stamp(end)
+        after = F.date_add(high.cast("date"), 1).cast("timestamp_ntz")
+        inside = accel.where((stamp >= first_day(high).cast("timestamp_ntz")) & (stamp < after))
+        days = accel.sparkSession.range(1).select(days_until(high))
+    minutes = accel_minute(inside, sensors)
     placed = minutes.select(
         "sensor_id",
         F.col("minute").cast("date").alias("day"),
@@ -163,9 +203,6 @@ def accel_daily_grid(
         "v_min",
         "v_max",
     )
-    days = limits.select(
-        F.explode(F.when(F.col("first") <= F.col("last"), F.sequence("first", "last"))).alias("day")
-    )
     spine = days.select(
         "day", F.explode(F.array(*[F.lit(s) for s in sensors])).alias("sensor_id")
     )

@@ -42,14 +42,13 @@ def fft_within(
     if end is not None:
         low = as_stamp(start) if start is not None else as_stamp(end) - day_span(days)
         return wanted.where(stamp.between(low, as_stamp(end)))
+    if start is not None:
+        return wanted.where(stamp >= as_stamp(start))
     # At most one row per listed sensor, so the broadcast has a fixed size.
     limits = fft_bounds(fft, sensors).select(
-        "sensor_id",
-        (as_stamp(start) if start is not None else F.col("end_dt") - day_span(days)).alias("low"),
-        F.col("end_dt").alias("high"),
+        "sensor_id", (F.col("end_dt") - day_span(days)).alias("low")
     )
-    inside = wanted.join(F.broadcast(limits), "sensor_id")
-    return inside.where(stamp.between(F.col("low"), F.col("high"))).drop("low", "high")
+    return wanted.join(F.broadcast(limits), "sensor_id").where(stamp >= F.col("low")).drop("low")
 
 
 def fft_points(spectra: DataFrame, threshold: float = THRESHOLD, keep: list[str] = ["sensor_id"]) -> DataFrame:

@@ -1,7 +1,9 @@
 """Time windows, their bounds, and week and day spines.
 
 A bound taken from the data is a scalar subquery: it stays in the plan, reaches
-the scan as a filter, and nothing is collected to the driver.
+the scan as a filter, and nothing is collected to the driver. A bound no row can
+lie beyond, such as the table's own latest time, is left open; two subqueries over
+one table would be merged by the optimizer and then no longer reach the scan.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from spanwatch.functions import iso_week, iso_year, week_label, week_start
 
-Window = tuple[Column, Column]
+Window = tuple[Column | None, Column | None]
 
 
 def day_span(n: int) -> Column:
@@ -31,36 +33,52 @@ def _stamps(frames: list[DataFrame]) -> DataFrame:
     return stamps
 
 
-def time_window(frames, start=None, end=None, days: int = 7) -> Window:
+# Length of a report window that is not given.
+DEFAULT_DAYS = 7
+
+
+def time_window(frames, start=None, end=None, days: int = DEFAULT_DAYS) -> Window:
     """Closed window of one table or several.
 
     The end is the given one or the latest time in any of the tables; the start is
     the given one or ``days`` before the end.
     """
-    frames = [frames] if isinstance(frames, DataFrame) else list(frames)
-    last = F.max("datetime")
-    high = as_stamp(end) if end is not None else _stamps(frames).agg(last).scalar()
     if start is not None:
         low = as_stamp(start)
     elif end is not None:
         low = as_stamp(end) - day_span(days)
     else:
-        low = _stamps(frames).agg(last - day_span(days)).scalar()
-    return low, high
+        frames = [frames] if isinstance(frames, DataFrame) else list(frames)
+        low = _stamps(frames).agg(F.max("datetime") - day_span(days)).scalar()
+    return low, None if end is None else as_stamp(end)
 
 
-def full_window(frames) -> Window:
-    """Closed window from the earliest to the latest time in any of the tables."""
+def bins_spanned(frames, minutes: int) -> int:
+    """Upper bound of the number of bins the tables can fill.
+
+    This runs one small job, which reads the time column only and returns one row.
+    It is there to decide on a broadcast, not to compute results.
+    """
     frames = [frames] if isinstance(frames, DataFrame) else list(frames)
-    return (
-        _stamps(frames).agg(F.min("datetime")).scalar(),
-        _stamps(frames).agg(F.max("datetime")).scalar(),
-    )
+    span = F.col("end_dt") - F.col("start_dt")
+    days = time_bounds_multi(frames).select(F.extract(F.lit("DAY"), span).alias("days")).first().days
+    return 0 if days is None else (days + 1) * 24 * 60 // minutes + 1
+
+
+# From the earliest to the latest time of the tables: all rows that have a time.
+FULL_WINDOW: Window = (None, None)
 
 
 def within(frame: DataFrame, window: Window) -> DataFrame:
-    """Rows inside a closed window."""
-    return frame.where(F.col("datetime").between(*window))
+    """Rows inside a closed window; rows without a time are outside any."""
+    low, high = window
+    stamp = F.col("datetime")
+    inside = stamp.isNotNull()
+    if low is not None:
+        inside = inside & (stamp >= low)
+    if high is not None:
+        inside = inside & (stamp <= high)
+    return frame.where(inside)
 
 
 def within_week(frame: DataFrame, year: int, week: int) -> DataFrame:
@@ -75,7 +93,7 @@ def range_filter(frame: DataFrame, start, end) -> DataFrame:
     return within(frame, (as_stamp(start), as_stamp(end)))
 
 
-def last_days(frame: DataFrame, days: int = 7) -> DataFrame:
+def last_days(frame: DataFrame, days: int = DEFAULT_DAYS) -> DataFrame:
     """Rows of the last ``days`` before the table's latest time."""
     return within(frame, time_window(frame, days=days))
 

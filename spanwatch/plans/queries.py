@@ -279,8 +279,7 @@ def temps_col(spark, sf_dir):
 @query
 def temps_col_bins(spark, sf_dir):
     tables = standin.tables(spark, sf_dir, ["sst_hub1"])
-    window = timewindow.full_window(tables["sst_hub1"])
-    means = series.temps_col(tables, minutes=15, window=window)
+    means = series.temps_col(tables, minutes=15, window=timewindow.FULL_WINDOW)
     return rounded(means, "T4", "T5", "T6").orderBy("bin_start")
 
 
@@ -293,8 +292,7 @@ def temps_arch(spark, sf_dir):
 @query
 def temps_arch_bins(spark, sf_dir):
     tables = standin.tables(spark, sf_dir, ARCH)
-    window = timewindow.full_window(list(tables.values()))
-    means = series.temps_arch(tables, minutes=20, window=window)
+    means = series.temps_arch(tables, minutes=20, window=timewindow.FULL_WINDOW)
     return rounded(means, "T1", "T2", "T3").orderBy("bin_start")
 
 

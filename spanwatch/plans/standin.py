@@ -41,8 +41,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").selectExpr(
+@lru_cache(maxsize=64)
+def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table in at least as many partitions as there are cores.
+
+    Building and parsing documents is costly per row, and a small table comes as
+    one file, which a single task would read. A table of many files is left as is.
+    """
+    frame = read(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
+def events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return (_spread if spread else read)(spark, sf_dir, "events").selectExpr(
         "event_id",
         "ts AS datetime",
         "event_type",
@@ -88,9 +100,9 @@ def accel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _spectra(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     names = ", ".join(f"'{a}'" for a in ACCELEROMETERS)
-    return read(spark, sf_dir, "embeddings").selectExpr(
+    return (_spread if spread else read)(spark, sf_dir, "embeddings").selectExpr(
         "timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(vec_id AS int)) AS datetime",
         f"get(array({names}), pmod(label, {len(ACCELEROMETERS)})) AS sensor_id",
         "label + 0.5D AS main_f",
@@ -144,7 +156,7 @@ def reading_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             key = "s" if s in GAUGES else "t"
             body = f"named_struct('{key}', {reading(s)})"
             fields.append(f"'{s}', {_unless(ABSENT_HUB.get(hub), body)}")
-    stamped = events(spark, sf_dir).withColumn("stamp", iso_text(F.col("datetime")))
+    stamped = events(spark, sf_dir, spread=True).withColumn("stamp", iso_text(F.col("datetime")))
     return stamped.selectExpr(
         f"to_json(named_struct('time', named_struct('datetime', stamp), {', '.join(fields)})) AS value"
     )
@@ -162,7 +174,7 @@ def spectrum_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             points.alias("spectrum"),
         ).alias("fft")
     )
-    return _spectra(spark, sf_dir).select(
+    return _spectra(spark, sf_dir, spread=True).select(
         F.to_json(
             F.struct(
                 F.struct(iso_text(F.col("datetime")).alias("datetime")).alias("time"),

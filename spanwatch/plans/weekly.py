@@ -9,7 +9,7 @@ from spanwatch.functions import iso_week, iso_year
 from spanwatch.model import ACCELEROMETERS, THERMOMETERS
 from spanwatch.operators.series import accel_minute, strain_temp, temps_arch, temps_col
 from spanwatch.operators.spectrum import THRESHOLD, fft_peak, fft_points, fft_union
-from spanwatch.operators.timewindow import full_window
+from spanwatch.operators.timewindow import FULL_WINDOW
 from spanwatch.sources.store import WEEK
 
 Tables = dict[str, DataFrame]
@@ -24,21 +24,19 @@ def weekly_tables(tables: Tables, minutes: int = 60, threshold: float = THRESHOL
 
     A report week runs from Monday 00:00 up to but not including the next Monday.
     """
-    sst = [frame for key, frame in tables.items() if key.startswith("sst_")]
-    everything = full_window(sst)
     temps = {
-        "temps_col": temps_col(tables, minutes, everything),
-        "temps_arch": temps_arch(tables, minutes, everything),
+        "temps_col": temps_col(tables, minutes, FULL_WINDOW),
+        "temps_arch": temps_arch(tables, minutes, FULL_WINDOW),
     }
     result = {}
     for name, frame in temps.items():
         sensors = [c for c in frame.columns if c in THERMOMETERS]
         rows = frame.unpivot(["bin_start"], sensors, "sensor_id", "value")
         result[name] = _weeks_of(rows, "bin_start")
-    strain = strain_temp(tables, minutes=minutes, window=everything)
+    strain = strain_temp(tables, minutes=minutes, window=FULL_WINDOW)
     result["strain_temp"] = _weeks_of(strain, "bin_start")
-    timed = tables["accel_all"].where(F.col("datetime").isNotNull())
-    result["daily_v_grid"] = _weeks_of(accel_minute(timed), "minute")
+    minutely = accel_minute(tables["accel_all"], window=FULL_WINDOW)
+    result["daily_v_grid"] = _weeks_of(minutely, "minute")
     spectra = _weeks_of(fft_union(tables).where(F.col("sensor_id").isin(ACCELEROMETERS)), "datetime")
     keys = [*WEEK, "sensor_id"]
     result["fft_kde"] = fft_peak(fft_points(spectra, threshold, keys), keys)

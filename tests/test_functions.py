@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import at, rows
 from spanwatch.functions import (
     at_or_above,
+    bin_number,
     bin_start,
     day_index,
     day_label,
@@ -14,6 +15,7 @@ from spanwatch.functions import (
     hours_since_midnight,
     iso_week,
     iso_year,
+    numbered_bin_start,
     parse_iso,
     week_label,
     week_start,
@@ -70,11 +72,15 @@ def _stamps(spark, *texts):
 def test_bins_are_counted_from_the_epoch_in_any_zone(spark, zone, minutes, expected):
     frame = _stamps(spark, "2025-03-09 02:37:45.5")
     assert rows(frame.select(bin_start("t", minutes))) == [(at(expected),)]
+    packed = frame.select(numbered_bin_start(bin_number("t", minutes), minutes))
+    assert rows(packed) == [(at(expected),)]
 
 
 def test_bins_before_the_epoch(spark):
     frame = _stamps(spark, "1969-12-31 23:59:59")
     assert rows(frame.select(bin_start("t", 60))) == [(at("1969-12-31T23:00"),)]
+    packed = frame.select(numbered_bin_start(bin_number("t", 60), 60))
+    assert rows(packed) == [(at("1969-12-31T23:00"),)]
 
 
 def test_bin_width_must_be_positive():

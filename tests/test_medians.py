@@ -1,6 +1,7 @@
 import math
 import statistics
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -8,22 +9,27 @@ from pyspark.sql import functions as F
 from spanwatch.operators.medians import coarse_class, exact_median
 
 
-def medians(spark, data):
+def medians(spark, data, groups=None):
     frame = spark.createDataFrame(data, "g string, v float")
-    return {r.g: r.median for r in exact_median(frame, ["g"], "v").collect()}
+    return {r.g: r.median for r in exact_median(frame, ["g"], "v", groups=groups).collect()}
 
 
-def test_odd_even_ties_and_nulls(spark):
+BOTH_WAYS = pytest.mark.parametrize("groups", [None, 10])
+
+
+@BOTH_WAYS
+def test_odd_even_ties_and_nulls(spark, groups):
     data = [("odd", v) for v in (3.0, 1.0, 2.0)]
     data += [("even", v) for v in (1.0, 2.0, 4.0, 100.0)]
     data += [("ties", v) for v in (5.0, 5.0, 5.0, 9.0)]
     data += [("holes", None), ("holes", 7.0), ("holes", None)]
     data += [("empty", None), ("empty", None), ("one", -0.5), (None, 8.0)]
     expected = {"odd": 2.0, "even": 3.0, "ties": 5.0, "holes": 7.0, "empty": None, "one": -0.5, None: 8.0}
-    assert medians(spark, data) == expected
+    assert medians(spark, data, groups) == expected
 
 
-def test_not_a_number_ranks_last_and_infinities_at_the_ends(spark):
+@BOTH_WAYS
+def test_not_a_number_ranks_last_and_infinities_at_the_ends(spark, groups):
     inf, nan = math.inf, math.nan
     got = medians(
         spark,
@@ -31,16 +37,18 @@ def test_not_a_number_ranks_last_and_infinities_at_the_ends(spark):
         + [("b", v) for v in (nan, nan, 2.0)]
         + [("c", v) for v in (-inf, 5.0, inf)]
         + [("d", v) for v in (inf, inf, 1.0)],
+        groups,
     )
     assert got["a"] == 2.0 and math.isnan(got["b"]) and got["c"] == 5.0 and got["d"] == inf
 
 
-def test_a_group_with_most_rows_and_values_close_together(spark):
+@BOTH_WAYS
+def test_a_group_with_most_rows_and_values_close_together(spark, groups):
     frame = spark.range(30000).select(
         F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("g"),
         (F.lit(41234.0) + F.pmod(F.col("id") * 7919, F.lit(10007)) / 256).cast("float").alias("v"),
     )
-    got = {r.g: r.median for r in exact_median(frame, ["g"], "v").collect()}
+    got = {r.g: r.median for r in exact_median(frame, ["g"], "v", groups=groups).collect()}
     expected = frame.groupBy("g").agg(F.median("v").cast("float").alias("m")).collect()
     assert got == {r.g: r.m for r in expected}
 
@@ -66,6 +74,8 @@ def test_classes_keep_the_order_of_values(spark):
     )
 )
 def test_equals_the_middle_of_the_sorted_list(spark, groups):
-    got = medians(spark, [(g, v) for g, values in groups.items() for v in values])
+    data = [(g, v) for g, values in groups.items() for v in values]
+    got = medians(spark, data)
+    assert medians(spark, data, groups=4) == got
     frame = spark.createDataFrame([(g, statistics.median(v)) for g, v in groups.items()], "g string, m double")
     assert got == {r.g: r.m for r in frame.select("g", F.col("m").cast("float").alias("m")).collect()}

@@ -4,8 +4,8 @@ from helpers import at, table, tables
 from pyspark.sql import functions as F
 
 from spanwatch.operators.compare import diff_except, diff_full_outer
-from spanwatch.operators.medians import exact_median
-from spanwatch.operators.series import accel_minute, temps_col
+from spanwatch.operators.medians import MAX_BROADCAST_GROUPS, exact_median
+from spanwatch.operators.series import accel_daily_grid, accel_minute, temps_col
 from spanwatch.operators.spectrum import fft_points
 from spanwatch.operators.timewindow import last_days, range_filter
 from spanwatch.sources.store import merge_weeks, read_table, table_path, with_week
@@ -15,6 +15,10 @@ def physical(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+def logical(frame) -> str:
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
 def stored(spark, tmp_path, key, records):
     path = str(tmp_path)
     merge_weeks(with_week(table(spark, key, records)), table_path(path, key))
@@ -28,10 +32,16 @@ def test_windows_reach_the_scan_and_only_needed_columns_are_read(spark, tmp_path
     assert "ReadSchema: struct<datetime:timestamp_ntz,T4:float>" in fixed
     recent = physical(last_days(frame).select("T5"))
     assert "GreaterThanOrEqual(datetime,ScalarSubquery" in recent
-    assert "LessThanOrEqual(datetime,ScalarSubquery" in recent
     assert "S27" not in physical(temps_col({"sst_hub1": frame}))
 
 
+def test_the_daily_grid_reads_only_its_days(spark, tmp_path):
+    frame = stored(spark, tmp_path, "accel_all", [{"datetime": at("2025-12-01"), "A30_x": 1.0}])
+    assert "GreaterThanOrEqual(datetime,ScalarSubquery" in physical(accel_daily_grid(frame))
+    fixed = physical(accel_daily_grid(frame, end="2025-12-03"))
+    assert "GreaterThanOrEqual(datetime,2025-11-27" in fixed and "LessThan(datetime,2025-12-04" in fixed
+
+
 def test_all_accelerometers_take_one_scan_and_one_shuffle(spark, tmp_path):
     frame = stored(spark, tmp_path, "accel_all", [{"datetime": at("2025-12-01"), "A30_x": 1.0}])
     plan = physical(accel_minute(frame))
@@ -39,15 +49,23 @@ def test_all_accelerometers_take_one_scan_and_one_shuffle(spark, tmp_path):
     assert "partial_avg" in plan
 
 
-def test_medians_count_values_once_and_before_the_shuffle(spark, tmp_path):
+def test_medians_of_unknown_many_groups_count_values_once(spark, tmp_path):
     frame = stored(spark, tmp_path, "sst_hub2", [{"datetime": at("2025-12-01"), "S7": 1.0}])
     median = exact_median(frame.select("datetime", "S7"), ["datetime"], "S7")
-    assert median.count() == 1
     plan = physical(median)
     assert "partial_count" in plan
     assert "percentile" not in plan and "collect_list" not in plan
     median.collect()
-    assert "ReusedExchange" in median._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in physical(median)
+
+
+def test_medians_of_few_groups_never_shuffle_the_rows(spark, tmp_path):
+    frame = stored(spark, tmp_path, "sst_hub2", [{"datetime": at("2025-12-01"), "S7": 1.0}])
+    few = physical(exact_median(frame, ["datetime"], "S7", groups=MAX_BROADCAST_GROUPS))
+    assert few.count("Join") == 1 and few.count("BuildRight") == 1
+    many = logical(exact_median(frame, ["datetime"], "S7", groups=MAX_BROADCAST_GROUPS + 1))
+    assert "strategy=broadcast" in logical(exact_median(frame, ["datetime"], "S7", groups=1))
+    assert "strategy=broadcast" not in many
 
 
 def test_differences_combine_copies_before_the_shuffle(spark):

@@ -13,7 +13,7 @@ from spanwatch.operators.series import (
     temps_col,
 )
 from spanwatch.operators.timewindow import (
-    full_window,
+    FULL_WINDOW,
     last_days,
     range_filter,
     time_bounds,
@@ -53,7 +53,7 @@ def test_windows(spark):
     assert days(within(frame, time_window(frame, start="2025-12-02"))) == [3, 10]
     assert days(within(earlier, time_window([earlier, frame, empty], start="2025-11-01"))) == [30]
     assert days(within(earlier, time_window([earlier, frame, empty]))) == []
-    assert days(within(earlier, full_window([earlier, frame, empty]))) == [30]
+    assert days(within(earlier, FULL_WINDOW)) == [30]
     assert days(range_filter(frame, "2025-12-01", "2025-12-03")) == [1, 3]
     assert days(within_week(frame, 2025, 49)) == [1, 3]
     assert days(last_days(empty)) == []
