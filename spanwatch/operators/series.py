@@ -72,7 +72,9 @@ def _hub_series(frame: DataFrame, columns: list[str], minutes: int) -> DataFrame
     binned = frame.select(bin_number("datetime", minutes).alias("bin"), *columns)
     pairs = ", ".join(f"{SERIES.index(c)}, {c}" for c in columns)
     values = binned.selectExpr("bin", f"stack({len(columns)}, {pairs}) AS (series, v)")
-    return values.select((F.col("bin") * SLOTS + F.col("series")).alias("slot"), "v")
+    # The rows have a time, so a slot is never null; the fallback lets the planner know.
+    slot = F.coalesce(F.col("bin") * SLOTS + F.col("series"), F.lit(0).cast("long"))
+    return values.select(slot.alias("slot"), "v")
 
 
 def strain_temp(
