@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,17 +27,9 @@ def build_session(app_name: str = "spanwatch", **extra: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, from ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder: on a cluster
-    that folder would be lost with its machine.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="spanwatch-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
