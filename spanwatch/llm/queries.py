@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import mixing, simhash
+from spanwatch.llm import mixing, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -31,6 +31,16 @@ def op3_mix_sources(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+@query
+def op5_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op6_quality(spark, sf_dir):
+    return quality.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op10_simhash(spark, sf_dir):
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
