@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import mixing, quality, simhash, toxicity
+from spanwatch.llm import decontaminate, htmltext, mixing, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -26,6 +26,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
@@ -41,6 +46,11 @@ def op6_quality(spark, sf_dir):
     return quality.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op7_html_text(spark, sf_dir):
+    return htmltext.extract(read(spark, sf_dir, "pages"))
+
+
 @query
 def op10_simhash(spark, sf_dir):
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
