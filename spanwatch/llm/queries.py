@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import decontaminate, htmltext, mixing, quality, sanitise, simhash, toxicity
+from spanwatch.llm import decontaminate, htmltext, mixing, neighbours, quality, sanitise, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -56,6 +56,11 @@ def op8_personal_data(spark, sf_dir):
     return sanitise.report(read(spark, sf_dir, "documents"))
 
 
+@query
+def op9_near_vectors(spark, sf_dir):
+    return neighbours.link(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_simhash(spark, sf_dir):
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
