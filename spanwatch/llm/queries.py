@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import decontaminate, htmltext, mixing, neighbours, quality, sanitise, simhash, toxicity
+from spanwatch.llm import decontaminate, htmltext, mixing, neighbours, quality, sanitise, simhash, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -36,6 +36,12 @@ def op3_mix_sources(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+@query
+def op4_repeated_bytes(spark, sf_dir):
+    found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op5_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
