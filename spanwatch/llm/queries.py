@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import decontaminate, htmltext, mixing, neighbours, quality, sanitise, simhash, suffixes, toxicity
+from spanwatch.llm import decontaminate, htmltext, mixing, neighbours, passages, quality, sanitise, simhash, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -31,6 +31,11 @@ def op1_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op2_shared_passages(spark, sf_dir):
+    return passages.shared_passages(read(spark, sf_dir, "documents"))
+
+
 @query
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))

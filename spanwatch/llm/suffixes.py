@@ -190,7 +190,7 @@ def _split(around: DataFrame, length: int, step: int) -> DataFrame:
     return around.mapInArrow(run, _NODE)
 
 
-def _release(spark: SparkSession) -> None:
+def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished steps, which it does when the
     driver's objects for them are collected."""
     gc.collect()
@@ -211,7 +211,7 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int | None = None) ->
     found = stored(_settled(_first_runs(texts, length, gram), "k"), "runs")
     done = [found.filter("same")]
     around = stored(_surroundings(texts, found.filter("not same"), length), "surroundings")
-    _release(spark)
+    release(spark)
     pieces = stored(_settled(_split(around, length, STEP), "k"), "pieces")
     done.append(pieces.filter("same"))
     # Pieces lie inside the run they were cut from; they are cut out of its bytes.
@@ -223,7 +223,7 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int | None = None) ->
     smaller = inside.select(F.col("a.row").alias("row"), "at", F.col("lo2").alias("lo"), F.col("hi2").alias("hi"), bytes_of.alias("bytes"))
     suffixes = stored(_settled(_split(smaller, length, 1), "k", "u"), "suffixes")
     discard(around)
-    _release(spark)
+    release(spark)
     done.append(suffixes)
     every = done[0]
     for more in done[1:]:
