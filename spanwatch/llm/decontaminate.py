@@ -155,6 +155,18 @@ class Index:
 FOUND = "item_tokens int, covered int, n_tiles int, coverage double, spans array<struct<start:int,end:int>>"
 
 
+def _indexes(benchmark: DataFrame, least: int, block_bytes: int) -> Iterator[Index]:
+    """The benchmark, cut by a hash of its rows into blocks of about ``block_bytes``;
+    the driver holds one block at a time."""
+    items = benchmark.select("item_id", "text").filter("text is not null")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_blocks = max(1, -(-size // block_bytes))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
+    for number in range(n_blocks):
+        rows = items.filter(block == number).orderBy("item_id", "text").collect()
+        yield Index([(r.item_id, r.text) for r in rows], least)
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = LEAST, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -163,24 +175,16 @@ def contaminated(
     ``spans`` of the tiles in the document (code points).
 
     Words are runs of letters and digits, in any case. Null and empty texts, on either
-    side, match nothing; repeated rows are compared row by row. The benchmark is cut,
-    by a hash of its rows, into blocks of about ``block_bytes``; the driver holds one
-    block at a time.
+    side, match nothing; repeated rows are compared row by row.
     """
     kinds = {"doc_id": docs.schema["doc_id"].dataType.simpleString(), "item_id": benchmark.schema["item_id"].dataType.simpleString()}
     schema = f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, {FOUND}"
-    items = benchmark.select("item_id", "text").filter("text is not null")
-    id_kind = to_arrow_type(items.schema["item_id"].dataType)
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    results = None
-    for number in range(n_blocks):
-        rows = items.filter(block == number).orderBy("item_id", "text").collect()
-        index = Index([(r.item_id, r.text) for r in rows], least)
+    id_kind = to_arrow_type(benchmark.schema["item_id"].dataType)
+    spans_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    results = []
+    for index in _indexes(benchmark, least, block_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            spans_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             for batch in batches:
                 at, out = [], []
                 for k, text in enumerate(batch.column(1)):
@@ -200,14 +204,26 @@ def contaminated(
                     ["doc_id", "item_id", "item_tokens", "covered", "n_tiles", "coverage", "spans"],
                 )
 
-        found = docs.select("doc_id", "text").mapInArrow(run, schema)
-        if n_blocks > 1:
-            found = stored(found, "contaminated")
-        results = found if results is None else results.unionByName(found)
-    return results
+        results.append(stored(docs.select("doc_id", "text").mapInArrow(run, schema), "contaminated"))
+    found = results[0]
+    for more in results[1:]:
+        found = found.unionByName(more)
+    return found
+
 
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = LEAST, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item; columns as they were. Rows
+    are judged one by one, so null and repeated ids need no care."""
+    place = docs.columns.index("text")
+    kept = docs
+    for number, index in enumerate(_indexes(benchmark, least, block_bytes)):
+
+        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = [not index.search(text.as_py(), coverage) for text in batch.column(place)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    bad = contaminated(docs, benchmark, **settings).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+        kept = (stored(kept, "clean") if number else kept).mapInArrow(run, docs.schema)
+    return kept

@@ -157,3 +157,13 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
 
 def _largest(items: DataFrame) -> int:
     return items.groupBy("place").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def take(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, all columns as they were, and behind
+    them ``mix_size``, ``mix_target``, ``mix_copies`` and ``mix_taken`` as :func:`mix`
+    names them without the prefix. ``docs`` is read twice, as a table is."""
+    placed = docs.withColumn("_row", F.monotonically_increasing_id())
+    mixed = mix(placed.select("_row", "text", "source"), "_row").filter("copies > 0")
+    columns = [F.col(c).alias(f"mix_{c}") for c in ("size", "target", "copies", "taken")]
+    return placed.join(mixed.select("_row", *columns), "_row").drop("_row")

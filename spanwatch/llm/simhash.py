@@ -28,6 +28,7 @@ from spanwatch.llm.scratch import stored
 
 SEED = 42
 SHINGLE = 4
+STAGE_SHINGLE = 5
 MAX_BITS = 4
 WIDTHS = (13, 13, 13, 13, 12)
 _SLICE = 1 << 16
@@ -158,17 +159,28 @@ def links(classes: DataFrame) -> DataFrame:
     return stars.unionByName(rest)
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row per input row: id, ``fp`` (signed long) and ``component_id``.
 
     ``component_id`` is the smallest id among the texts that can be reached over
     links. Texts without words have fingerprint 0 and are linked like any other.
     Rows with a null id take part; a component of such rows only has a null id.
     """
-    rows = stored(fingerprints(docs, id_column, text_column), "fingerprints")
+    rows = stored(fingerprints(docs, id_column, text_column, shingle), "fingerprints")
     classes = stored(rows.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "fingerprint-classes")
     groups = stored(connected(links(classes.select("fp", "n"))), "fingerprint-groups")
     named = classes.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("component", "fp").alias("part"))
     least = named.groupBy("part").agg(F.min("first").alias("component_id"))
     by_fp = named.join(least, "part").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
+
+
+def drop_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE) -> DataFrame:
+    """``docs`` with one row of every component: the one with the smallest doc_id, of
+    repeated rows any one. Columns are as they were; rows with a null id sort first.
+    ``docs`` is read twice and has to come in the same order, as a table does."""
+    placed = docs.withColumn("_row", F.monotonically_increasing_id())
+    named = placed.select(F.struct("doc_id", "_row").alias("key"), "text")
+    found = near_duplicates(named, "key", "text", shingle)
+    kept = found.filter(F.col("key") == F.col("component_id")).select(F.col("key._row").alias("_row"))
+    return placed.join(kept, "_row", "left_semi").select(*docs.columns)

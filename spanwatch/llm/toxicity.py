@@ -240,6 +240,29 @@ def train(rows: list[tuple[str, int]], rounds: int = 40, rate: float = 1.0, ridg
     return tagger
 
 
+def trained(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tagger:
+    """The tagger fitted on the labelled texts that are not held out."""
+    return train(sample(docs, labels, "toxic", per_class, 4, 2))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, per_class: int = PER_CLASS) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more; all columns as they
+    were. Rows are judged one by one, so null and repeated ids need no care. Without
+    labels of both classes nothing is dropped."""
+    tagger = trained(docs, labels, per_class)
+    if tagger.calibrate is None:
+        return docs
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[str, float] = {}
+        for batch in batches:
+            features = [summary(m) for _, _, m in tagger.read(batch.column(place).to_pylist(), cache)]
+            yield batch.filter(pa.array(tagger.calibrate(np.array(features).reshape(-1, 3)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 SPANS = "array<struct<start:int,end:int,score:double>>"
 
 
@@ -251,7 +274,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
     is not 2. Only the text is an input of a score; null counts as empty. Without
     labels of both classes every score is the share of toxic labels (0.5 if none).
     """
-    tagger = train(sample(docs, labels, "toxic", per_class, 4, 2))
+    tagger = trained(docs, labels, per_class)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, float] = {}
