@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_PAGES = 300
-ROUNDS = 40
+ROUNDS = 80
 
 # Elements by their part in the layout (HTML).
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,6 +46,7 @@ SAME_LEVEL = {
     "option": ({"option"}, {"select"}),
 }
 BARRIER = {"table", "td", "th", "button", "object", "body", "html", "article", "section", "div", "aside", "nav", "footer", "header", "form", "blockquote", "ul", "ol", "dl"}
+PAGE = {"#page", "html", "body"}
 NOT_MAIN = set("nav footer aside form header".split())
 
 _TOKEN = re.compile(
@@ -200,7 +201,8 @@ class Model:
 
 
 def label_nodes(nodes: list[Node], content: set[int]) -> list[int]:
-    """1 for nodes with content text, and for those whose text below is mostly content."""
+    """1 for nodes with content text, and for those with mostly content below them; the
+    page as a whole is never content."""
     inside = [0] * len(nodes)
     outside = [0] * len(nodes)
     for i, node in enumerate(nodes):
@@ -209,7 +211,7 @@ def label_nodes(nodes: list[Node], content: set[int]) -> list[int]:
     for i in range(len(nodes) - 1, 0, -1):
         inside[nodes[i].parent] += inside[i]
         outside[nodes[i].parent] += outside[i]
-    return [int(i in content or (not n.pieces and inside[i] > outside[i])) for i, n in enumerate(nodes)]
+    return [int(i in content or (not n.pieces and inside[i] > outside[i] and n.tag not in PAGE)) for i, n in enumerate(nodes)]
 
 
 def self_labelled(nodes: list[Node]) -> set[int] | None:
@@ -251,7 +253,13 @@ def hand_labelled() -> Iterator[tuple[str, set[str]]]:
         '<div id="main" role="main"><div class="text">{}</div></div>',
         "<div>{}</div>",
     ]
-    inner = f"<h1>Bridge reopens</h1><p>{long}</p><p>{short}</p><h2>Readings</h2><blockquote><p>{more}</p></blockquote><ul><li>{long[:60]}</li><li>{more}</li></ul><pre>{short}</pre>"
+    inners = [
+        f"<h1>Bridge reopens</h1><p>{long}</p><p>{short}</p><h2>Readings</h2><blockquote><p>{more}</p></blockquote><ul><li>{long[:60]}</li><li>{more}</li></ul><pre>{short}</pre>",
+        f"<h1>Bridge reopens</h1><p>{long}</p><p>{short}</p>",
+        f"<p>{long}</p><p>{more}</p><p>{long}</p><p>{more}</p>",
+        f"<h2>Readings</h2><p>{short}</p>",
+        f"<h1>Bridge reopens</h1><h3>Readings</h3><div><p>{more}</p><p>{short}</p></div><p>{short}</p><p>{long}</p>",
+    ]
     text = {"Bridge reopens", "Readings", long, more, short, long[:60].strip()}
     parts = [
         "<header><a href='/'>Home</a><p>Daily Site</p></header><nav><ul><li><a href='/a'>News</a></li><li><a href='/b'>Sport</a></li></ul></nav>",
@@ -259,7 +267,8 @@ def hand_labelled() -> Iterator[tuple[str, set[str]]]:
         "<form action='/s'><p>Sign up for our letter today</p><label>Mail</label><input name='m'></form>",
         "<footer><p>Copyright 2024, all rights reserved, reprinted only with permission of the publisher and its partners.</p><div>Imprint</div></footer>",
     ]
-    for k, word in enumerate(sorted(LEFT_OUT)):
+    for k, word in enumerate(sorted(LEFT_OUT) * 2):
+        inner = inners[k % len(inners)]
         kind = ("class", "id")[k % 2]
         named = f"<div {kind}='{word}'><h3>Look here</h3><p>This is a fine remark, I think, and it goes on for quite a while, as remarks do.</p><div>Reply now</div></div>"
         wrapped = wrappings[k % len(wrappings)].format(inner)
@@ -269,7 +278,7 @@ def hand_labelled() -> Iterator[tuple[str, set[str]]]:
         yield f"<html><body>{parts[0]}{named}{wrapped}{''.join(parts[1:])}</body></html>", text
 
 
-def train(pages: list[str], rounds: int = ROUNDS, rate: float = 0.5, ridge: float = 0.01) -> Model:
+def train(pages: list[str], rounds: int = ROUNDS, rate: float = 0.5, ridge: float = 0.002) -> Model:
     """Weights from the hand-labelled pages and those of ``pages`` that label themselves."""
     labelled = []
     for page, text in hand_labelled():
