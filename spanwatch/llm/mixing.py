@@ -162,8 +162,10 @@ def _largest(items: DataFrame) -> int:
 def take(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the mix takes, all columns as they were, and behind
     them ``mix_size``, ``mix_target``, ``mix_copies`` and ``mix_taken`` as :func:`mix`
-    names them without the prefix. ``docs`` is read twice, as a table is."""
-    placed = docs.withColumn("_row", F.monotonically_increasing_id())
-    mixed = mix(placed.select("_row", "text", "source"), "_row").filter("copies > 0")
+    names them without the prefix; columns of ``docs`` that begin with mix_ are left
+    out. ``docs`` is read twice, as a table is."""
+    placed = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
+    mixed = mix(placed.select("row", "doc.text", "doc.source"), "row").filter("copies > 0")
     columns = [F.col(c).alias(f"mix_{c}") for c in ("size", "target", "copies", "taken")]
-    return placed.join(mixed.select("_row", *columns), "_row").drop("_row")
+    given = [F.col("doc")[c].alias(c) for c in docs.columns if not c.startswith("mix_")]
+    return placed.join(mixed.select("row", *columns), "row").select(*given, *[F.col(f"mix_{c}") for c in ("size", "target", "copies", "taken")])

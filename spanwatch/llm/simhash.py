@@ -179,8 +179,8 @@ def drop_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE) -> DataFrame:
     """``docs`` with one row of every component: the one with the smallest doc_id, of
     repeated rows any one. Columns are as they were; rows with a null id sort first.
     ``docs`` is read twice and has to come in the same order, as a table does."""
-    placed = docs.withColumn("_row", F.monotonically_increasing_id())
-    named = placed.select(F.struct("doc_id", "_row").alias("key"), "text")
+    placed = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
+    named = placed.select(F.struct("doc.doc_id", "row").alias("key"), "doc.text")
     found = near_duplicates(named, "key", "text", shingle)
-    kept = found.filter(F.col("key") == F.col("component_id")).select(F.col("key._row").alias("_row"))
-    return placed.join(kept, "_row", "left_semi").select(*docs.columns)
+    kept = found.filter(F.col("key") == F.col("component_id")).select("key.row")
+    return placed.join(kept, "row", "left_semi").select("doc.*")
