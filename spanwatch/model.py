@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 # T thermometer). The order inside a list is the column order of the tables.
 HUB_SENSORS = {
     "hub1": {"A": ["A33", "A34", "A35"], "S": ["S27", "S28", "S29"], "T": ["T4", "T5", "T6"]},
-    "hub2": {"A": ["A30"], "S": [f"S{i}" for i in range(7, 15)], "T": ["T1"]},
-    "hub3": {"A": ["A31"], "S": [f"S{i}" for i in range(15, 19)], "T": ["T2"]},
-    "hub4": {"A": ["A32"], "S": [f"S{i}" for i in range(19, 27)], "T": ["T3"]},
+    "hub2": {"A": ["A30"], "S": ["S7", "S8", "S9", "S10", "S11", "S12", "S13", "S14"], "T": ["T1"]},
+    "hub3": {"A": ["A31"], "S": ["S15", "S16", "S17", "S18"], "T": ["T2"]},
+    "hub4": {"A": ["A32"], "S": ["S19", "S20", "S21", "S22", "S23", "S24", "S25", "S26"], "T": ["T3"]},
 }
 
 # Where each sensor sits, as printed on the charts.

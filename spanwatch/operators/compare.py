@@ -68,40 +68,30 @@ def diff_except(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def _milliseconds(stamp: Column) -> Column:
-    """Time as text cut to milliseconds."""
+def _millisecond_text(stamp: Column) -> Column:
+    """A whole-millisecond time as text with three decimals."""
     text = stamp.cast("string")
     fraction = F.rpad(F.substring(text, 21, 3), 3, "0")
     return F.concat(F.substring(text, 1, 19), F.lit("."), fraction)
 
 
 def timestamp_presence(stamps: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
-    """For each distinct time in ``stamps``, its row count in both versions.
+    """For each distinct millisecond of the times in ``stamps``, its row count in both
+    versions. Times are cut to milliseconds on every side."""
 
-    Times are looked up as text cut to milliseconds, so a table whose times have
-    microseconds holds none of them.
-    """
-    listed = (
-        stamps.select("datetime")
-        .where(F.col("datetime").isNotNull())
-        .distinct()
-        .select(_milliseconds(F.col("datetime")).alias("timestamp"))
-    )
+    def cut(rows: DataFrame) -> DataFrame:
+        timed = rows.where(F.col("datetime").isNotNull())
+        return timed.select(F.date_trunc("MILLISECOND", "datetime").cast("timestamp_ntz").alias("at"))
 
     def counts(rows: DataFrame, name: str) -> DataFrame:
-        return (
-            rows.where(F.col("datetime").isNotNull())
-            .groupBy(F.col("datetime").alias("at"))
-            .agg(F.count("*").alias(name))
-        )
+        return cut(rows).groupBy("at").agg(F.count("*").alias(name))
 
-    sides = [counts(old, "exists_in_old"), counts(new, "exists_in_new")]
-    result = listed.withColumn("at", F.col("timestamp").cast("timestamp_ntz"))
-    for side in sides:
+    result = cut(stamps).distinct()
+    for side in [counts(old, "exists_in_old"), counts(new, "exists_in_new")]:
         result = result.join(side, "at", "left")
     zero = F.lit(0).cast("long")
     return result.select(
-        "timestamp",
+        _millisecond_text(F.col("at")).alias("timestamp"),
         F.coalesce("exists_in_old", zero).alias("exists_in_old"),
         F.coalesce("exists_in_new", zero).alias("exists_in_new"),
     )
@@ -111,6 +101,15 @@ def _signature(frame: DataFrame) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields)
 
 
+def _status() -> Column:
+    return (
+        F.when(F.col("rows_new").isNull(), "missing in NEW")
+        .when(F.col("rows_old").isNull(), "missing in OLD")
+        .when(F.col("schema_match") & (F.col("rows_old") == F.col("rows_new")), "OK")
+        .otherwise("DIFF")
+    )
+
+
 def compare_tables(old: Tables, new: Tables) -> DataFrame:
     """Per table: row counts of both versions, whether the schemas agree, and a status.
 
@@ -137,13 +136,34 @@ def compare_tables(old: Tables, new: Tables) -> DataFrame:
         of("new", "n").alias("rows_new"),
         F.coalesce(of("old", "columns") == of("new", "columns"), F.lit(False)).alias("schema_match"),
     )
-    status = (
-        F.when(F.col("rows_new").isNull(), "missing in NEW")
-        .when(F.col("rows_old").isNull(), "missing in OLD")
-        .when(F.col("schema_match") & (F.col("rows_old") == F.col("rows_new")), "OK")
-        .otherwise("DIFF")
+    return both.select("file", _status().alias("status"), "rows_old", "rows_new", "schema_match")
+
+
+def compare_weeks(old: Tables, new: Tables) -> DataFrame:
+    """Per ISO week and table: row counts of both versions, schema agreement, status.
+
+    A row stands for one weekly file. Each table is counted once for all its weeks;
+    rows without a time belong to no week and are left to :func:`compare_tables`.
+    """
+    counted = None
+    for side, tables in (("old", old), ("new", new)):
+        for name, frame in tables.items():
+            timed = frame.where(F.col("datetime").isNotNull())
+            weeks = timed.groupBy(iso_year("datetime").alias("iso_year"), iso_week("datetime").alias("iso_week"))
+            part = weeks.agg(F.count("*").alias("n")).select(
+                "*", F.lit(name).alias("file"), F.lit(side).alias("side"), F.lit(_signature(frame)).alias("columns")
+            )
+            counted = part if counted is None else counted.unionByName(part)
+
+    def of(side: str, column: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col(column)))
+
+    both = counted.groupBy("iso_year", "iso_week", "file").agg(
+        of("old", "n").alias("rows_old"),
+        of("new", "n").alias("rows_new"),
+        F.coalesce(of("old", "columns") == of("new", "columns"), F.lit(False)).alias("schema_match"),
     )
-    return both.select("file", status.alias("status"), "rows_old", "rows_new", "schema_match")
+    return both.select("iso_year", "iso_week", "file", _status().alias("status"), "rows_old", "rows_new", "schema_match")
 
 
 def matching(comparison: DataFrame) -> DataFrame:
@@ -190,19 +210,18 @@ def observed_weeks(tables: Tables) -> DataFrame:
         week,
         *[F.coalesce(*[f"{a}_{axis}" for axis in "xyz"]).alias(a) for a in ACCELEROMETERS],
     )
-    wide = [("acceleration", accel, ACCELEROMETERS)]
+    wide = [(F.lit("acceleration"), accel, ACCELEROMETERS)]
     for hub in HUBS:
-        columns = sst_columns(hub)
-        for series, kind in [("strain", "S"), ("temperature", "T")]:
-            names = [c for c in columns if c.startswith(kind)]
-            wide.append((series, tables[f"sst_{hub}"].select(week, *names), names))
+        names = sst_columns(hub)
+        series = F.when(F.col("sensor_id").startswith("S"), "strain").otherwise("temperature")
+        wide.append((series, tables[f"sst_{hub}"].select(week, *names), names))
     observed = None
     for series, frame, names in wide:
         counts = frame.groupBy("monday").agg(*[F.count(c).alias(c) for c in names])
         part = (
             counts.unpivot(["monday"], names, "sensor_id", "n")
             .where(F.col("n") > 0)
-            .select(F.lit(series).alias("series"), "sensor_id", "monday")
+            .select(series.alias("series"), "sensor_id", "monday")
         )
         observed = part if observed is None else observed.unionByName(part)
     for hub in HUBS:

@@ -24,6 +24,7 @@ from spanwatch.model import (
     TABLE_KEYS,
     accel_columns,
     hub_of,
+    sst_columns,
 )
 from spanwatch.sources.documents import emit_when, with_stamp
 
@@ -157,6 +158,23 @@ def sst_rows(parsed: DataFrame, hub: str, keep: list[str] = []) -> DataFrame:
     return _timed(parsed.where(F.col(hub).isNotNull()), [*keep, f"{hub}.*"])
 
 
+def hub_rows(parsed: DataFrame, keep: list[str] = []) -> DataFrame:
+    """Rows of all hubs' strain/temperature tables at once, with their ``hub``.
+
+    Each document is read once and gives a row for every hub it has values of; the
+    columns of the other hubs are null there.
+    """
+    names = [c for hub in HUBS for c in sst_columns(hub)]
+
+    def row(hub: str):
+        own = set(sst_columns(hub))
+        fields = [(F.col(hub)[c] if c in own else F.lit(None).cast("float")).alias(c) for c in names]
+        return F.when(F.col(hub).isNotNull(), F.struct(F.lit(hub).alias("hub"), *fields))
+
+    present = F.array_compact(F.array(*[row(hub) for hub in HUBS]))
+    return _timed(parsed, [*keep, *HUBS]).select("datetime", *keep, F.inline(present))
+
+
 def fft_rows(parsed: DataFrame, keep: list[str] = []) -> DataFrame:
     """One row per document and sensor with a spectrum, with its hub."""
     return _timed(parsed, [*keep, "fft"]).select("datetime", *keep, F.inline("fft"))

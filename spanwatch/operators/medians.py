@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 # magnitude) of at most 8,192 values each.
 _SPLIT = float(2**41 + 1)
 
-# Up to this many groups, the class that holds each group's middle is broadcast:
-# one row per group, some 40 MB.
-MAX_BROADCAST_GROUPS = 500_000
-
-
 def coarse_class(value: Column) -> Column:
     """Value rounded to 12 significant bits; not-a-number and infinities as they are.
 
@@ -37,29 +32,19 @@ def _same(rows: DataFrame, left: str, right: str, columns: list[str]) -> Column:
     return condition
 
 
-def exact_median(
-    rows: DataFrame, keys: list[str], value: str, name: str = "median", groups: int | None = None
-) -> DataFrame:
+def exact_median(rows: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
     """Median of a single-precision column per group; null for a group of nulls.
 
-    ``percentile`` keeps all values of a group in one task. Here the values are
-    first counted by coarse class, which combines before the shuffle. The class
-    counts tell which class holds the middle, and only that class is ranked. No step
-    holds more of a group than the limits stated above, however many rows it has.
-
-    ``groups`` is an upper bound of the number of groups, if one is known. Below
-    ``MAX_BROADCAST_GROUPS`` the rows are read a second time to pick the middle
-    classes out of them, and are never shuffled. Without a bound the rows are
-    counted by value first, which spreads every group over all tasks.
+    ``percentile`` keeps all values of a group in one task. Here values are counted,
+    which combines before the shuffle and spreads a group over all tasks. The counts
+    by coarse class tell which class holds the middle, and only that class is ranked.
+    No step holds more of a group than the limits stated above, however many rows it
+    has, and the plan is the same for any number of groups.
     """
     rows = rows.select(*keys, F.col(value).cast("float").alias("_v"))
     rows = rows.withColumn("_class", coarse_class(F.col("_v")))
-    broadcast = groups is not None and groups <= MAX_BROADCAST_GROUPS
-    if broadcast:
-        classes = rows.groupBy(*keys, "_class").agg(F.count("_v").alias("_n"))
-    else:
-        counted = rows.groupBy(*keys, "_class", "_v").agg(F.count("_v").alias("_n"))
-        classes = counted.groupBy(*keys, "_class").agg(F.sum("_n").alias("_n"))
+    counted = rows.groupBy(*keys, "_class", "_v").agg(F.count("_v").alias("_n"))
+    classes = counted.groupBy(*keys, "_class").agg(F.sum("_n").alias("_n"))
     classes = classes.select(
         *keys,
         "_class",
@@ -74,38 +59,14 @@ def exact_median(
     def holds(rank: Column) -> Column:
         return (before < rank) & (rank <= F.col("_upto"))
 
-    def where_held(rank: Column, kept: Column) -> Column:
-        return F.max(F.when(holds(rank), kept))
-
-    if broadcast:
-        middle = classes.groupBy(*keys).agg(
-            where_held(lower, F.col("_class")).alias("_low_class"),
-            where_held(lower, lower - before).alias("_low_rank"),
-            where_held(upper, F.col("_class")).alias("_high_class"),
-            where_held(upper, upper - before).alias("_high_rank"),
-        )
-        low, high = (F.col("_class") == F.col(f"_{side}_class") for side in ("low", "high"))
-        inside = (
-            rows.alias("l")
-            .join(F.broadcast(middle).alias("r"), _same(rows, "l", "r", keys))
-            .where(low | high | F.col("_low_class").isNull())
-            .select(
-                "l.*",
-                F.when(low, F.col("_low_rank")).alias("_lower"),
-                F.when(high, F.col("_high_rank")).alias("_upper"),
-            )
-            .groupBy(*keys, "_class", "_v", "_lower", "_upper")
-            .agg(F.count("_v").alias("_n"))
-        )
-    else:
-        middle = classes.where(holds(lower) | holds(upper) | (total == 0)).select(
-            *keys, "_class", (lower - before).alias("_lower"), (upper - before).alias("_upper")
-        )
-        inside = (
-            counted.alias("l")
-            .join(middle.alias("r"), _same(rows, "l", "r", [*keys, "_class"]))
-            .select("l.*", "r._lower", "r._upper")
-        )
+    middle = classes.where(holds(lower) | holds(upper) | (total == 0)).select(
+        *keys, "_class", (lower - before).alias("_lower"), (upper - before).alias("_upper")
+    )
+    inside = (
+        counted.alias("l")
+        .join(middle.alias("r"), _same(rows, "l", "r", [*keys, "_class"]))
+        .select("l.*", "r._lower", "r._upper")
+    )
     upto = F.sum("_n").over(W.partitionBy(*keys, "_class").orderBy("_v"))
     found = (
         inside.withColumn("_upto", upto)

@@ -18,10 +18,8 @@ from spanwatch.model import ACCELEROMETERS, GAUGES, HUB_SENSORS, HUBS, THERMOMET
 from spanwatch.operators.medians import exact_median
 from spanwatch.operators.registry import gauge_series, registry, with_sensor
 from spanwatch.operators.timewindow import (
-    DEFAULT_DAYS,
     Window,
     as_stamp,
-    bins_spanned,
     day_span,
     time_window,
     within,
@@ -64,7 +62,7 @@ def temps_arch(tables: Tables, minutes: int = 60, window: Window | None = None)
 
 # Gauges and thermometers by number, to pack a series and a bin into one long.
 SERIES = GAUGES + THERMOMETERS
-SLOTS = 64
+SLOTS = len(SERIES)
 
 
 def _hub_series(frame: DataFrame, columns: list[str], minutes: int) -> DataFrame:
@@ -91,25 +89,19 @@ def strain_temp(
     once; a thermometer shared by several gauges is paired with them afterwards, on
     the medians.
     """
-    stacked, used = None, []
+    stacked = None
     for hub in HUBS:
         wanted = [g for g in HUB_SENSORS[hub]["S"] if g in gauges]
         if not wanted:
             continue
         frame = tables[f"sst_{hub}"]
-        used.append(frame)
         inside = within(frame, window or time_window(frame, start, end))
         part = _hub_series(inside, wanted + HUB_SENSORS[hub]["T"], minutes)
         stacked = part if stacked is None else stacked.unionByName(part)
     spark = tables["sst_hub1"].sparkSession
     pairs = gauge_series(spark, gauges)
-    if window is None and start is None:
-        bins = DEFAULT_DAYS * 24 * 60 // minutes + 2
-    else:
-        bins = bins_spanned(used, minutes)
-    groups = bins * (len(gauges) + len(THERMOMETERS))
     names = F.array(*[F.lit(name) for name in SERIES])
-    medians = exact_median(stacked, ["slot"], "v", groups=groups).select(
+    medians = exact_median(stacked, ["slot"], "v").select(
         F.get(names, F.pmod("slot", F.lit(SLOTS)).cast("int")).alias("series"),
         numbered_bin_start(F.floor(F.col("slot") / SLOTS), minutes).alias("bin_start"),
         "median",
@@ -164,38 +156,50 @@ def accel_minute(
     return rows.select("sensor_id", "minute", "v.v_avg", "v.v_min", "v.v_max")
 
 
-MAX_GRID_DAYS = 7
+# Days of a report's grid.
+GRID_DAYS = 7
 
 
 def accel_daily_grid(
-    accel: DataFrame, sensors: list[str] = ACCELEROMETERS, start=None, end=None
+    accel: DataFrame, sensors: list[str] = ACCELEROMETERS, start=None, end=None, days: int | None = GRID_DAYS
 ) -> DataFrame:
-    """Minute resultants placed on a grid of days by hours, at most the last seven days.
+    """Minute resultants placed on a grid of days by hours, for the last ``days`` days.
 
-    A day without data has one row per sensor with empty values, so that the grid
-    stays complete.
+    A report draws seven days and passes over earlier ones, also after a given
+    start. With ``days=None`` the grid has all days from the start on, or from the
+    first row of the table. A day without data has one row per sensor with empty
+    values, so that the grid stays complete.
     """
     check_accelerometers(accel, sensors)
+    whole = days is None and start is None
 
     def first_day(high: Column) -> Column:
-        low = as_stamp(start) if start is not None else high - day_span(7)
-        return F.greatest(low.cast("date"), F.date_sub(high.cast("date"), MAX_GRID_DAYS - 1))
-
-    def days_until(high: Column) -> Column:
-        first, last = first_day(high), high.cast("date")
+        if whole:
+            return F.min("datetime").cast("date") if end is None else accel.agg(F.min("datetime")).scalar().cast("date")
+        if start is None:
+            low = high - day_span(days)
+        else:
+            low = as_stamp(start)
+        if days is None:
+            return low.cast("date")
+        return F.greatest(low.cast("date"), F.date_sub(high.cast("date"), days - 1))
+
+    def days_until(high: Column, first: Column) -> Column:
+        last = high.cast("date")
         return F.explode(F.when(first <= last, F.sequence(first, last))).alias("day")
 
     stamp = F.col("datetime")
     if end is None:
         latest = F.max("datetime")
         first = accel.agg(first_day(latest).cast("timestamp_ntz")).scalar()
-        inside = accel.where(stamp >= first)
-        days = accel.agg(latest.alias("high")).select(days_until(F.col("high")))
+        inside = accel.where(stamp.isNotNull() if whole else stamp >= first)
+        bounds = accel.agg(first_day(latest).alias("first"), latest.alias("high"))
+        spine_days = bounds.select(days_until(F.col("high"), F.col("first")))
     else:
         high = as_stamp(end)
         after = F.date_add(high.cast("date"), 1).cast("timestamp_ntz")
         inside = accel.where((stamp >= first_day(high).cast("timestamp_ntz")) & (stamp < after))
-        days = accel.sparkSession.range(1).select(days_until(high))
+        spine_days = accel.sparkSession.range(1).select(days_until(high, first_day(high)))
     minutes = accel_minute(inside, sensors)
     placed = minutes.select(
         "sensor_id",
@@ -205,7 +209,7 @@ def accel_daily_grid(
         "v_min",
         "v_max",
     )
-    spine = days.select(
+    spine = spine_days.select(
         "day", F.explode(F.array(*[F.lit(s) for s in sensors])).alias("sensor_id")
     )
     grid = spine.join(placed, ["sensor_id", "day"], "left")

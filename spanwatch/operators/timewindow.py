@@ -53,39 +53,40 @@ def time_window(frames, start=None, end=None, days: int = DEFAULT_DAYS) -> Windo
     return low, None if end is None else as_stamp(end)
 
 
-def bins_spanned(frames, minutes: int) -> int:
-    """Upper bound of the number of bins the tables can fill.
-
-    This runs one small job, which reads the time column only and returns one row.
-    It is there to decide on a broadcast, not to compute results.
-    """
-    frames = [frames] if isinstance(frames, DataFrame) else list(frames)
-    span = F.col("end_dt") - F.col("start_dt")
-    days = time_bounds_multi(frames).select(F.extract(F.lit("DAY"), span).alias("days")).first().days
-    return 0 if days is None else (days + 1) * 24 * 60 // minutes + 1
-
-
 # From the earliest to the latest time of the tables: all rows that have a time.
 FULL_WINDOW: Window = (None, None)
 
 
+def _week_number(stamp: Column) -> Column:
+    return iso_year(stamp) * 100 + iso_week(stamp)
+
+
 def within(frame: DataFrame, window: Window) -> DataFrame:
-    """Rows inside a closed window; rows without a time are outside any."""
+    """Rows inside a closed window; rows without a time are outside any.
+
+    A stored table read with its week columns is also filtered by them, so that other
+    weeks are not opened. A document's offset can move its time out of the week it is
+    filed under by a day at most; one week more on each side covers that.
+    """
     low, high = window
     stamp = F.col("datetime")
     inside = stamp.isNotNull()
+    filed = F.col("iso_year") * 100 + F.col("iso_week") if {"iso_year", "iso_week"} <= set(frame.columns) else None
     if low is not None:
         inside = inside & (stamp >= low)
+        if filed is not None:
+            inside = inside & (filed >= _week_number(low - day_span(7)))
     if high is not None:
         inside = inside & (stamp <= high)
+        if filed is not None:
+            inside = inside & (filed <= _week_number(high + day_span(7)))
     return frame.where(inside)
 
 
 def within_week(frame: DataFrame, year: int, week: int) -> DataFrame:
     """Rows of one ISO week, Monday 00:00 up to but not including the next."""
     monday = as_stamp(date.fromisocalendar(year, week, 1))
-    stamp = F.col("datetime")
-    return frame.where((stamp >= monday) & (stamp < monday + day_span(7)))
+    return within(frame, (monday, monday + day_span(7))).where(F.col("datetime") < monday + day_span(7))
 
 
 def range_filter(frame: DataFrame, start, end) -> DataFrame:

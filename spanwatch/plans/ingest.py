@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from spanwatch.model import HUBS
 from spanwatch.operators.flatten import accel_rows, fft_rows, parse_documents, quarantine, sst_rows
 from spanwatch.session import scratch_path
-from spanwatch.sources.documents import week_range
-from spanwatch.sources.store import WEEK, append_chunks, merge_weeks
+from spanwatch.sources.documents import keep_week
+from spanwatch.sources.store import WEEK, remove_path, replace_weeks
 
 # Folder of each family below the base folder, and how it is partitioned.
 FAMILY_PARTITIONS = {
@@ -19,16 +19,14 @@ FAMILY_PARTITIONS = {
 }
 
 
-def stage(documents: DataFrame) -> DataFrame:
-    """Parse every line once and keep the typed rows in the shared folder.
+def stage(documents: DataFrame, path: str) -> DataFrame:
+    """Parse every line once and keep the typed rows at ``path``.
 
     The families are then read from columns of that table. It survives the loss of
     executors, unlike a cache.
     """
-    spark = documents.sparkSession
-    path = scratch_path(spark, "parsed")
     parse_documents(documents).write.parquet(path)
-    return spark.read.parquet(path)
+    return documents.sparkSession.read.parquet(path)
 
 
 def family_frames(parsed: DataFrame) -> dict[str, DataFrame]:
@@ -39,23 +37,42 @@ def family_frames(parsed: DataFrame) -> dict[str, DataFrame]:
     return frames
 
 
-def ingest(spark: SparkSession, documents: DataFrame, base: str) -> None:
+def weeks_of(parsed: DataFrame) -> list[tuple[int, int]]:
+    """Weeks the documents state; the calendar bounds their number."""
+    rows = parsed.where(F.col("iso_year").isNotNull()).select(*WEEK).distinct().collect()
+    return [tuple(r) for r in rows]
+
+
+def ingest(spark: SparkSession, documents: DataFrame, base: str, run: str = "all") -> None:
     """Replace the weeks the documents touch in all weekly tables.
 
-    The documents must hold these weeks completely. Documents that cannot be placed
-    in time are added to ``quarantine``.
+    The documents must hold these weeks completely: a table is emptied for a week it
+    has no rows for. Documents that cannot be placed in time replace the ``quarantine``
+    of the run of that name.
     """
-    _write(stage(documents), base)
+    _write(spark, documents, base, run, None)
 
 
 def ingest_week(spark: SparkSession, documents: DataFrame, base: str, year: int, week: int) -> None:
-    """Replace one ISO week in all weekly tables; other documents are ignored."""
-    start, end = week_range(year, week)
-    parsed = stage(documents)
-    _write(parsed.where((F.col("stamp") >= start) & (F.col("stamp") < end)), base)
+    """Replace one ISO week in all weekly tables; other documents are not parsed.
+
+    Lines that are not JSON may belong to any week and go to this run's quarantine.
+    """
+    _write(spark, keep_week(documents, year, week), base, f"{year}W{week:02d}", [(year, week)])
 
 
-def _write(parsed: DataFrame, base: str) -> None:
-    for family, rows in family_frames(parsed).items():
-        merge_weeks(rows, f"{base}/{family}", FAMILY_PARTITIONS[family])
-    append_chunks(quarantine(parsed), f"{base}/quarantine", ["reason"])
+def _write(spark: SparkSession, documents: DataFrame, base: str, run: str, weeks: list[tuple[int, int]] | None) -> None:
+    path = scratch_path(spark, "parsed")
+    try:
+        parsed = stage(documents, path)
+        touched = weeks_of(parsed) if weeks is None else weeks
+        for family, rows in family_frames(parsed).items():
+            replace_weeks(rows, f"{base}/{family}", touched, FAMILY_PARTITIONS[family])
+        write_quarantine(parsed, base, run)
+    finally:
+        remove_path(spark, path)
+
+
+def write_quarantine(parsed: DataFrame, base: str, run: str) -> None:
+    """Set the quarantined documents of one run, whatever an earlier try left."""
+    quarantine(parsed).write.mode("overwrite").option("compression", "zstd").parquet(f"{base}/quarantine/run={run}")

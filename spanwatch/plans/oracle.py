@@ -208,19 +208,15 @@ peaks AS (SELECT {k}, arg_max(x, {{'d': density, 'k': -k}}) AS f_peak, max(densi
 """
 
 
-def _versions(hub: str = "hub2", minutely: bool = False) -> str:
-    text = (
+def _versions(hub: str = "hub2") -> str:
+    return (
         f"WITH {_EVENTS}, old AS ({_sst(hub, "event_type <> 'signup'")}), "
-        f"new AS ({_sst(hub, "event_type <> 'view'")})"
+        f"new AS ({_sst(hub, "event_type <> 'view'")})\n"
     )
-    if minutely:
-        text += (
-            ", o AS (SELECT date_trunc('minute', datetime) AS datetime FROM old)"
-            ", n AS (SELECT date_trunc('minute', datetime) AS datetime FROM new)"
-        )
-    return text + "\n"
 
 
+# Kinds of events whose chunks lack a column.
+_EARLY = "event_type IN ('error', 'click')"
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 _LINE = f"""'{{"time":{{"datetime":"' || {_ISO} || '"}},"S7":{{"s":' || event_id || '}}}}'"""
 _SLICE = f"{_label('ts')} || '_' || isodow(ts)"
@@ -368,14 +364,53 @@ FROM (VALUES {", ".join(parts)}) AS v(position, old_name, old_type, new_name, ne
 
 
 def _registry_join() -> str:
-    parts = [
-        f"SELECT '{s}' AS sensor_id, '{s[0]}' AS kind, 'hub2' AS hub, "
-        + (f"'{thermometer_of(s)}'" if s in GAUGES else "CAST(NULL AS VARCHAR)")
-        + f" AS temp_sensor_id, '{LOCATIONS[s]}' AS label, count({s}) AS n_values, "
-        f"min({s}) AS value_min, max({s}) AS value_max FROM sst_hub2"
-        for s in ("S7", "S8", "T1")
+    def row(s: str, hub: str, kind: str, label: str, value: str, source: str) -> str:
+        paired = f"'{thermometer_of(s)}'" if s in GAUGES else "CAST(NULL AS VARCHAR)"
+        return (
+            f"SELECT '{s}' AS sensor_id, {kind} AS kind, {hub} AS hub, {paired} AS temp_sensor_id, "
+            f"'{label}' AS label, count({value}) AS n_values, min({value}) AS value_min, "
+            f"max({value}) AS value_max FROM {source} HAVING count(*) > 0"
+        )
+
+    parts = [row(s, f"'{hub_of(s)}'", f"'{s[0]}'", LOCATIONS[s], s, f"sst_{hub_of(s)}") for s in GAUGES + THERMOMETERS]
+    parts += [
+        row(a, f"'{hub_of(a)}'", "'A'", LOCATIONS[a], "fft_main_a", f"(SELECT * FROM spectra WHERE sensor_id = '{a}')")
+        for a in ACCELEROMETERS
     ]
-    return _with("sst_hub2") + _union_all(parts)
+    parts.append(row("X99", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", "X99", "A30_t", "accel_all"))
+    return _with(*_SSTS, "spectra", "accel_all") + _union_all(parts)
+
+
+def _stored() -> str:
+    """Both kinds of documents give a row of the acceleration table."""
+    parts = []
+    for key in TABLE_KEYS:
+        column = {"a": "A30_t", "f": "fft_main_a", "s": _columns_of(key)[1][0]}[key[0]]
+        rows = f"SELECT datetime, {column} AS v FROM {key}"
+        if key == "accel_all":
+            rows += " UNION ALL SELECT datetime, NULL FROM spectra"
+        parts.append(
+            f"SELECT '{key}' AS table_key, count(*) AS n_rows, min(datetime) AS first_dt, max(datetime) AS last_dt, "
+            f"round(sum(CAST(v AS DOUBLE)), 3) AS total FROM ({rows})"
+        )
+    return _with(*TABLE_KEYS, "spectra") + _union_all(parts)
+
+
+def _compare_weeks() -> str:
+    first, last = "datetime >= TIMESTAMP '2024-01-08'", "datetime < TIMESTAMP '2024-01-22'"
+    sides = {
+        "o": [("sst_hub1", f"(SELECT * FROM sst_hub1 WHERE {last})"), ("sst_hub2", "old")],
+        "n": [("sst_hub1", f"(SELECT * FROM sst_hub1 WHERE {first})"), ("sst_hub2", "new")],
+    }
+    counted = [
+        f"{side} AS ({_union_all(f"SELECT {_week('datetime')}, '{name}' AS file, count(*) AS n FROM {source} GROUP BY ALL" for name, source in tables)})"
+        for side, tables in sides.items()
+    ]
+    return f"""{_versions().rstrip()}, sst_hub1 AS ({_sst('hub1')}), {", ".join(counted)}
+SELECT iso_year, iso_week, file, CASE WHEN n.n IS NULL THEN 'missing in NEW' WHEN o.n IS NULL THEN 'missing in OLD'
+  WHEN o.n = n.n THEN 'OK' ELSE 'DIFF' END AS status, o.n AS rows_old, n.n AS rows_new,
+  o.n IS NOT NULL AND n.n IS NOT NULL AS schema_match
+FROM o FULL OUTER JOIN n USING (iso_year, iso_week, file)"""
 
 
 def _flatten_sst() -> str:
@@ -399,6 +434,10 @@ def oracle_sql() -> dict[str, str]:
     sql["ingest_range_scan"] = f"""SELECT {_ISO} AS stamp, {_LINE} AS value FROM events
 WHERE {_ISO} >= '2024-01-08T00:00:00' AND {_ISO} < '2024-01-15T00:00:00'"""
     sql["export_day_jsonl"] = f"SELECT {_SLICE} AS slice, {_LINE} AS value FROM events"
+    sql["export_json_lines"] = f"""WITH {_EVENTS} SELECT '{{"event_id":' || event_id || ',"at":"' ||
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.') || printf('%03d', CAST(millisecond(ts) % 1000 AS INTEGER)) || '"' ||
+  CASE WHEN event_type = 'error' THEN '' ELSE ',"quarter":' || CAST(CAST(k / 4.0 AS FLOAT) AS VARCHAR) END || '}}' AS value FROM e"""
+    sql["fetch_one_day"] = f"SELECT {_LINE} AS value FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-09'"
     sql["export_day_counts"] = (
         f"SELECT {_SLICE} AS slice, CAST(ts AS DATE) AS day, count(*) AS n_documents "
         "FROM events GROUP BY ALL"
@@ -407,7 +446,9 @@ WHERE {_ISO} >= '2024-01-08T00:00:00' AND {_ISO} < '2024-01-15T00:00:00'"""
     sql["weekly_write"] = _with("sst_hub1") + f"SELECT *, {_week('datetime')} FROM sst_hub1"
     sql["weekly_merge"] = (
         _with("sst_hub2")
-        + f"SELECT * REPLACE (CAST(NULL AS FLOAT) AS S14), {_week('datetime')} FROM sst_hub2"
+        + f"SELECT * REPLACE (CAST(NULL AS FLOAT) AS S14), {_week('datetime')} "
+        + f"FROM ({_sst('hub2', _EARLY)}) UNION ALL SELECT *, {_week('datetime')} "
+        + f"FROM ({_sst('hub2', f'NOT ({_EARLY})')})"
     )
     sql["weekly_merge_empty"] = _rows_per_week()
     sql["union_append"] = _versions() + "SELECT * FROM old UNION ALL SELECT * FROM new"
@@ -447,6 +488,15 @@ WHERE {_ISO} >= '2024-01-08T00:00:00' AND {_ISO} < '2024-01-15T00:00:00'"""
     sql["ingest_quarantine"] = f"""SELECT 'not JSON' AS reason, CAST(NULL AS VARCHAR) AS stamp, {cut} AS line
 FROM events WHERE event_type = 'error'
 UNION ALL SELECT 'unreadable datetime', 'event ' || event_id, NULL FROM events WHERE event_type = 'click'"""
+    sql["ingest_week_quarantine"] = f"""SELECT 'not JSON' AS kind, {cut} AS detail FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'row', CAST(CAST(event_id AS INTEGER) AS VARCHAR) || '.0' FROM events WHERE event_type NOT IN ('error', 'click', 'signup', 'view')
+  AND ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'"""
+    sql["ingest_roundtrip"] = sql["stream_ingest"] = _stored()
+    sql["stream_bins"] = (
+        _with("sst_hub1")
+        + f"SELECT {_bin(60)} AS bin_start, 60 AS bin_minutes, round(avg(T4), 6) AS T4, round(avg(T5), 6) AS T5, "
+        "round(avg(T6), 6) AS T6 FROM sst_hub1 GROUP BY 1"
+    )
 
     sql["range_filter"] = (
         _with("sst_hub1") + "SELECT * FROM sst_hub1 WHERE datetime BETWEEN "
@@ -524,11 +574,13 @@ FROM fft GROUP BY 1, 2"""
 
     sql["diff_full_outer"] = _versions() + _diff_sides()
     sql["diff_except"] = _versions() + _diff_except()
-    sql["timestamp_presence"] = _versions(minutely=True) + """SELECT strftime(datetime, '%Y-%m-%d %H:%M:%S.%g') AS timestamp,
-  (SELECT count(*) FROM o WHERE o.datetime = d.datetime) AS exists_in_old,
-  (SELECT count(*) FROM n WHERE n.datetime = d.datetime) AS exists_in_new
-FROM (SELECT DISTINCT datetime FROM n WHERE datetime NOT IN (SELECT datetime FROM o)) d"""
+    sql["timestamp_presence"] = _versions().rstrip() + """,
+o AS (SELECT date_trunc('millisecond', datetime) AS ms, count(*) AS n FROM old GROUP BY 1),
+n AS (SELECT date_trunc('millisecond', datetime) AS ms, count(*) AS n FROM new GROUP BY 1)
+SELECT strftime(ms, '%Y-%m-%d %H:%M:%S.%g') AS timestamp, coalesce(o.n, 0) AS exists_in_old,
+       coalesce(n.n, 0) AS exists_in_new FROM o FULL OUTER JOIN n USING (ms)"""
     sql["compare_tables"] = _compare()
+    sql["compare_weeks"] = _compare_weeks()
     sql["schema_diff"] = _schema_diff()
     sql["coverage_missing"] = _coverage()
     sql["weekly_backfill"] = _backfill()

@@ -7,6 +7,7 @@ the order of summation is not fixed; all other values are exact.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 from spanwatch import functions as fn
 from spanwatch.model import ACCELEROMETERS, HUBS
 from spanwatch.operators import compare, flatten, registry, series, spectrum, timewindow
-from spanwatch.plans import standin, weekly
+from spanwatch.plans import ingest, standin, weekly
 from spanwatch.session import scratch_path
 from spanwatch.sources import documents, store
+from spanwatch.streaming import bins
+from spanwatch.streaming import ingest as streamed
 
 DIGITS = 6
 SST = [f"sst_{hub}" for hub in HUBS]
@@ -61,6 +64,20 @@ def export_day_jsonl(spark, sf_dir):
     return written.select("slice", "value")
 
 
+@query
+def export_json_lines(spark, sf_dir):
+    rows = standin.events(spark, sf_dir)
+    fraction = F.when(F.col("event_type") != "error", (F.col("k") / 4).cast("float"))
+    return documents.as_json_lines(rows.select("event_id", F.col("datetime").alias("at"), fraction.alias("quarter")))
+
+
+@query
+def fetch_one_day(spark, sf_dir):
+    path = scratch_path(spark, "days")
+    documents.export_day_slices(standin.plain_lines(spark, sf_dir), path)
+    return documents.read_day_slices(spark, path, date(2024, 1, 9))
+
+
 @query
 def export_day_counts(spark, sf_dir):
     return documents.count_day_slices(standin.plain_lines(spark, sf_dir))
@@ -82,8 +99,12 @@ def weekly_write(spark, sf_dir):
 def weekly_merge(spark, sf_dir):
     base = scratch_path(spark, "weekly")
     chunks = f"{base}/chunks"
-    rows = store.with_week(standin.sst(spark, sf_dir, "hub2"))
+    # Chunks of errors and clicks come from a version of the logger without S14.
+    events = standin.events(spark, sf_dir)
+    early = F.col("event_type").isin("error", "click")
+    rows = store.with_week(standin.sst_of(events.where(early), "hub2"))
     store.append_chunks(rows.drop("S14"), chunks)
+    store.append_chunks(store.with_week(standin.sst_of(events.where(~early), "hub2")), chunks)
     final = store.table_path(base, "sst_hub2")
     store.merge_weeks(store.read_chunks(spark, chunks), final)
     store.merge_weeks(store.read_chunks(spark, chunks), final)
@@ -140,16 +161,14 @@ def flatten_accel(spark, sf_dir):
 
 @query
 def flatten_sst(spark, sf_dir):
-    tables = flatten.flatten(standin.reading_documents(spark, sf_dir), SST)
-    return store.union_by_name(
-        *[tables[f"sst_{hub}"].withColumn("hub", F.lit(hub)) for hub in HUBS]
-    )
+    parsed = flatten.parse_documents(standin.reading_documents(spark, sf_dir), HUBS)
+    return flatten.hub_rows(parsed)
 
 
 @query
 def flatten_fft(spark, sf_dir):
     lines = standin.spectrum_documents(spark, sf_dir)
-    spectra = spectrum.fft_union(flatten.flatten(lines, FFT))
+    spectra = flatten.fft_rows(flatten.parse_documents(lines, ["fft"]))
     return spectra.select(
         "datetime",
         "hub",
@@ -209,6 +228,71 @@ def ingest_quarantine(spark, sf_dir):
     return flatten.quarantine(flatten.parse_documents(lines, []))
 
 
+def _stored(spark, base):
+    """Rows, first time and a sum over every stored weekly table."""
+    result = None
+    for key, frame in store.read_tables(spark, base).items():
+        column = {"a": "A30_t", "f": "fft_main_a", "s": frame.columns[1]}[key[0]]
+        row = frame.agg(
+            F.lit(key).alias("table_key"),
+            F.count("*").alias("n_rows"),
+            F.min("datetime").alias("first_dt"),
+            F.max("datetime").alias("last_dt"),
+            F.round(F.sum(F.col(column).cast("double")), 3).alias("total"),
+        )
+        result = row if result is None else result.unionByName(row)
+    return result
+
+
+def _all_documents(spark, sf_dir):
+    return standin.reading_documents(spark, sf_dir).unionAll(standin.spectrum_documents(spark, sf_dir))
+
+
+@query
+def ingest_roundtrip(spark, sf_dir):
+    base = scratch_path(spark, "ingested")
+    for _ in range(2):
+        ingest.ingest(spark, _all_documents(spark, sf_dir), base)
+    return _stored(spark, base)
+
+
+@query
+def ingest_week_quarantine(spark, sf_dir):
+    base = scratch_path(spark, "ingested")
+    for _ in range(2):
+        ingest.ingest_week(spark, standin.faulty_lines(spark, sf_dir), base, 2024, 2)
+    rows = store.read_table(spark, base, "sst_hub2").select(F.lit("row").alias("kind"), F.col("S7").cast("string").alias("detail"))
+    faults = spark.read.parquet(f"{base}/quarantine").select(F.col("reason").alias("kind"), F.coalesce("line", "stamp").alias("detail"))
+    return rows.unionByName(faults)
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """All documents as files that a stream picks up and a merge brings into the tables."""
+    base = scratch_path(spark, "streamed")
+    _all_documents(spark, sf_dir).write.text(f"{base}/in")
+    for _ in range(2):
+        streamed.stream_ingest(spark, f"{base}/in", f"{base}/chunks", f"{base}/check").awaitTermination()
+        streamed.merge_chunks(spark, f"{base}/chunks", f"{base}/out")
+    return _stored(spark, f"{base}/out")
+
+
+@query
+def stream_bins(spark, sf_dir):
+    """Hourly means of a stream of the events, as far as the watermark closed them."""
+    base = scratch_path(spark, "bins")
+    rows = standin.sst(spark, sf_dir, "hub1").select("datetime", "T4", "T5", "T6")
+    rows.write.parquet(f"{base}/in")
+    # One more row, years later, closes all bins before it.
+    closing = spark.range(1).select(F.lit("2030-01-01").cast("timestamp_ntz").alias("datetime"), *[F.lit(0.0).cast("float").alias(c) for c in ("T4", "T5", "T6")])
+    closing.write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+    means = bins.stream_means(stream, ["T4", "T5", "T6"], 60)
+    sink = means.writeStream.format("parquet").option("checkpointLocation", f"{base}/check").option("path", f"{base}/out")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/out"), "T4", "T5", "T6")
+
+
 # Windows, weeks, bounds
 
 
@@ -309,9 +393,15 @@ def strain_temp_bins(spark, sf_dir):
 
 @query
 def registry_join(spark, sf_dir):
-    readings = standin.sst(spark, sf_dir, "hub2").unpivot(
-        ["datetime"], ["S7", "S8", "T1"], "sensor_id", "value"
-    )
+    readings = None
+    for hub in HUBS:
+        frame = standin.sst(spark, sf_dir, hub)
+        part = frame.unpivot(["datetime"], frame.columns[1:], "sensor_id", "value")
+        readings = part if readings is None else readings.unionByName(part)
+    spectra = _fft(spark, sf_dir).select("datetime", "sensor_id", F.col("fft_main_a").alias("value"))
+    # A sensor that no one has listed.
+    unknown = standin.accel(spark, sf_dir).select("datetime", F.lit("X99").alias("sensor_id"), F.col("A30_t").alias("value"))
+    readings = readings.unionByName(spectra).unionByName(unknown)
     columns = ["kind", "hub", "temp_sensor_id", "label"]
     known = registry.with_sensor(readings, registry.registry(spark), columns)
     return known.groupBy("sensor_id", *columns).agg(
@@ -400,16 +490,14 @@ def diff_except(spark, sf_dir):
     return compare.diff_except(*standin.versions(spark, sf_dir))
 
 
-def _minutely(frame):
-    """Rows at whole minutes, so that many share one time."""
-    return frame.withColumn("datetime", fn.bin_start("datetime", 1))
-
-
 @query
 def timestamp_presence(spark, sf_dir):
-    old, new = (_minutely(v) for v in standin.versions(spark, sf_dir))
-    diff = compare.diff_full_outer(old, new)
-    return compare.timestamp_presence(diff.select(F.col("new_dt").alias("datetime")), old, new)
+    old, new = standin.versions(spark, sf_dir)
+    # Times of the old version, some microseconds off: the same milliseconds.
+    micro = F.make_dt_interval(secs=(F.col("S7") * 0 + 0.000007).cast("decimal(18,6)"))
+    moved = old.select((F.date_trunc("MILLISECOND", "datetime").cast("timestamp_ntz") + F.coalesce(micro, F.make_dt_interval())).alias("datetime"))
+    diff = compare.diff_full_outer(old, new).select("datetime")
+    return compare.timestamp_presence(diff.unionByName(moved), old, new)
 
 
 @query
@@ -422,6 +510,17 @@ def compare_tables(spark, sf_dir):
     return compare.compare_tables(before, after)
 
 
+@query
+def compare_weeks(spark, sf_dir):
+    old, new = standin.versions(spark, sf_dir)
+    gauges = standin.sst(spark, sf_dir, "hub1")
+    first = F.col("datetime") < F.lit("2024-01-08").cast("timestamp_ntz")
+    last = F.col("datetime") >= F.lit("2024-01-22").cast("timestamp_ntz")
+    before = {"sst_hub1": gauges.where(~last), "sst_hub2": old}
+    after = {"sst_hub1": gauges.where(~first), "sst_hub2": new}
+    return compare.compare_weeks(before, after)
+
+
 @query
 def schema_diff(spark, sf_dir):
     old, new = standin.versions(spark, sf_dir)

@@ -43,14 +43,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @lru_cache(maxsize=64)
 def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table in at least as many partitions as there are cores.
+    """A given table dealt evenly over the shuffle partitions of the session.
 
-    Building and parsing documents is costly per row, and a small table comes as
-    one file, which a single task would read. A table of many files is left as is.
+    Building and parsing documents is costly per row, and a table may come as one
+    file, which a single task would read.
     """
-    frame = read(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+    return read(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
@@ -86,7 +84,11 @@ def axis(sensor: str, name: str) -> str:
 
 
 def sst(spark: SparkSession, sf_dir: str, hub: str) -> DataFrame:
-    frame = events(spark, sf_dir)
+    return sst_of(events(spark, sf_dir), hub)
+
+
+def sst_of(frame: DataFrame, hub: str) -> DataFrame:
+    """Rows of one hub's table for the given events."""
     if hub in ABSENT_HUB:
         frame = frame.where(F.col("event_type") != ABSENT_HUB[hub])
     return frame.selectExpr(

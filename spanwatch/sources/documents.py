@@ -57,6 +57,16 @@ def scan_range(documents: DataFrame, start: str, end: str) -> DataFrame:
     return kept.select("row.stamp", "row.value")
 
 
+def keep_week(documents: DataFrame, year: int, week: int) -> DataFrame:
+    """Lines that state a time in the week, and lines that are not JSON: these may
+    belong to any week. Nothing else of a line is read."""
+    start, end = week_range(year, week)
+    stamped = with_stamp(documents)
+    inside = (F.col("stamp") >= start) & (F.col("stamp") < end)
+    broken = F.expr("doc IS NULL AND trim(value) <> ''")
+    return emit_when(stamped, F.coalesce(inside, F.lit(False)) | broken, F.struct("value")).select("row.value")
+
+
 def week_range(year: int, week: int) -> tuple[str, str]:
     """ISO texts of Monday 00:00 and the Monday after."""
     monday = date.fromisocalendar(year, week, 1)
@@ -91,10 +101,13 @@ def day_slices(documents: DataFrame) -> DataFrame:
 
 
 def export_day_slices(documents: DataFrame, path: str) -> None:
-    """Write one folder of JSON lines per day slice, replacing the days written."""
+    """Write one folder of JSON lines per day slice, replacing the days written.
+
+    Days are brought together before, in as few files as their size allows."""
     (
         day_slices(documents)
         .select("slice", "value")
+        .hint("rebalance", "slice")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("slice")
@@ -102,6 +115,23 @@ def export_day_slices(documents: DataFrame, path: str) -> None:
     )
 
 
+def read_day_slices(spark: SparkSession, path: str, first: date, last: date | None = None) -> DataFrame:
+    """Lines of the exported days from ``first`` to ``last`` (one day if not given).
+
+    Only the folders of these days are opened; a day without a folder has no lines.
+    """
+    days = [first + timedelta(days=n) for n in range(((last or first) - first).days + 1)]
+    names = ["{}W{:02d}_{}".format(*day.isocalendar()) for day in days]
+    slices = spark.read.schema("value string, slice string").text(path)
+    return slices.where(F.col("slice").isin(names)).select("value")
+
+
+def read_week_slices(spark: SparkSession, path: str, year: int, week: int) -> DataFrame:
+    """Lines of the exported days of one ISO week."""
+    monday = date.fromisocalendar(year, week, 1)
+    return read_day_slices(spark, path, monday, monday + timedelta(days=6))
+
+
 def count_day_slices(documents: DataFrame) -> DataFrame:
     """Number of documents per day slice."""
     return day_slices(documents).groupBy("slice", "day").agg(F.count("*").alias("n_documents"))

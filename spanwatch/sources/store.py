@@ -65,20 +65,48 @@ def read_table(spark: SparkSession, base: str, key: str, weeks: bool = False) ->
 
     ``weeks`` keeps the partition columns, so a filter on them skips folders.
     """
-    fields = table_schema(key).fields
-    if weeks:
-        fields = fields + [T.StructField(name, T.IntegerType()) for name in WEEK]
+    fields = table_schema(key).fields + [T.StructField(name, T.IntegerType()) for name in WEEK]
     schema = T.StructType(fields)
+    wanted = schema.names if weeks else table_schema(key).names
     try:
-        return spark.read.schema(schema).parquet(table_path(base, key))
+        return spark.read.schema(schema).parquet(table_path(base, key)).select(wanted)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).select(wanted)
 
 
-def read_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {key: read_table(spark, base, key) for key in TABLE_KEYS}
+def read_tables(spark: SparkSession, base: str, weeks: bool = False) -> dict[str, DataFrame]:
+    """All weekly tables; with ``weeks``, windows over them open only their weeks."""
+    return {key: read_table(spark, base, key, weeks) for key in TABLE_KEYS}
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it lies."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def replace_weeks(rows: DataFrame, path: str, touched: list[tuple[int, int]], partitions: list[str] = WEEK) -> None:
+    """As :func:`merge_weeks`, and empty those of the ``touched`` weeks without rows.
+
+    ``touched`` are the weeks of a run, a list the calendar bounds. Partition columns
+    before the week, such as the hub, are looked up in the table's folders.
+    """
+    merge_weeks(rows, path, partitions)
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    written = {tuple(r) for r in rows.select(*[F.col(c).cast("string") for c in partitions]).distinct().collect()}
+    above = "/".join(f"{name}=*" for name in partitions if name not in WEEK)
+    for year, week in touched:
+        pattern = "/".join(p for p in (path, above, f"iso_year={year}", f"iso_week={week}") if p)
+        for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []:
+            folder = status.getPath().toString()
+            values = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
+            if tuple(values[c] for c in partitions) not in written:
+                files.delete(status.getPath(), True)
 
 
 def empty_table(spark: SparkSession, key: str) -> DataFrame:
@@ -99,8 +127,8 @@ def file_inventory(spark: SparkSession, *paths: str) -> DataFrame:
     counts = None
     for path in paths:
         rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path"))
-        counted = rows.groupBy("path").agg(F.count("*").alias("n_rows"))
-        counts = counted if counts is None else counts.unionByName(counted)
+        counts = rows if counts is None else counts.unionAll(rows)
+    counts = counts.groupBy("path").agg(F.count("*").alias("n_rows"))
     return counts.select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", "n_rows")
 
 

@@ -2,25 +2,37 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spanwatch.plans.ingest import FAMILY_PARTITIONS, family_frames, stage
-from spanwatch.sources.store import merge_weeks, read_chunks
+from spanwatch.plans.ingest import FAMILY_PARTITIONS, family_frames, stage, write_quarantine
+from spanwatch.session import scratch_path
+from spanwatch.sources.store import WEEK, merge_weeks, remove_path
 
 
-def _write_batch(parsed: DataFrame, batch: int, chunks: str) -> None:
-    """Chunk files of one batch, in a folder of its own.
+def _write_batch(documents: DataFrame, batch: int, chunks: str) -> None:
+    """Chunk files of one batch by week, in a folder of its own, and its quarantine.
 
     A batch that is run again after a failure replaces its own folder, so its rows
     are never written twice.
     """
-    for family, rows in family_frames(parsed).items():
-        (
-            rows.write.mode("overwrite")
-            .option("compression", "zstd")
-            .parquet(f"{chunks}/{family}/ingest_batch={batch}")
-        )
+    spark = documents.sparkSession
+    path = scratch_path(spark, "parsed")
+    try:
+        parsed = stage(documents, path)
+        for family, rows in family_frames(parsed).items():
+            (
+                rows.write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .option("compression", "zstd")
+                .partitionBy(*WEEK)
+                .parquet(f"{chunks}/{family}/ingest_batch={batch}")
+            )
+        write_quarantine(parsed, chunks, f"batch{batch}")
+    finally:
+        remove_path(spark, path)
 
 
 def stream_ingest(
@@ -33,7 +45,8 @@ def stream_ingest(
     """Read the document files not seen so far and write their chunk files.
 
     The query stops when the present files are done and picks up the next ones when
-    it is started again with the same checkpoint.
+    it is started again with the same checkpoint. Documents that cannot be placed in
+    time go to ``quarantine`` beside the chunks.
     """
     reader = spark.readStream.format("text")
     if max_files is not None:
@@ -41,7 +54,7 @@ def stream_ingest(
     lines = reader.load(source).select("value")
 
     def write(batch: DataFrame, number: int) -> None:
-        _write_batch(stage(batch), number, chunks)
+        _write_batch(batch, number, chunks)
 
     return (
         lines.writeStream.foreachBatch(write)
@@ -51,10 +64,37 @@ def stream_ingest(
     )
 
 
-def merge_chunks(spark: SparkSession, chunks: str, base: str) -> None:
-    """Turn the chunk files of all batches into sorted weekly tables."""
-    for family, partitions in FAMILY_PARTITIONS.items():
-        rows = read_chunks(spark, f"{chunks}/{family}").drop("ingest_batch")
-        merge_weeks(rows, f"{base}/{family}", partitions)
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """Chunks or marks; None if there is nothing yet."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
 
+def merge_chunks(spark: SparkSession, chunks: str, base: str) -> None:
+    """Bring the chunk files of new batches into the sorted weekly tables.
 
+    Only weeks that a batch not merged before has rows in are written again, from all
+    chunks of these weeks; their folders keep other weeks closed. A batch is marked
+    as merged once all families are done, so a merge that broke off is done again.
+    """
+    marks = _read(spark, f"{base}/merged_batches")
+    done = {r[0] for r in marks.select("batch").distinct().collect()} if marks is not None else set()
+    found = set()
+    for family, partitions in FAMILY_PARTITIONS.items():
+        rows = _read(spark, f"{chunks}/{family}")
+        if rows is None or "iso_year" not in rows.columns:
+            continue
+        batches = {r[0] for r in rows.select("ingest_batch").distinct().collect()}
+        found |= batches
+        fresh = rows.where(F.col("ingest_batch").isin(sorted(batches - done)))
+        weeks = [r.iso_year * 100 + r.iso_week for r in fresh.select(*WEEK).distinct().collect()]
+        if weeks:
+            touched = rows.where((F.col("iso_year") * 100 + F.col("iso_week")).isin(weeks))
+            merge_weeks(touched.drop("ingest_batch"), f"{base}/{family}", partitions)
+    if found - done:
+        new = spark.createDataFrame([(b,) for b in sorted(found - done)], "batch int")
+        new.coalesce(1).write.mode("append").parquet(f"{base}/merged_batches")

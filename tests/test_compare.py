@@ -42,10 +42,10 @@ def test_whole_rows_with_copies(spark):
 def test_presence_looks_up_whole_milliseconds(spark):
     listed = hub3(spark, ("2025-12-01T00:00:00.250", 1.0), ("2025-12-01T00:00:01.000001", 1.0), ("2025-12-02", 1.0), (None, 1.0))
     old = hub3(spark, ("2025-12-01T00:00:00.250", 1.0), ("2025-12-01T00:00:00.250", 2.0))
-    new = hub3(spark, ("2025-12-01T00:00:01.000001", 1.0), ("2025-12-02", 1.0))
+    new = hub3(spark, ("2025-12-01T00:00:01.000001", 1.0), ("2025-12-01T00:00:01.000900", 1.0), ("2025-12-02", 1.0))
     assert rows(timestamp_presence(listed, old, new), "timestamp") == [
         ("2025-12-01 00:00:00.250", 2, 0),
-        ("2025-12-01 00:00:01.000", 0, 0),
+        ("2025-12-01 00:00:01.000", 0, 2),
         ("2025-12-02 00:00:00.000", 0, 1),
     ]
 

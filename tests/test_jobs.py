@@ -1,15 +1,20 @@
+import glob
 import json
+import time
+from datetime import date
 
 import pytest
 from helpers import at, lines, rows
 
-from spanwatch.model import TABLE_KEYS
+from spanwatch.model import TABLE_KEYS, table_schema
 from spanwatch.operators.flatten import flatten
+from spanwatch.operators.spectrum import fft_union
 from spanwatch.plans.ingest import ingest, ingest_week
 from spanwatch.plans.weekly import weekly_backfill, weekly_tables
 from spanwatch.session import scratch_path, shared_folder
+from spanwatch.sources.documents import export_day_slices, read_day_slices, read_week_slices
 from spanwatch.sources.store import read_table, read_tables
-from spanwatch.streaming.bins import late_rows, stream_accel_minute, stream_means
+from spanwatch.streaming.bins import LateRows, stream_accel_minute, stream_means
 from spanwatch.streaming.ingest import merge_chunks, stream_ingest
 
 
@@ -67,7 +72,8 @@ def test_a_week_is_cut_by_the_text_of_its_documents(spark, tmp_path):
 
 def test_quarantine_is_kept(spark, tmp_path):
     base = str(tmp_path / "weekly")
-    ingest(spark, documents(spark), base)
+    for _ in range(2):
+        ingest(spark, documents(spark), base)
     kept = spark.read.parquet(f"{base}/quarantine")
     assert rows(kept.select("reason", "stamp", "line"), "reason") == [
         ("not JSON", None, "{broken"),
@@ -75,6 +81,58 @@ def test_quarantine_is_kept(spark, tmp_path):
     ]
 
 
+def test_a_week_keeps_lines_that_are_not_json(spark, tmp_path):
+    base = str(tmp_path / "weekly")
+    faulty = documents(spark).union(lines(spark, '{"time": {"datetime": "2025-12-09Tsoon"}}'))
+    for _ in range(2):
+        ingest_week(spark, faulty, base, 2025, 50)
+    kept = spark.read.parquet(f"{base}/quarantine").select("reason", "stamp", "line")
+    assert rows(kept, "reason") == [("not JSON", None, "{broken"), ("unreadable datetime", "2025-12-09Tsoon", None)]
+
+
+def test_a_family_without_rows_is_emptied_for_the_week(spark, tmp_path):
+    base = str(tmp_path / "weekly")
+    first = lines(spark, '{"time": {"datetime": "2025-12-02T00:00:00"}, "S15": {"s": 1}, "S7": {"s": 1}}', document("2025-11-25T00:00:00", 1.0))
+    ingest(spark, first, base)
+    corrected = lines(spark, '{"time": {"datetime": "2025-12-02T00:00:00"}, "S7": {"s": 2}}')
+    ingest_week(spark, corrected, base, 2025, 49)
+    assert read_table(spark, base, "sst_hub3").count() == 0
+    assert values(read_table(spark, base, "sst_hub2")) == [1.0, 2.0]
+    ingest(spark, lines(spark, '{"time": {"datetime": "2025-11-26T00:00:00"}, "S7": {"s": 5}}'), base)
+    assert read_table(spark, base, "fft_hub2").count() == 0 and values(read_table(spark, base, "sst_hub2")) == [2.0, 5.0]
+
+
+def test_stored_tables_have_exactly_their_schema(spark, tmp_path):
+    base = str(tmp_path / "weekly")
+    ingest(spark, documents(spark), base)
+    for weeks in (False, True):
+        for key, frame in read_tables(spark, base, weeks).items():
+            assert frame.columns == table_schema(key).names + (["iso_year", "iso_week"] if weeks else []), key
+    # Spectra of one hub only are on disk.
+    assert fft_union(read_tables(spark, base)).count() == len(STAMPS)
+    direct = weekly_backfill(flatten(documents(spark)))
+    assert rows(weekly_backfill(read_tables(spark, base)), "chart", "sensor_id", "iso_week") == rows(direct, "chart", "sensor_id", "iso_week")
+
+
+def test_nothing_is_left_in_scratch(spark, tmp_path):
+    def parsed():
+        return glob.glob(f"{shared_folder(spark).removeprefix('file:')}/spanwatch/parsed-*")
+
+    before = parsed()
+    ingest(spark, documents(spark), str(tmp_path / "weekly"))
+    assert parsed() == before
+
+
+def test_one_day_or_week_of_the_export(spark, tmp_path):
+    path = str(tmp_path / "days")
+    export_day_slices(documents(spark), path)
+    assert read_day_slices(spark, path, date(2025, 12, 1)).count() == 3
+    assert read_day_slices(spark, path, date(2025, 12, 2)).count() == 0
+    week = read_week_slices(spark, path, 2025, 49)
+    assert week.count() == 4
+    assert "PartitionFilters: []" not in week._jdf.queryExecution().executedPlan().toString()
+
+
 def test_weekly_report_of_all_weeks(spark):
     frames = flatten(documents(spark))
     charts = {tuple(r)[:4]: r for r in weekly_backfill(frames).collect()}
@@ -97,8 +155,10 @@ def test_stream_equals_batch_and_continues(spark, tmp_path):
         lines(spark, *part).write.mode("append").text(source)
         query = stream_ingest(spark, source, chunks, checkpoint, max_files=1)
         assert query.awaitTermination(300) and query.exception() is None
+        merge_chunks(spark, chunks, base)
     merge_chunks(spark, chunks, base)
-    merge_chunks(spark, chunks, base)
+    faults = spark.read.parquet(f"{chunks}/quarantine").select("reason")
+    assert rows(faults, "reason") == [("not JSON",), ("unreadable datetime",)]
     batch = str(tmp_path / "batch")
     ingest(spark, documents(spark), batch)
     for key in TABLE_KEYS:
@@ -108,12 +168,11 @@ def test_stream_equals_batch_and_continues(spark, tmp_path):
 
 
 def test_a_batch_run_twice_writes_its_rows_once(spark, tmp_path):
-    from spanwatch.plans.ingest import stage
     from spanwatch.streaming.ingest import _write_batch
 
     chunks, base = str(tmp_path / "chunks"), str(tmp_path / "out")
     for _ in range(2):
-        _write_batch(stage(documents(spark)), 0, chunks)
+        _write_batch(documents(spark), 0, chunks)
     merge_chunks(spark, chunks, base)
     assert values(read_table(spark, base, "sst_hub2")) == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
 
@@ -130,7 +189,16 @@ def _run(query_frame, path, checkpoint):
     return query
 
 
-def test_streamed_bins_equal_batch_bins_once_closed(spark, tmp_path):
+@pytest.mark.parametrize("session_zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_streamed_bins_equal_batch_bins_once_closed(spark, tmp_path, session_zone):
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        _check_streamed_bins(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _check_streamed_bins(spark, tmp_path):
     from spanwatch.operators.series import accel_minute, mean_series
 
     frames = flatten(documents(spark))
@@ -156,8 +224,17 @@ def test_streamed_bins_equal_batch_bins_once_closed(spark, tmp_path):
     assert rows(spark.read.parquet(paths["minutes"]), "minute") == rows(batch, "minute")
 
     late.coalesce(1).write.mode("append").parquet(source)
-    query = _run(means(), paths["means"], str(tmp_path / "check-means"))
-    assert late_rows(query) == 1
+    counter = LateRows()
+    spark.streams.addListener(counter)
+    try:
+        query = _run(means(), paths["means"], str(tmp_path / "check-means"))
+        for _ in range(100):
+            if counter.dropped.get(str(query.id)):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counter)
+    assert counter.dropped[str(query.id)] == 1
 
 
 def test_scratch_lies_in_the_shared_folder(spark):

@@ -1,14 +1,19 @@
 """What the plans must look like to hold at scale."""
 
+import re
+
 from helpers import at, table, tables
 from pyspark.sql import functions as F
 
-from spanwatch.operators.compare import diff_except, diff_full_outer
-from spanwatch.operators.medians import MAX_BROADCAST_GROUPS, exact_median
+from spanwatch.model import HUBS, TABLE_KEYS
+from spanwatch.operators.compare import coverage_missing, diff_except, diff_full_outer
+from spanwatch.operators.flatten import fft_rows, hub_rows, parse_documents
+from spanwatch.operators.medians import exact_median
 from spanwatch.operators.series import accel_daily_grid, accel_minute, temps_col
 from spanwatch.operators.spectrum import fft_points
-from spanwatch.operators.timewindow import last_days, range_filter
-from spanwatch.sources.store import merge_weeks, read_table, table_path, with_week
+from spanwatch.operators.registry import registry
+from spanwatch.operators.timewindow import last_days, range_filter, within_week
+from spanwatch.sources.store import merge_weeks, read_table, read_tables, table_path, with_week
 
 
 def physical(frame) -> str:
@@ -59,13 +64,53 @@ def test_medians_of_unknown_many_groups_count_values_once(spark, tmp_path):
     assert "ReusedExchange" in physical(median)
 
 
-def test_medians_of_few_groups_never_shuffle_the_rows(spark, tmp_path):
-    frame = stored(spark, tmp_path, "sst_hub2", [{"datetime": at("2025-12-01"), "S7": 1.0}])
-    few = physical(exact_median(frame, ["datetime"], "S7", groups=MAX_BROADCAST_GROUPS))
-    assert few.count("Join") == 1 and few.count("BuildRight") == 1
-    many = logical(exact_median(frame, ["datetime"], "S7", groups=MAX_BROADCAST_GROUPS + 1))
-    assert "strategy=broadcast" in logical(exact_median(frame, ["datetime"], "S7", groups=1))
-    assert "strategy=broadcast" not in many
+def shape(frame) -> list[str]:
+    return re.findall(r"^[\s:+-]*([A-Z]\w+)", logical(frame), re.M)
+
+
+def test_the_plan_of_medians_is_the_same_for_any_amount_of_data(spark):
+    def medians(n):
+        rows = spark.range(n).selectExpr("timestamp_ntz'2020-01-01' + make_dt_interval(0, 0, cast(id AS int)) AS datetime", "cast(id AS float) AS S7")
+        return exact_median(rows, ["datetime"], "S7")
+
+    few, many = medians(10), medians(30_000_000)
+    assert shape(few) == shape(many) and len(shape(few)) > 8
+    assert "strategy=broadcast" not in logical(few)
+
+
+def test_documents_are_parsed_once_for_all_hubs_and_spectra(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([('{"time":{"datetime":"2025-12-01T00:00:00"},"S7":{"s":1}}',)], "value string").write.text(path)
+    documents = spark.read.text(path)
+    for frame in (hub_rows(parse_documents(documents, HUBS)), fft_rows(parse_documents(documents, ["fft"]))):
+        plan = physical(frame)
+        assert plan.count("FileScan") == 1 and plan.count("Exchange") == 0
+        assert len(re.findall(r"invoke\(VariantExpressionEvalUtils|parse_json|from_json\(VariantType", plan)) <= 2
+
+
+def test_windows_over_stored_tables_open_only_their_weeks(spark, tmp_path):
+    path = str(tmp_path)
+    stamps = ["2025-11-03", "2025-12-01", "2025-12-08 00:30:00"]
+    merge_weeks(with_week(table(spark, "sst_hub1", [{"datetime": at(s), "T4": 1.0} for s in stamps])), table_path(path, "sst_hub1"))
+    # Filed by its written date, stored under an earlier time by its offset.
+    moved = table(spark, "sst_hub1", [{"datetime": at("2025-12-07 22:30:00"), "T4": 2.0}]).selectExpr("*", "2025 AS iso_year", "50 AS iso_week")
+    moved.write.mode("append").partitionBy("iso_year", "iso_week").parquet(table_path(path, "sst_hub1"))
+    frame = read_table(spark, path, "sst_hub1", weeks=True)
+    for found, want in (
+        (within_week(frame, 2025, 49), {at("2025-12-01"), at("2025-12-07 22:30:00")}),
+        (range_filter(frame, "2025-12-07", "2025-12-09"), {at("2025-12-07 22:30:00"), at("2025-12-08 00:30:00")}),
+        (last_days(frame), {at("2025-12-07 22:30:00"), at("2025-12-08 00:30:00"), at("2025-12-01 00:30:00")} - {at("2025-12-01 00:30:00")}),
+    ):
+        assert re.search(r"PartitionFilters: \[\S", physical(found).replace("PartitionFilters: []", ""))
+        assert {r.datetime for r in found.collect()} == want
+
+
+def test_coverage_reads_each_table_for_bounds_and_for_counts_only(spark, tmp_path):
+    base = str(tmp_path)
+    for key in TABLE_KEYS:
+        merge_weeks(with_week(table(spark, key, [{"datetime": at("2025-12-01")}])), table_path(base, key))
+    plan = physical(coverage_missing(registry(spark), read_tables(spark, base)))
+    assert plan.count("FileScan") <= 2 * len(TABLE_KEYS)
 
 
 def test_differences_combine_copies_before_the_shuffle(spark):
