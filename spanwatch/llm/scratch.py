@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from spanwatch.session import scratch_path
@@ -26,3 +28,10 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps, which it does when the
+    driver's objects for them are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

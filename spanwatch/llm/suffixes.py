@@ -18,16 +18,15 @@ two independent 64-bit hashes stand for the bytes.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import discard, stored
+from spanwatch.llm.scratch import discard, release, stored
 
 LENGTH = 200
 GRAM = 64
@@ -190,13 +189,6 @@ def _split(around: DataFrame, length: int, step: int) -> DataFrame:
     return around.mapInArrow(run, _NODE)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished steps, which it does when the
-    driver's objects for them are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def repeats(texts: DataFrame, length: int = LENGTH, gram: int | None = None) -> DataFrame:
     """Runs of repeated suffixes: row, ``start`` and ``end`` of the bytes they cover,
     and ``earlier``: whether each of them also starts at a smaller (row, position),
