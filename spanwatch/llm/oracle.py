@@ -1,7 +1,48 @@
-"""SQL for the operators that SQL can express."""
+"""SQL for the operators that SQL can express.
+
+The others are models, random rounding, hashes or patterns with offsets that SQL has
+no functions for; ``tests/llm`` holds them against brute force.
+"""
 
 from __future__ import annotations
 
+# Every start of 200 bytes, as hexadecimal text, counted by its digest. Texts are cut
+# into pieces of 1,024 starts first, as taking a part of a long text costs its length.
+_REPEATED_BYTES = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, base, substr(h, 2 * base + 1, 2 * (1024 + 199)) AS part
+      FROM d, unnest(range(0, greatest(length(h) // 2 - 199, 0), 1024)) AS r(base)),
+w AS (SELECT doc_id, base + s AS s, md5(substr(part, 2 * s + 1, 400)) AS k
+      FROM p, unnest(range(0, length(part) // 2 - 199)) AS r(s)),
+again AS (SELECT doc_id, s FROM (SELECT *, count(*) OVER (PARTITION BY k) AS n FROM w) WHERE n > 1),
+marked AS (SELECT *, CASE WHEN s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 THEN 1 ELSE 0 END AS fresh FROM again),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(s) AS a, max(s) + 200 AS b FROM numbered GROUP BY doc_id, span),
+before AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS last FROM spans),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+                string_agg(substr(h, 2 * last + 1, 2 * (a - last)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h
+         FROM before JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+# All pairs of a label, and the smallest id that links lead to.
+_NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+near AS MATERIALIZED (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+reached(x, y) AS (SELECT x, y FROM near UNION SELECT r.x, n.y FROM reached r JOIN near n ON r.y = n.x),
+least AS (SELECT x, min(y) AS y FROM reached GROUP BY x),
+counted AS (SELECT x, count(*) AS n FROM near GROUP BY x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(l.y, vec_id)) AS component_id,
+       vec_id <= coalesce(l.y, vec_id) AS kept
+FROM embeddings LEFT JOIN least l ON l.x = vec_id LEFT JOIN counted c ON c.x = vec_id"""
+
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_repeated_bytes": _REPEATED_BYTES, "op9_near_vectors": _NEAR_VECTORS}
