@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spanwatch.functions import at_or_above, bin_start
 from spanwatch.model import ACCELEROMETERS, HUBS
-from spanwatch.operators.timewindow import as_stamp, day_span
+from spanwatch.operators.timewindow import as_stamp, day_span, within
 
 THRESHOLD = 0.08
 GRID_POINTS = 500
@@ -38,17 +38,18 @@ def fft_within(
 ) -> DataFrame:
     """Spectra of the sensors in a closed window, by default each sensor's last days."""
     wanted = fft.where(F.col("sensor_id").isin(sensors))
-    stamp = F.col("datetime")
     if end is not None:
         low = as_stamp(start) if start is not None else as_stamp(end) - day_span(days)
-        return wanted.where(stamp.between(low, as_stamp(end)))
+        return within(wanted, (low, as_stamp(end)))
     if start is not None:
-        return wanted.where(stamp >= as_stamp(start))
+        return within(wanted, (as_stamp(start), None))
     # At most one row per listed sensor, so the broadcast has a fixed size.
     limits = fft_bounds(fft, sensors).select(
         "sensor_id", (F.col("end_dt") - day_span(days)).alias("low")
     )
-    return wanted.join(F.broadcast(limits), "sensor_id").where(stamp >= F.col("low")).drop("low")
+    # No sensor's window begins before the earliest one: that bound reaches the scan.
+    recent = within(wanted, (limits.agg(F.min("low")).scalar(), None))
+    return recent.join(F.broadcast(limits), "sensor_id").where(F.col("datetime") >= F.col("low")).drop("low")
 
 
 def fft_points(spectra: DataFrame, threshold: float = THRESHOLD, keep: list[str] = ["sensor_id"]) -> DataFrame:

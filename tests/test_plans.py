@@ -10,7 +10,7 @@ from spanwatch.operators.compare import coverage_missing, diff_except, diff_full
 from spanwatch.operators.flatten import fft_rows, hub_rows, parse_documents
 from spanwatch.operators.medians import exact_median
 from spanwatch.operators.series import accel_daily_grid, accel_minute, temps_col
-from spanwatch.operators.spectrum import fft_points
+from spanwatch.operators.spectrum import fft_points, fft_within
 from spanwatch.operators.registry import registry
 from spanwatch.operators.timewindow import last_days, range_filter, within_week
 from spanwatch.sources.store import merge_weeks, read_table, read_tables, table_path, with_week
@@ -105,6 +105,17 @@ def test_windows_over_stored_tables_open_only_their_weeks(spark, tmp_path):
         assert {r.datetime for r in found.collect()} == want
 
 
+def test_recent_spectra_are_bounded_in_the_scan(spark, tmp_path):
+    path = str(tmp_path)
+    records = [{"datetime": at(s), "sensor_id": "A30", "fft_freqs": [1.0], "fft_amps": [1.0]} for s in ("2025-11-03", "2025-12-01")]
+    merge_weeks(with_week(table(spark, "fft_hub2", records)), table_path(path, "fft_hub2"))
+    found = fft_within(read_table(spark, path, "fft_hub2", weeks=True))
+    plan = physical(found.select("fft_amps"))
+    assert "GreaterThanOrEqual(datetime,ScalarSubquery" in plan
+    assert re.search(r"PartitionFilters: \[\S", plan.replace("PartitionFilters: []", ""))
+    assert [r.datetime for r in found.collect()] == [at("2025-12-01")]
+
+
 def test_coverage_reads_each_table_for_bounds_and_for_counts_only(spark, tmp_path):
     base = str(tmp_path)
     for key in TABLE_KEYS:
