@@ -27,8 +27,8 @@ PER_CLASS = 1000
 THRESHOLD = 0.3
 STARTS = (3, 4, 5, 6)
 LEAST_TEXTS = 3
-MOST_CACHED = 1 << 19
-SLICE = 1 << 18
+MOST_CACHED = 1 << 18
+SLICE = 1 << 16
 _TOKEN = re.compile(r"[^\W_]+")
 
 
@@ -183,60 +183,92 @@ def spans(text: str, marginal: np.ndarray) -> list[dict]:
     return found
 
 
-def _token_labels(texts: list[list[str]], y: np.ndarray) -> set[str]:
-    """Observations that mark a token of a toxic text as toxic."""
+def _counted(rows: list[tuple[str, int]]) -> tuple[Counter, Counter]:
+    """In how many toxic and clean texts an observation is found; only observations of
+    ``LEAST_TEXTS`` toxic texts are counted."""
     toxic, clean = Counter(), Counter()
-    for tokens, c in zip(texts, y, strict=True):
-        (toxic if c else clean).update({f for t in set(tokens) for f in forms(t)})
-    n1, n0 = max(1.0, y.sum()), max(1.0, len(y) - y.sum())
-    # Rate in toxic texts at least ten times that in clean ones, with half a text of doubt.
-    return {f for f, n in toxic.items() if n >= LEAST_TEXTS and (n / n1) >= 10 * (clean[f] + 0.5) / n0 and n >= 8 * (clean[f] * n1 / n0 + 0.25)}
+
+    def distinct(text: str) -> set[str]:
+        return {f for t in set(_TOKEN.findall(text)) for f in forms(t)}
+
+    for text, c in rows:
+        if c:
+            toxic.update(distinct(text))
+    toxic = Counter({f: n for f, n in toxic.items() if n >= LEAST_TEXTS})
+    for text, c in rows:
+        if not c:
+            clean.update(f for f in distinct(text) if f in toxic)
+    return toxic, clean
 
 
 def train(rows: list[tuple[str, int]], rounds: int = 40, rate: float = 1.0, ridge: float = 0.05) -> Tagger:
-    """Fit the field on the tokens of the sample, then the calibration on its texts."""
+    """Fit the field on the tokens of the sample, then the calibration on its texts.
+
+    Texts are gone through in slices, so memory holds token numbers and one slice.
+    """
     y = np.array([c for _, c in rows], float)
     tagger = Tagger(prior=float(y.mean()) if len(y) else 0.5)
     if len(set(y.tolist())) < 2:
         return tagger
-    texts = [_TOKEN.findall(t) for t, _ in rows]
-    marks = _token_labels(texts, y)
-    words = {w: i for i, w in enumerate(dict.fromkeys(t for tokens in texts for t in tokens))}
-    counts = Counter(f for w in words for f in forms(w))
-    names = {f: i for i, f in enumerate(f for f, n in counts.items() if n >= 2 or f in marks)}
+    toxic, clean = _counted(rows)
+    n1, n0 = y.sum(), len(y) - y.sum()
+    # Rate in toxic texts at least ten times that in clean ones, with half a text of doubt.
+    marks = {f for f, n in toxic.items() if n / n1 >= 10 * (clean[f] + 0.5) / n0 and n >= 8 * (clean[f] * n1 / n0 + 0.25)}
+    words: dict[str, int] = {}
+    texts = [np.array([words.setdefault(t, len(words)) for t in _TOKEN.findall(text)], np.int32) for text, _ in rows]
+    names = {f: i for i, f in enumerate(toxic)}
     pairs = np.array([(i, names[f]) for w, i in words.items() for f in forms(w) if f in names], np.int64).reshape(-1, 2)
     marked = np.array([any(f in marks for f in forms(w)) for w in words], bool)
-    ids = np.array([words[t] for tokens in texts for t in tokens], np.int64)
-    lengths = np.array([len(t) for t in texts])
-    if not len(ids):
+
+    slices: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    group, held = [], 0
+    for k, ids in enumerate(texts):
+        group.append(k)
+        held += len(ids)
+        if held >= SLICE or k == len(texts) - 1:
+            joined = np.concatenate([texts[g] for g in group])
+            first = np.zeros(len(joined), bool)
+            first[[s for s, g in zip(np.cumsum([0, *(len(texts[g]) for g in group)]), group, strict=False) if len(texts[g])]] = True
+            truth = marked[joined] & np.repeat([y[g] > 0 for g in group], [len(texts[g]) for g in group])
+            if len(joined):
+                slices.append((joined, first, truth.astype(float)))
+            group, held = [], 0
+    if not slices:
         return tagger
-    truth = (marked[ids] & np.repeat(y > 0, lengths)).astype(float)
-    starts = np.cumsum([0, *lengths])[:-1]
-    first = np.zeros(len(ids), bool)
-    first[starts[lengths > 0]] = True
-    before = np.concatenate(([0.0], truth[:-1]))
-    enters = float((truth * (1 - before))[~first].sum() + truth[first].sum())
-    leaves = float(((1 - truth) * before)[~first].sum())
+    enters = leaves = share = 0.0
+    for _, first, truth in slices:
+        before = np.where(first, 0.0, np.concatenate(([0.0], truth[:-1])))
+        enters += float((truth * (1 - before)).sum())
+        leaves += float(((1 - truth) * before).sum())
+        share += float(truth.sum())
+    share = max(share, 1.0)
+
     theta, base, enter, leave = np.zeros(len(names)), 0.0, -2.0, 0.0
     squares, others = np.full(len(names), 1e-6), np.full(3, 1e-6)
-    share = max(truth.sum(), 1.0)
     for _ in range(rounds):
         per_word = base + np.bincount(pairs[:, 0], theta[pairs[:, 1]], len(words))
-        odds = per_word[ids]
-        marginal, ahead, back = forward_backward(odds, first, enter, leave)
-        up, down = expected_moves(odds, first, enter, leave, ahead, back)
-        off = np.bincount(ids, truth - marginal, len(words)) / share
-        slope = np.bincount(pairs[:, 1], off[pairs[:, 0]], len(names)) - ridge * theta * 0.01
+        off, rest = np.zeros(len(words)), np.array([0.0, enters, leaves])
+        for ids, first, truth in slices:
+            odds = per_word[ids]
+            marginal, ahead, back = forward_backward(odds, first, enter, leave)
+            up, down = expected_moves(odds, first, enter, leave, ahead, back)
+            off += np.bincount(ids, truth - marginal, len(words))
+            rest -= [(marginal - truth).sum(), up + marginal[first].sum(), down]
+        slope = np.bincount(pairs[:, 1], off[pairs[:, 0]], len(names)) / share - ridge * theta * 0.01
         squares += slope**2
         theta += rate * slope / np.sqrt(squares)
-        rest = np.array([(truth - marginal).sum(), enters - up - marginal[first].sum(), leaves - down]) / share
+        rest /= share
         others += rest**2
         base, enter, leave = np.array([base, enter, leave]) + rate * rest / np.sqrt(others)
     tagger.base, tagger.enter, tagger.leave = float(base), float(enter), float(leave)
     tagger.weights = {f: float(theta[i]) for f, i in names.items() if abs(theta[i]) > 1e-3}
-    cache: dict[str, float] = {}
-    features = np.array([summary(m) for m in tagger.marginals(texts, cache)])
-    tagger.calibrate = Logistic(features, y)
+    per_word = np.array([tagger.odds(w) for w in words])
+    features = []
+    for ids in texts:
+        first = np.zeros(len(ids), bool)
+        first[:1] = True
+        features.append(summary(forward_backward(per_word[ids], first, tagger.enter, tagger.leave)[0] if len(ids) else np.zeros(0)))
+    tagger.calibrate = Logistic(np.array(features), y)
     return tagger
 
 
