@@ -10,10 +10,10 @@ buckets with a single suffix are never refined at all.
 Suffixes enter the sort in runs. A string of ``length`` bytes holds a position picked
 by its content alone: where the hash of the next ``GRAM`` bytes is least. Suffixes
 that pick the same position form one run, and runs are bucketed by the bytes there.
-In a bucket where all runs have the same bytes around them, every suffix of every run
-is repeated, and the earliest run gives the earlier matches. A bucket with different
-surroundings is split into shorter runs, and those into single suffixes. At each step
-two independent 64-bit hashes stand for the bytes.
+Runs of a bucket with equal bytes around them repeat in all their suffixes, and the
+earliest of them gives the earlier matches. Where a bucket holds different
+surroundings, one run of each is split into shorter runs, and those into single
+suffixes. At each step two independent 64-bit hashes stand for the bytes.
 """
 
 from __future__ import annotations
@@ -127,14 +127,21 @@ def _first_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.select("row", "text").mapInArrow(run, _NODE)
 
 
-def _settled(nodes: DataFrame, *keys: str) -> DataFrame:
-    """Nodes whose bucket holds others, with what the bucket knows: ``same`` if all of
-    its runs have equal bytes, and the earliest of them (``first_row``, ``first_at``)."""
-    buckets = nodes.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("u").alias("u1"), F.max("u").alias("u2"), F.min(F.struct("row", "at")).alias("first")
+def _settled(nodes: DataFrame) -> DataFrame:
+    """Nodes whose bucket (``k``) holds others, with what the bucket knows.
+
+    ``same``: other runs of the bucket have equal bytes, the earliest of which is at
+    (``first_row``, ``first_at``). ``split``: the bucket also holds different bytes, so
+    the run, of equal ones the earliest only, has to be met by them in shorter pieces.
+    """
+    classes = nodes.groupBy("k", "u").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "at")).alias("first"))
+    buckets = classes.groupBy("k").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("held")).filter("held > 1")
+    known = classes.join(buckets, "k").select(
+        "k", "u", (F.col("n") > 1).alias("same"), (F.col("classes") > 1).alias("differ"), F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")
     )
-    shared = buckets.filter("n > 1").select(*keys, (F.col("u1") == F.col("u2")).alias("same"), F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at"))
-    return nodes.join(shared, list(keys)).select("row", "at", "lo", "hi", "same", "first_row", "first_at")
+    is_first = (F.col("row") == F.col("first_row")) & (F.col("at") == F.col("first_at"))
+    joined = nodes.join(known, ["k", "u"])
+    return joined.select("row", "at", "lo", "hi", "same", (F.col("differ") & is_first).alias("split"), "first_row", "first_at")
 
 
 def _surroundings(texts: DataFrame, nodes: DataFrame, length: int) -> DataFrame:
@@ -164,27 +171,29 @@ def _split(around: DataFrame, length: int, step: int) -> DataFrame:
     names = ["row", "at", "lo", "hi", "k", "u"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashers = Hasher(0, 4 * length), Hasher(1, 4 * length)
+        hashers = Hasher(0, SEGMENT + 4 * length), Hasher(1, SEGMENT + 4 * length)
         for batch in batches:
-            rows, ats, los, his = (batch.column(c).to_numpy() for c in range(4))
-            parts, held = [], 0
-            for row, at, lo, hi, data in zip(rows.tolist(), ats.tolist(), los.tolist(), his.tolist(), batch.column(4).to_pylist(), strict=True):
-                # At step 1, the runs that are to be cut came with the pieces to cut.
-                data = np.frombuffer(data, np.uint8)
-                piece = np.arange(lo // step, hi // step + 1)
-                low, high = np.maximum(lo, piece * step), np.minimum(hi, piece * step + step - 1)
+            columns = [batch.column(c).to_numpy() for c in range(4)]
+            held = batch.column(4).to_pylist()
+            sizes = np.fromiter(map(len, held), np.int64, len(held))
+            group = np.cumsum(sizes) // SEGMENT
+            for g in np.unique(group):
+                chosen = np.flatnonzero(group == g)
+                row, at, lo, hi = (c[chosen] for c in columns)
+                data = np.frombuffer(b"".join(held[k] for k in chosen.tolist()), np.uint8)
+                begins = np.cumsum(sizes[chosen]) - sizes[chosen]
+                # The pieces of each run, all runs one after the other.
+                many = hi // step - lo // step + 1
+                of = np.repeat(np.arange(len(chosen)), many)
+                piece = (lo // step)[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+                low, high = np.maximum(lo[of], piece * step), np.minimum(hi[of], piece * step + step - 1)
+                zero = begins[of] + hi[of]
                 first, second = (h.sums(data) for h in hashers)
-                core = hashers[0].ranges(first, hi - piece * step, hi - piece * step - step + 1 + length)
-                union = hashers[1].ranges(second, hi - high, hi - low + length)
+                core = hashers[0].ranges(first, zero - piece * step, zero - piece * step - step + 1 + length)
+                union = hashers[1].ranges(second, zero - high, zero - low + length)
                 k = mixed(core + piece.astype(np.uint64) * np.uint64(_BASES[1]))
                 u = mixed(union + (low * 1024 + high).astype(np.uint64) * np.uint64(_BASES[0]))
-                parts.append((np.full(len(piece), row), np.full(len(piece), at), low, high, k, u))
-                held += len(piece)
-                if held > 1 << 17:
-                    yield _batch(parts, names)
-                    parts, held = [], 0
-            if parts:
-                yield _batch(parts, names)
+                yield _batch([(row[of], at[of], low, high, k, u)], names)
 
     return around.mapInArrow(run, _NODE)
 
@@ -200,23 +209,23 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int | None = None) ->
     """
     spark = texts.sparkSession
     gram = min(GRAM, length) if gram is None else gram
-    found = stored(_settled(_first_runs(texts, length, gram), "k"), "runs")
+    found = stored(_settled(_first_runs(texts, length, gram)), "runs")
     done = [found.filter("same")]
-    around = stored(_surroundings(texts, found.filter("not same"), length), "surroundings")
+    around = stored(_surroundings(texts, found.filter("split"), length), "surroundings")
     release(spark)
-    pieces = stored(_settled(_split(around, length, STEP), "k"), "pieces")
+    pieces = stored(_settled(_split(around, length, STEP)), "pieces")
     done.append(pieces.filter("same"))
     # Pieces lie inside the run they were cut from; they are cut out of its bytes.
-    cut = pieces.filter("not same").select("row", F.col("at").alias("at2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    cut = pieces.filter("split").select("row", F.col("at").alias("at2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     inside = around.alias("a").join(
         cut.alias("c"), (F.col("a.row") == F.col("c.row")) & (F.col("a.at") == F.col("c.at2")) & F.col("c.lo2").between(F.col("a.lo"), F.col("a.hi"))
     )
     bytes_of = F.substring(F.col("bytes"), F.col("a.hi") - F.col("hi2") + 1, F.col("hi2") - F.col("lo2") + length)
     smaller = inside.select(F.col("a.row").alias("row"), "at", F.col("lo2").alias("lo"), F.col("hi2").alias("hi"), bytes_of.alias("bytes"))
-    suffixes = stored(_settled(_split(smaller, length, 1), "k", "u"), "suffixes")
+    suffixes = stored(_settled(_split(smaller, length, 1)), "suffixes")
     discard(around)
     release(spark)
-    done.append(suffixes)
+    done.append(suffixes.filter("same"))
     every = done[0]
     for more in done[1:]:
         every = every.unionByName(more)
