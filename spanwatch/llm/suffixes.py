@@ -211,10 +211,12 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int | None = None) ->
     gram = min(GRAM, length) if gram is None else gram
     found = stored(_settled(_first_runs(texts, length, gram)), "runs")
     done = [found.filter("same")]
+    release(spark)
     around = stored(_surroundings(texts, found.filter("split"), length), "surroundings")
     release(spark)
     pieces = stored(_settled(_split(around, length, STEP)), "pieces")
     done.append(pieces.filter("same"))
+    release(spark)
     # Pieces lie inside the run they were cut from; they are cut out of its bytes.
     cut = pieces.filter("split").select("row", F.col("at").alias("at2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     inside = around.alias("a").join(
