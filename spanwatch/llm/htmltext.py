@@ -337,8 +337,10 @@ def extract(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> DataFrame:
     nested is read as far as it goes.
     """
     order = F.xxhash64(F.lit("pages"), F.col("page_id"))
-    rows = pages.filter("html is not null").orderBy(order, "page_id", "url").limit(train_pages).select("html").collect()
-    model = train([r.html for r in rows])
+    # The ids are chosen first: only the pages that are asked for go to the driver.
+    chosen = pages.filter("page_id is not null").select("page_id").orderBy(order, "page_id").limit(train_pages).distinct()
+    rows = pages.join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).collect()
+    model = train([r.html for r in sorted(rows, key=lambda r: r.page_id) if r.html])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
