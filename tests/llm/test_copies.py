@@ -218,10 +218,10 @@ def test_passages(spark):
     found = passages.shared_passages(docs).collect()
     assert {r.doc_id for r in found} | {r.other_id for r in found} == {0, 1, 2}
     for r in found:
-        part = texts[r.doc_id][r.start : r.end].split()
+        part = texts[r.doc_id].split()[r.start : r.end]
         assert part[0] == passage[0] and part[-1] == passage[-1] and r.similarity >= 0.8 and 68 <= r.words <= 71
         if {r.doc_id, r.other_id} == {0, 1}:
-            assert r.similarity == 1 and texts[r.other_id][r.other_start : r.other_end].split() == passage
+            assert r.similarity == 1 and texts[r.other_id].split()[r.other_start : r.other_end] == passage
     assert passages.shared_passages(no_docs(spark)).count() == 0
     assert passages.shared_passages(odd_docs(spark)).count() >= 1
 
