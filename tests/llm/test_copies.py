@@ -226,6 +226,48 @@ def test_passages(spark):
     assert passages.shared_passages(odd_docs(spark)).count() >= 1
 
 
+def test_parts_of_an_alignment_match_all_pairs():
+    rng = random.Random(8)
+    for _ in range(60):
+        x = y = 0
+        words = []
+        for _ in range(rng.randint(2, 6)):
+            share = rng.choice((0.3, 0.75, 0.9, 1))
+            for _ in range(rng.randint(3, 25)):
+                x, y = x + 1 + (rng.random() < 0.03), y + 1 + (rng.random() < 0.03)
+                if rng.random() < share:
+                    words.append((x, y))
+        if not words:
+            continue
+        xs, ys = (np.array(c) for c in zip(*words, strict=True))
+
+        def holds(s, e, xs=xs, ys=ys):
+            spans = int(xs[e] - xs[s]) + 1, int(ys[e] - ys[s]) + 1
+            return min(spans) >= 10 and 10 * (e - s + 1) >= 8 * max(spans)
+
+        valid = [(s, e) for s in range(len(xs)) for e in range(s, len(xs)) if holds(s, e)]
+        found = passages.passages_of(xs, ys, 0.8, 10)
+        assert all(holds(*f) for f in found) and all(a[1] < b[0] for a, b in itertools.pairwise(found))
+        # Every passage there is touches one that is given.
+        assert all(any(s <= f[1] and e >= f[0] for f in found) for s, e in valid)
+
+
+@pytest.mark.parametrize("sizes", [(60, 60, 60), (100, 60, 100), (100, 120, 100), (200, 300, 200), (60, 60, 60, 60, 60)])
+def test_passages_with_other_words_between(spark, sizes):
+    rng = random.Random(14)
+    shared = [sentence(rng, n) if k % 2 == 0 else None for k, n in enumerate(sizes)]
+    texts = [" ".join([sentence(rng, 30), *(p or sentence(rng, n) for p, n in zip(shared, sizes, strict=True)), sentence(rng, 30)]) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    starts = [30 + sum(sizes[:k]) for k in range(0, len(sizes), 2)]
+    want = {(s, s + sizes[2 * k]) for k, s in enumerate(starts)}
+    found = passages.shared_passages(docs).collect()
+    # Letters are few: a word beside a passage may be equal by chance.
+    assert {min(want, key=lambda w: abs(w[0] - r.start)) for r in found} == want
+    for r in found:
+        s, e = min(want, key=lambda w: abs(w[0] - r.start))
+        assert abs(r.start - s) <= 2 and abs(r.end - e) <= 2 and r.similarity >= 0.9
+
+
 def test_passages_query_finds_exact_repeats(spark):
     docs = read(spark, "documents").collect()
     runs = {}
