@@ -10,8 +10,11 @@ neighbours of each class, forward and reverse, with one another and keep the bes
 Edges at or above the threshold are the links. A list full of links may have had
 no room for more: such classes get longer lists, as long as their component, whose
 members are compared with one another in square tiles. Tiles put out counts, not
-pairs. Recall is audited with a bounded set of classes against all rows; if it is
-below the target, more codes are drawn and the descent goes on.
+pairs. Nor do full lists show links to other components: their classes get lists of
+the nearest outside their own one, by the same descent, and components so joined are
+looked at again until no link between two is found. Recall is audited with bounded
+sets of classes, any and linked ones, against all rows; while it is below the target,
+more codes are drawn and the descent goes on, and if that gains nothing the job fails.
 """
 
 from __future__ import annotations
@@ -158,17 +161,25 @@ def _best(pairs: DataFrame, most: int) -> DataFrame:
     return single.withColumn("place", place).filter(F.col("place") <= most).drop("place")
 
 
-def _round(graph: DataFrame, vectors: DataFrame, kind: str, number: int) -> DataFrame:
-    """Pairs of neighbours of one class that are nearer than what their lists hold."""
+def _round(graph: DataFrame, vectors: DataFrame, kind: str, number: int, inner: DataFrame | None = None) -> DataFrame:
+    """Pairs of neighbours of one class that are nearer than what their lists hold.
+
+    With ``inner``, neighbours within a component, those take part as well, and only
+    pairs of two components (``part`` of ``vectors``) are put out.
+    """
     floor = graph.groupBy("a").agg(F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(-2.0)).alias("floor"))
     ahead = graph.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "fresh")
     both = ahead.unionByName(graph.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "fresh"))
+    if inner is not None:
+        for pivot, other in (("a", "b"), ("b", "a")):
+            both = both.unionByName(inner.select(F.col(pivot).alias("pivot"), F.col(other).alias("id"), F.lit(False).alias("fresh")))
     members = both.groupBy("pivot", "id").agg(F.max("fresh").alias("fresh"))
     # A class that is a neighbour of many is met by them in blocks, dealt anew each round.
     degree = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("blocks"))
     dealt = members.join(degree, "pivot").withColumn("block", F.pmod(F.xxhash64("id", F.lit(number)), F.col("blocks")).cast("int"))
-    known = vectors.select("id", "vec").join(floor.withColumnRenamed("a", "id"), "id", "left")
-    placed = dealt.join(known, "id").select("pivot", "block", "id", "fresh", F.coalesce("floor", F.lit(-2.0)).alias("floor"), "vec")
+    known = vectors.select("id", "vec", F.lit(None).cast("long").alias("part") if inner is None else "part").join(floor.withColumnRenamed("a", "id"), "id", "left")
+    placed = dealt.join(known, "id").select("pivot", "block", "id", "fresh", F.coalesce("floor", F.lit(-2.0)).alias("floor"), "vec", "part")
+    apart = inner is not None
 
     def compare(group: pa.RecordBatch) -> dict | None:
         if group.num_rows < 2:
@@ -179,16 +190,19 @@ def _round(graph: DataFrame, vectors: DataFrame, kind: str, number: int) -> Data
         unit = _unit(group.column(5), kind)
         sim = unit @ unit.T
         better = (sim > np.minimum(floor[:, None], floor[None, :])) & (fresh[:, None] | fresh[None, :])
+        if apart:
+            part = group.column(6).to_numpy()
+            better &= part[:, None] != part[None, :]
         a, b = np.nonzero(np.triu(better, 1))
         return {"a": ids[a], "b": ids[b], "sim": sim[a, b]}
 
     return _grouped(placed, ["pivot", "block"], compare, "a bigint, b bigint, sim double")
 
 
-def _descend(graph: DataFrame, vectors: DataFrame, kind: str, first: int) -> DataFrame:
+def _descend(graph: DataFrame, vectors: DataFrame, kind: str, first: int, inner: DataFrame | None = None) -> DataFrame:
     """Rounds of local joins until hardly any list changes."""
     for number in range(first, first + MOST_ROUNDS):
-        news = _round(graph, vectors, kind, number).withColumn("fresh", F.lit(True))
+        news = _round(graph, vectors, kind, number, inner).withColumn("fresh", F.lit(True))
         olds = graph.select("a", "b", "sim", F.lit(False).alias("fresh"))
         after = stored(_best(olds.unionByName(news), NEIGHBOURS), "graph")
         discard(graph)
@@ -199,6 +213,37 @@ def _descend(graph: DataFrame, vectors: DataFrame, kind: str, first: int) -> Dat
     return graph
 
 
+def _groups(graph: DataFrame, vectors: DataFrame, kind: str, threshold: float, attempt: int) -> DataFrame:
+    """Components (id, component) of the links, between full lists as well.
+
+    A link that neither end's list holds has two ends whose lists are full of nearer
+    links. So the classes with such lists look for the nearest ones outside their
+    component; a component needs one link to another, as tiles count all the others.
+    """
+    edges = graph.filter(F.col("sim") >= threshold).select("a", "b")
+    parts = stored(connected(edges).select(F.col("node").alias("id"), "component"), "vector-groups")
+    full = graph.groupBy("a").agg(F.count(F.lit(1)).alias("held"), F.min("sim").alias("least"))
+    full = stored(full.filter((F.col("held") >= NEIGHBOURS) & (F.col("least") >= threshold)).select(F.col("a").alias("id")), "full-lists")
+    inner = edges.join(full.withColumnRenamed("id", "a"), "a", "left_semi")
+    turn = 0
+    while True:
+        placed = stored(vectors.join(full, "id", "left_semi").join(parts.withColumnRenamed("component", "part"), "id"), "full-vectors")
+        several = placed.groupBy("label", "size").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least != most")
+        if several.isEmpty():
+            return parts
+        one, two = (placed.select(F.col("id").alias(c), F.col("part").alias(f"part_{c}")) for c in "ab")
+        pairs = _first_links(placed, kind, CODES, 1000 * (attempt + 1) + turn).join(one, "a").join(two, "b").filter("part_a != part_b")
+        outer = stored(_best(pairs.select("a", "b", "sim", F.lit(True).alias("fresh")), NEIGHBOURS), "outer-graph")
+        known = vectors.join(parts.withColumnRenamed("component", "part"), "id", "left").withColumn("part", F.coalesce("part", "id"))
+        outer = _descend(outer, known, kind, turn * MOST_ROUNDS, inner)
+        found = stored(outer.filter(F.col("sim") >= threshold).select("a", "b"), "outer-links")
+        if found.isEmpty():
+            return parts
+        edges = edges.unionByName(found)
+        parts = stored(connected(edges).select(F.col("node").alias("id"), "component"), "vector-groups")
+        turn += 1
+
+
 def _tiles(parts: DataFrame, vectors: DataFrame, kind: str, threshold: float) -> DataFrame:
     """Links of every class of a component: copies on the other side, summed.
 
@@ -228,8 +273,14 @@ def _tiles(parts: DataFrame, vectors: DataFrame, kind: str, threshold: float) ->
 
 
 def _audit(links: DataFrame, vectors: DataFrame, kind: str, threshold: float) -> float:
-    """Share of the true links of a bounded set of classes that were found."""
-    asked = vectors.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(AUDITED).select("id", "label", "size", "vec").collect()
+    """Share of the true links that were found, of bounded sets of classes: the lesser
+    of the shares of any classes and of those with links."""
+    linked = vectors.join(links.filter("links > 0"), "id", "left_semi")
+    return min(_recall(some, links, vectors, kind, threshold) for some in (vectors, linked))
+
+
+def _recall(some: DataFrame, links: DataFrame, vectors: DataFrame, kind: str, threshold: float) -> float:
+    asked = some.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(AUDITED).select("id", "label", "size", "vec").collect()
     by_group: dict[tuple, list] = {}
     for row in asked:
         by_group.setdefault((row.label, row.size), []).append((row.id, bytes(row.vec)))
@@ -296,17 +347,18 @@ def link(rows: DataFrame, threshold: float = THRESHOLD, id_column: str = "vec_id
         "vector-classes",
     )
 
-    graph = None
-    for attempt in range(MOST_PASSES):
+    graph, recall, before, attempt = None, 0.0, 0.0, 0
+    while recall < RECALL:
+        if attempt >= MOST_PASSES and recall <= before:
+            raise RuntimeError(f"recall of links is {recall:.3f} after {attempt} passes and no longer grows")
         fresh = _first_links(vectors, kind, CODES, attempt).withColumn("fresh", F.lit(True))
         if graph is not None:
             fresh = fresh.unionByName(graph.select("a", "b", "sim", F.lit(False).alias("fresh")))
         graph = _descend(stored(_best(fresh, NEIGHBOURS), "graph"), vectors, kind, attempt * MOST_ROUNDS)
-        edges = graph.filter(F.col("sim") >= threshold).select("a", "b")
-        parts = stored(connected(edges).select(F.col("node").alias("id"), "component"), "vector-groups")
+        parts = _groups(graph, vectors, kind, threshold, attempt)
         links = stored(_tiles(parts, vectors, kind, threshold), "vector-links")
-        if _audit(links, vectors, kind, threshold) >= RECALL:
-            break
+        before, recall = recall, _audit(links, vectors, kind, threshold)
+        attempt += 1
 
     joined = vectors.select("label", "vector", "id", "first", "n").join(parts, "id", "left").join(links, "id", "left")
     joined = joined.withColumn("part", F.coalesce("component", "id"))

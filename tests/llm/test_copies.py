@@ -119,6 +119,33 @@ def test_lists_full_of_links_grow(spark):
     assert [found[i] for i in range(600)] == ((unit @ unit.T >= 0.98).sum(1) - 1).tolist()
 
 
+def test_tight_groups_in_a_wide_one(spark):
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(24)
+    centre /= np.linalg.norm(centre)
+    rows = []
+    for _ in range(40):
+        own = centre + 0.014 * rng.standard_normal(24)
+        rows += [(len(rows) + k, (own + 0.0005 * rng.standard_normal(24)).tolist(), 0) for k in range(12)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r for r in neighbours.link(frame).collect()}
+    linked = cosine_links(rows)
+    many = dict.fromkeys(found, 0)
+    for a, b in linked:
+        many[a] += 1
+        many[b] += 1
+    assert min(many.values()) > 11 and {i: r.n_links for i, r in found.items()} == many
+    assert {i: r.component_id for i, r in found.items()} == components(many, linked)
+    assert sum(r.kept for r in found.values()) == 1
+
+
+def test_recall_below_the_target_fails(spark, monkeypatch):
+    rows = [(i, [1.0, 0.001 * i], 0) for i in range(20)]
+    monkeypatch.setattr(neighbours, "_audit", lambda *args: 0.5)
+    with pytest.raises(RuntimeError, match="recall"):
+        neighbours.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert neighbours.link(none).count() == 0
