@@ -188,6 +188,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 STAGE_SIMILARITY = 0.8
 PARTS = 24
 STAGE_BITS = 20
+HOLDERS = 256
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -262,14 +263,41 @@ def _similar(pairs: DataFrame, placed: DataFrame, shingle: int, similarity: floa
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
+def _close(n: Column, fp: Column, other_n: Column, other_fp: Column, similarity: float) -> Column:
+    sizes = F.least(n, other_n) >= F.lit(similarity) * F.greatest(n, other_n)
+    return sizes & (F.bit_count(fp.bitwiseXOR(other_fp)) <= STAGE_BITS)
+
+
+def _apart(filed: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) that share a key, are close and lie in different groups.
+
+    One of such two is not in the group with most holders of the key, so holders
+    outside that group are compared with all; these come in salted blocks of about
+    ``HOLDERS``, so a key of many holders is dealt to many tasks.
+    """
+    placed = filed.join(groups.select(F.col("node").alias("row"), "component"), "row", "left")
+    placed = stored(placed.select("row", "n", "fp", "key", F.coalesce("component", "row").alias("part")), "filed-parts")
+    held = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("held"))
+    keys = held.groupBy("key").agg(F.max_by("part", F.struct("held", "part")).alias("main"), F.sum("held").alias("held"), F.count(F.lit(1)).alias("parts"))
+    keys = keys.filter((F.col("parts") > 1) & (F.col("held") > 2)).select("key", "main", F.ceil(F.col("held") / HOLDERS).cast("int").alias("blocks"))
+    known = placed.join(keys, "key")
+    one = known.withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).select("key", "block", "row", "n", "fp", "part")
+    two = known.filter("part != main").select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *[F.col(c).alias(f"other_{c}") for c in ("row", "n", "fp", "part")]
+    )
+    near = (F.col("part") != F.col("other_part")) & _close(*map(F.col, ("n", "fp", "other_n", "other_fp")), similarity)
+    met = one.join(two, ["key", "block"]).filter(near)
+    return met.select(F.greatest("row", "other_row").alias("a"), F.least("row", "other_row").alias("b")).distinct()
+
+
 def drop_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY) -> DataFrame:
     """``docs`` with one row of every group of similar texts: the one with the smallest
     doc_id, of repeated rows any one. Columns are as they were; null ids sort first.
 
     Equal texts are one class. Classes that share the fingerprint of a part are each
     compared with the first and last such class, by the whole texts, and linked if
-    their sets of ``shingle``-word shingles are similar to ``similarity`` or more;
-    fingerprints of the whole texts that differ in over ``STAGE_BITS`` bits rule a
+    their sets of ``shingle``-word shingles are similar to ``similarity`` or more. Then
+    all pairs that share one and are not in one group yet are compared; fingerprints of the whole texts that differ in over ``STAGE_BITS`` bits rule a
     pair out before. Texts without words are copies of each other. ``docs`` is read
     several times and has to come in the same order, as a table does.
     """
@@ -282,12 +310,16 @@ def drop_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float
     entry = F.struct("row", "n", "fp")
     centres = filed.groupBy("key").agg(F.min(entry).alias("c0"), F.max(entry).alias("c1")).filter("c0.row != c1.row")
     met = filed.join(centres, "key").select("row", "n", "fp", F.explode(F.array("c0", "c1")).alias("c")).filter("row != c.row")
-    close = F.least("n", "c.n") >= F.lit(similarity) * F.greatest("n", "c.n")
-    close &= F.bit_count(F.col("fp").bitwiseXOR(F.col("c.fp"))) <= STAGE_BITS
+    close = _close(*map(F.col, ("n", "fp", "c.n", "c.fp")), similarity)
     pairs = stored(met.filter(close).select(F.greatest("row", "c.row").alias("a"), F.least("row", "c.row").alias("b")).distinct(), "candidates")
     release(docs.sparkSession)
     linked = stored(_similar(pairs, placed, shingle, similarity), "similar")
     release(docs.sparkSession)
+    groups = stored(connected(linked), "star-groups")
+    rest = stored(_apart(filed, groups, similarity).join(pairs, ["a", "b"], "left_anti"), "candidates")
+    release(docs.sparkSession)
+    linked = linked.unionByName(stored(_similar(rest, placed, shingle, similarity), "similar"))
+    release(docs.sparkSession)
     groups = stored(connected(linked), "similar-groups")
     whole = named.join(classes, "same").join(groups, F.col("head") == F.col("node"), "left")
     first = whole.groupBy(F.coalesce("component", "head")).agg(F.min(F.struct("doc_id", "row")).alias("first"))

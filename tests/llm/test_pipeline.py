@@ -47,6 +47,19 @@ def test_near_copies_of_all_sizes(spark):
     assert want <= found and len(found - want) <= 0.03 * len(want)
 
 
+def test_near_copies_of_a_lost_original(spark):
+    rng = random.Random(23)
+    original = sentence(rng, 120).split()
+    rows = []
+    for _ in range(400):
+        words = original.copy()
+        for k in rng.sample(range(120), 2):
+            words[k] = sentence(rng, 1)
+        rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r.doc_id for r in simhash.drop_copies(docs).collect()} == first_of_similar(docs.collect())
+
+
 def test_stages(spark):
     docs = read(spark, "documents")
     columns = docs.columns
