@@ -11,8 +11,8 @@ from spanwatch.llm.scratch import stored
 _SHIFT = 33
 
 
-def numbered(frame: DataFrame, order: list[str], column: str = "row") -> DataFrame:
-    """``frame`` with ``column``: 0, 1, 2, ... in the given order.
+def numbered(frame: DataFrame, order: list[str], column: str = "row", keep: list[str] | None = None) -> DataFrame:
+    """``frame``, or its columns ``keep``, with ``column``: 0, 1, 2, ... in the given order.
 
     Rows are dealt by range, sorted in their partition and written; the offset of a
     partition is the sum of the counts before it (one row per partition). The numbers
@@ -22,6 +22,8 @@ def numbered(frame: DataFrame, order: list[str], column: str = "row") -> DataFra
     spark = frame.sparkSession
     width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = frame.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    if keep is not None:
+        dealt = dealt.select(*keep)
     placed = stored(dealt.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_place", _SHIFT)
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))

@@ -43,6 +43,32 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce
        vec_id <= coalesce(l.y, vec_id) AS kept
 FROM embeddings LEFT JOIN least l ON l.x = vec_id LEFT JOIN counted c ON c.x = vec_id"""
 
+# crc32 of the decimal id bit by bit, then every prefix by the digests of its turns.
+_PREFIX_TRIE = """
+WITH given AS (SELECT conv_id AS conv, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT conv, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) - 1 AS pos,
+                 md5(strlen(role) || ':' || role || text) AS name, strlen(text) AS bytes FROM given),
+ids AS (SELECT DISTINCT conv, CAST(conv AS VARCHAR) AS s FROM turns),
+sums AS (SELECT conv, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(s) + 1), lambda i: CAST(ascii(s[i]) AS BIGINT))),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(0, 8) AS BIGINT[])),
+             lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 9 AS h FROM ids),
+bases AS (SELECT s.conv, s.h, least(s.h, coalesce(t.n, 0)) AS kept FROM sums s
+          LEFT JOIN (SELECT conv, count(*) AS n FROM turns GROUP BY conv) t ON t.conv = s.conv - s.conv % 5),
+rebuilt AS (SELECT b.conv, t.pos, t.name, t.bytes FROM bases b JOIN turns t ON t.conv = b.conv - b.conv % 5 AND t.pos < b.h
+            UNION ALL SELECT b.conv, b.kept + t.pos - b.h, t.name, t.bytes FROM bases b JOIN turns t ON t.conv = b.conv AND t.pos >= b.h),
+paths AS (SELECT conv, pos + 1 AS depth, bytes, string_agg(name, '') OVER (PARTITION BY conv ORDER BY pos ROWS UNBOUNDED PRECEDING) AS node FROM rebuilt
+          UNION ALL SELECT conv, 0, 0, '' FROM bases),
+ends AS (SELECT conv, max(depth) AS depth FROM paths GROUP BY conv),
+ended AS (SELECT p.node, sha256(string_agg(CAST(p.conv AS VARCHAR), ',' ORDER BY p.conv)) AS sha FROM paths p JOIN ends USING (conv, depth) GROUP BY p.node),
+nodes AS (SELECT node, depth, min(conv) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM paths GROUP BY node, depth),
+kids AS (SELECT left(node, strlen(node) - 32) AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+own AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (node)),
+sub AS (SELECT left(node, 32 * d) AS node, count_if(n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM own) GROUP BY 1)
+SELECT o.conv_id, CAST(o.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(o.n_convs AS BIGINT) AS n_convs, CAST(o.n_children AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.sha, sha256('')) AS ends_sha256
+FROM own o JOIN sub s USING (node) LEFT JOIN ended e USING (node) LEFT JOIN nodes p ON o.depth > 0 AND p.node = left(o.node, strlen(o.node) - 32)"""
+
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op4_repeated_bytes": _REPEATED_BYTES, "op9_near_vectors": _NEAR_VECTORS}
+    return {"op4_repeated_bytes": _REPEATED_BYTES, "op9_near_vectors": _NEAR_VECTORS, "op12_prefix_trie": _PREFIX_TRIE}
