@@ -10,11 +10,13 @@ cut once.
 
 Names are 128-bit digests. A run of turns is named from its two halves, bottom up, so
 no task ever needs a whole conversation; a cut is named from its root and the run that
-leads to it. Every depth is cut exactly once, so every node has one name.
+leads to it. Every depth is cut exactly once, so every node has one name: the tip of the
+path that ends there, which is handed down until the path is a single turn.
 
-Totals are grafted upwards the same way: what hangs below a root within height 2^(k+1)
-is its upper trie's total and the totals of the forests at its cuts. On the way down
-again each path gets what lies below its end, until it is a single node.
+Totals are grafted upwards: a node belongs to the forests of the cuts it was reached
+through, at most one for each step, so one aggregation gives the totals of all forests.
+The forest of a cut hangs below the end of its upper path; step by step a path hands
+what hangs below its end to its halves, until it is a single node.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from spanwatch.llm.scratch import discard, stored
 
 _ROOT = bytes(16)
 _PIECE = 1 << 16
+_AT_ONCE = 4
 
 
 def _name(*parts: Column) -> Column:
@@ -82,15 +85,18 @@ def share_openings(turns: DataFrame, every: int, modulus: int) -> tuple[DataFram
 
 def _named_runs(turns: DataFrame, height: int) -> list[DataFrame]:
     """For k = 0 .. ``height``, the runs of 2^k turns at multiples of 2^k: conv, j, run,
-    len, and the two halves. The last run of a conversation may be shorter."""
-    levels = [turns.select("conv", F.col("at").alias("j"), F.col("name").alias("run"), F.lit(1).cast("long").alias("len"))]
+    len, bytes, and the two halves. The last run of a conversation may be shorter."""
+    levels = [turns.select("conv", F.col("at").alias("j"), F.col("name").alias("run"), F.lit(1).cast("long").alias("len"), "bytes")]
     for _ in range(height):
         even = F.col("j") % 2 == 0
         halves = levels[-1].groupBy("conv", F.shiftright("j", 1).alias("j")).agg(
             F.max(F.when(even, F.col("run"))).alias("left"),
             F.max(F.when(~even, F.col("run"))).alias("right"),
             F.max(F.when(even, F.col("len"))).alias("left_len"),
+            F.max(F.when(even, F.col("bytes"))).alias("left_bytes"),
+            F.max(F.when(~even, F.col("bytes"))).alias("right_bytes"),
             F.sum("len").alias("len"),
+            F.sum("bytes").alias("bytes"),
         )
         run = _name(F.col("left"), F.coalesce("right", F.lit(b"")))
         levels.append(stored(halves.withColumn("run", run), "runs"))
@@ -98,37 +104,50 @@ def _named_runs(turns: DataFrame, height: int) -> list[DataFrame]:
 
 
 def _cut(paths: DataFrame, runs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """Paths of height 2^k cut in two: the cuts they went through, and the paths of half
-    the height.
+    """Paths of height 2^k cut in two: each with its halves, and the paths of half the
+    height.
 
     A path is known by its smallest conversation and its place, which no other path of
     the height shares, so it finds its halves by a unique key.
     """
-    halves = runs.select(F.col("conv").alias("least"), "j", "left", "left_len", "right")
-    cut = paths.select("id", "root", "j", "n", "least", "ends").join(halves, ["least", "j"])
+    halves = runs.select(F.col("conv").alias("least"), "j", "left", "left_len", "left_bytes", "right", "right_bytes")
+    cut = paths.drop("run", "bytes").join(halves, ["least", "j"])
     cut = stored(cut.withColumn("up", _name(F.col("root"), F.col("left"))), "cuts")
-    # The root, the run and the place follow from the name.
-    upper = cut.groupBy("up", "root", "left", "j", "left_len").agg(
+    # The other keys follow from the name.
+    upper = cut.groupBy("up", "root", "left", "left_len", "left_bytes", "j", "chain").agg(
         F.sum("n").alias("n"), F.min("least").alias("least"), F.max(F.when(F.col("right").isNull(), F.col("ends"))).alias("ends")
     )
     upper = upper.select(
-        F.col("up").alias("id"), "root", F.col("left").alias("run"), (2 * F.col("j")).alias("j"), "n", "least", "ends", (F.col("left_len") == 1 << (k - 1)).alias("whole")
+        F.col("up").alias("id"),
+        "root",
+        F.col("left").alias("run"),
+        F.col("left_bytes").alias("bytes"),
+        (2 * F.col("j")).alias("j"),
+        "n",
+        "least",
+        "ends",
+        F.when(F.col("left_len") == 1 << (k - 1), F.col("up")).alias("tip"),
+        "chain",
     )
+    through = F.array(F.struct(F.col("up").alias("name"), F.lit(k).alias("step")))
     lower = cut.filter(F.col("right").isNotNull()).select(
         _name(F.col("up"), F.col("right")).alias("id"),
         F.col("up").alias("root"),
         F.col("right").alias("run"),
+        F.col("right_bytes").alias("bytes"),
         (2 * F.col("j") + 1).alias("j"),
         "n",
         "least",
         "ends",
-        F.lit(False).alias("whole"),
+        "tip",
+        F.concat("chain", through).alias("chain"),
     )
-    return cut, stored(upper.unionByName(lower), "paths")
+    return cut.select("id", "up", "right"), stored(upper.unionByName(lower), "paths")
 
 
 def _digests(members: DataFrame) -> DataFrame:
-    """SHA-256 of the comma-joined conversations of every ``run``, in ascending order.
+    """run, ends (its smallest conversation) and the SHA-256 of its conversations, joined
+    by commas in ascending order.
 
     Members are joined to pieces by range, so the task that reads the pieces of one run
     in order holds one piece at a time.
@@ -153,54 +172,48 @@ def _digests(members: DataFrame) -> DataFrame:
             yield piece()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, digest = None, None
+        run, least, digest = None, None, None
+
+        def out(done: list[tuple[bytes, int, str]]) -> pa.RecordBatch:
+            kinds = (pa.binary(), pa.int64(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], ["run", "ends", "sha"])
+
         for batch in batches:
-            done: list[tuple[bytes, str]] = []
-            for now, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            done = []
+            for now, first, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if now == run:
                     digest.update(b"," + text.encode())
                 else:
                     if digest is not None:
-                        done.append((run, digest.hexdigest()))
-                    run, digest = now, hashlib.sha256(text.encode())
+                        done.append((run, least, digest.hexdigest()))
+                    run, least, digest = now, first, hashlib.sha256(text.encode())
             if done:
-                yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in done], pa.binary()), pa.array([d for _, d in done])], ["run", "sha"])
+                yield out(done)
         if digest is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([run], pa.binary()), pa.array([digest.hexdigest()])], ["run", "sha"])
+            yield out([(run, least, digest.hexdigest())])
 
     width = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = ["run", "conv"]
     pieces = members.select(*order).repartitionByRange(width, *order).sortWithinPartitions(*order).mapInArrow(joined, "run binary, first bigint, text string")
-    return pieces.repartition("run").sortWithinPartitions("run", "first").select("run", "text").mapInArrow(hashed, "run binary, sha string")
+    return pieces.repartition("run").sortWithinPartitions("run", "first").mapInArrow(hashed, "run binary, ends bigint, sha string")
 
 
-def _forest_totals(nodes: DataFrame, cuts: dict[int, DataFrame], height: int) -> list[DataFrame]:
-    """For k = 0 .. ``height``, what hangs below every root within 2^k turns."""
-    totals = [stored(nodes.groupBy("root").agg(F.sum("leaf").alias("leaves"), F.sum("saved").alias("saved")), "forests")]
-    for k in range(1, height + 1):
-        lower = cuts[k].select("root", "name").join(totals[-1].withColumnRenamed("root", "name"), "name")
-        both = totals[-1].unionByName(lower.select("root", "leaves", "saved"))
-        totals.append(stored(both.groupBy("root").agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")), "forests"))
-    return totals
+def _grafted(steps: dict[int, DataFrame], forests: DataFrame, height: int) -> DataFrame:
+    """id, leaves and saved of every single turn that something hangs below."""
+    sums = [F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")]
 
+    def hung(k: int) -> DataFrame:
+        return forests.filter(F.col("step") == k).select(F.col("name").alias("id"), "leaves", "saved")
 
-def _grafted(steps: dict[int, DataFrame], totals: list[DataFrame], height: int, empty: DataFrame) -> DataFrame:
-    """What hangs below the end of every path, from whole conversations down to nodes."""
-    below = empty
-    for k in range(height, 0, -1):
-        known = steps[k].select("id", "up", "right").join(below, "id", "left")
-        passed = known.filter("right is not null and leaves is not null")
-        lower = passed.select(_name(F.col("up"), F.col("right")).alias("id"), "leaves", "saved")
-        further = passed.select(F.col("up").alias("id"), "leaves", "saved")
-        # Only cuts have forests, so a path that ends before its cut finds none here.
-        ends = steps[k].filter("right is not null").select("up").distinct()
-        forest = ends.join(totals[k - 1].withColumnRenamed("root", "up"), "up").select(F.col("up").alias("id"), "leaves", "saved")
-        upper = further.unionByName(forest).groupBy("id").agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
-        after = stored(upper.unionByName(lower), "below")
-        if below is not empty:
-            discard(below)
-        below = after
-    return below
+    below = hung(height)
+    for k in range(height - 1, 0, -1):
+        # Below the end of a path is below the ends of both its halves.
+        passed = steps[k].filter("right is not null").join(below, "id")
+        both = F.explode(F.array(F.col("up"), _name(F.col("up"), F.col("right")))).alias("id")
+        below = passed.select(both, "leaves", "saved").unionByName(hung(k)).groupBy("id").agg(*sums)
+        if k % _AT_ONCE == 0:
+            below = stored(below, "below")
+    return stored(below, "below")
 
 
 def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
@@ -220,86 +233,77 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     root, zero = F.lit(_ROOT), F.lit(0).cast("long")
 
     whole = runs[-1].select("conv", "run")
-    classes = stored(whole.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("conv").alias("least")), "whole")
-    paths = classes.select(_name(root, F.col("run")).alias("id"), root.alias("root"), "run", zero.alias("j"), "n", "least", F.col("least").alias("ends"))
-    steps, cuts = {}, {}
+    classes = runs[-1].groupBy("run", "bytes").agg(F.count(F.lit(1)).alias("n"), F.min("conv").alias("least"))
+    paths = classes.select(
+        _name(root, F.col("run")).alias("id"),
+        root.alias("root"),
+        "run",
+        "bytes",
+        zero.alias("j"),
+        "n",
+        "least",
+        F.col("least").alias("ends"),
+        F.lit(None).cast("binary").alias("tip"),
+        F.array().cast("array<struct<name:binary,step:int>>").alias("chain"),
+    )
+    steps = {}
     for k in range(height, 0, -1):
         before = paths
         steps[k], paths = _cut(paths, runs[k], k)
         if k < height:
             discard(before)
-        depth = (F.col("j") + 1) * (1 << (k - 1))
-        cuts[k] = stored(paths.filter("whole").select(F.col("id").alias("name"), "root", "least", depth.alias("depth")), "names")
-        if k < height:
             discard(runs[k])
 
-    # Paths of one turn are the nodes; the smallest member and the depth tell them apart.
-    nodes = paths.select("id", "root", "least", (F.col("j") + 1).alias("depth"), "n", "ends")
-    sizes = turns.select(F.col("conv").alias("least"), (F.col("at") + 1).alias("depth"), "bytes")
-    nodes = nodes.join(sizes, ["least", "depth"])
-    kids = paths.groupBy(F.col("root").alias("name")).agg(F.count(F.lit(1)).alias("children"))
-    parents = None
-    for cut in cuts.values():
-        parents = cut if parents is None else parents.unionByName(cut)
-    if parents is None:
-        parents = nodes.select(F.col("id").alias("name"), "root", "least", "depth").limit(0)
-    known = parents.select("name", "least", "depth").join(kids, "name")
-    nodes = nodes.join(known.select("least", "depth", "children"), ["least", "depth"], "left").fillna(0, ["children"])
-    own = [(F.col("children") == 0).cast("long").alias("leaf"), ((F.col("n") - 1) * F.col("bytes")).alias("saved")]
-    nodes = stored(nodes.select("*", *own), "nodes")
-
-    totals = _forest_totals(nodes, cuts, height)
-    nothing = nodes.select("id", F.col("leaf").alias("leaves"), "saved").limit(0)
-    below = _grafted(steps, totals, height, nothing).withColumnsRenamed({"leaves": "more_leaves", "saved": "more_saved"})
-    for done in (*steps.values(), *totals[:-1]):
+    # Paths of one turn are the nodes. A path as long as all steps has no tip, nor children.
+    nodes = paths.withColumns({"depth": F.col("j") + 1, "tip": F.coalesce("tip", "id")})
+    kids = nodes.groupBy(F.col("root").alias("tip")).agg(F.count(F.lit(1)).alias("children"))
+    nodes = nodes.join(kids, "tip", "left").withColumn("children", F.coalesce("children", zero))
+    own = {"leaf": (F.col("children") == 0).cast("long"), "saved": (F.col("n") - 1) * F.col("bytes")}
+    nodes = stored(nodes.withColumns(own).drop("run", "bytes", "j"), "nodes")
+    forests = nodes.select(F.explode("chain").alias("c"), "leaf", "saved").groupBy("c.name", "c.step")
+    forests = stored(forests.agg(F.sum("leaf").alias("leaves"), F.sum("saved").alias("saved")), "forests")
+    below = _grafted(steps, forests, height).withColumnsRenamed({"leaves": "more_leaves", "saved": "more_saved"})
+    for done in (forests, *steps.values()):
         discard(done)
 
     turnless = convs.join(whole, "conv", "left_anti").select("conv", root.alias("run"))
     digests = stored(_digests(whole.unionByName(turnless)), "digests")
-    ends = classes.select("run", F.col("least").alias("ends")).join(digests, "run").select("ends", "sha")
 
-    full = nodes.join(below, "id", "left").join(ends, "ends", "left")
-    full = full.select(
+    parents = nodes.select(F.col("tip").alias("root"), F.col("least").alias("parent_conv_id"))
+    smallest = convs.agg(F.min("conv")).first()[0]
+    full = nodes.filter("depth > 1").join(parents, "root")
+    full = full.unionByName(nodes.filter("depth = 1").withColumn("parent_conv_id", F.lit(smallest).cast("long")))
+    full = full.join(below, "id", "left").select(
         F.col("least").alias("conv_id"),
         "depth",
-        "root",
+        "parent_conv_id",
         F.col("n").alias("n_convs"),
         F.col("children").alias("n_children"),
         (F.col("leaf") + F.coalesce("more_leaves", zero)).alias("n_leaves"),
         (F.col("saved") + F.coalesce("more_saved", zero)).alias("saved_tokens"),
-        "sha",
+        "ends",
     )
-    smallest = convs.agg(F.min("conv")).first()[0]
-    deep = full.filter("depth > 1").join(parents.select(F.col("name").alias("root"), F.col("least").alias("parent_conv_id")), "root").drop("root")
-    flat = full.filter("depth = 1").withColumn("parent_conv_id", F.lit(smallest).cast("long")).drop("root")
-
-    top = totals[-1].filter(F.col("root") == root)
-    counted = convs.agg(F.count(F.lit(1)).alias("n_convs"), F.min("conv").alias("conv_id")).filter("n_convs > 0")
-    first = kids.filter(F.col("name") == root).select("children")
-    ended = digests.filter(F.col("run") == root).select("sha")
-    # Tables of one row or none each.
-    one = counted.select("*", root.alias("key"))
-    for part in (top.select("leaves", "saved"), first, ended):
-        one = one.join(part.withColumn("key", root), "key", "left")
-    origin = one.select(
+    # Most nodes may be no one's end; they need not meet in the join.
+    ended = full.filter("ends is not null").join(digests.filter(F.col("run") != root).select("ends", "sha"), "ends")
+    passing = full.filter("ends is null").withColumn("sha", F.sha2(F.lit(""), 256))
+
+    # The root, from one row of each of three tables.
+    facts = [
+        convs.agg(F.min("conv").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")),
+        nodes.agg(F.count_if(F.col("depth") == 1).alias("n_children"), F.sum("leaf").alias("n_leaves"), F.sum("saved").alias("saved_tokens")),
+        digests.filter(F.col("run") == root).select("sha"),
+    ]
+    known = facts[0].unionByName(facts[1], allowMissingColumns=True).unionByName(facts[2], allowMissingColumns=True)
+    known = known.agg(*[F.max(c).alias(c) for c in known.columns]).filter("n_convs > 0")
+    origin = known.select(
         "conv_id",
         zero.alias("depth"),
-        "n_convs",
-        F.coalesce("children", zero).alias("n_children"),
-        # A root without children is a leaf itself.
-        F.coalesce("leaves", F.lit(1).cast("long")).alias("n_leaves"),
-        F.coalesce("saved", zero).alias("saved_tokens"),
-        "sha",
         F.lit(None).cast("long").alias("parent_conv_id"),
-    )
-    every = deep.unionByName(flat).unionByName(origin)
-    return every.select(
-        "conv_id",
-        "depth",
-        "parent_conv_id",
         "n_convs",
-        "n_children",
-        "n_leaves",
-        "saved_tokens",
+        F.coalesce("n_children", zero).alias("n_children"),
+        # A root without children is a leaf itself.
+        F.coalesce("n_leaves", F.lit(1).cast("long")).alias("n_leaves"),
+        F.coalesce("saved_tokens", zero).alias("saved_tokens"),
         F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
     )
+    return ended.unionByName(passing).drop("ends").withColumnRenamed("sha", "ends_sha256").unionByName(origin)
