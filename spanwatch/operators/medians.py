@@ -32,25 +32,37 @@ def _same(rows: DataFrame, left: str, right: str, columns: list[str]) -> Column:
     return condition
 
 
+def value_counts(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Values of each group and how often they occur, with their coarse class. Counting
+    combines before the shuffle and spreads a group over all tasks."""
+    rows = rows.select(*keys, F.col(value).cast("float").alias("_v"))
+    rows = rows.withColumn("_class", coarse_class(F.col("_v")))
+    return rows.groupBy(*keys, "_class", "_v").agg(F.count("_v").alias("_n"))
+
+
 def exact_median(rows: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
     """Median of a single-precision column per group; null for a group of nulls.
 
     ``percentile`` keeps all values of a group in one task. Here values are counted,
-    which combines before the shuffle and spreads a group over all tasks. The counts
-    by coarse class tell which class holds the middle, and only that class is ranked.
-    No step holds more of a group than the limits stated above, however many rows it
-    has, and the plan is the same for any number of groups.
+    the counts by coarse class tell which class holds the middle, and only that class is
+    ranked. No step holds more of a group than the limits stated above, however many
+    rows it has, and the plan is the same for any number of groups.
     """
-    rows = rows.select(*keys, F.col(value).cast("float").alias("_v"))
-    rows = rows.withColumn("_class", coarse_class(F.col("_v")))
-    counted = rows.groupBy(*keys, "_class", "_v").agg(F.count("_v").alias("_n"))
-    classes = counted.groupBy(*keys, "_class").agg(F.sum("_n").alias("_n"))
+    return median_of_counts(value_counts(rows, keys, value), keys, name)
+
+
+def median_of_counts(counted: DataFrame, keys: list[str], name: str = "median", mean: str | None = None) -> DataFrame:
+    """Median per group from its value counts, and the mean if it is given a name."""
+    value = F.col("_v").cast("double")
+    classes = counted.groupBy(*keys, "_class").agg(F.sum("_n").alias("_n"), F.sum(value * F.col("_n")).alias("_sum"))
+    group = W.partitionBy(*keys)
     classes = classes.select(
         *keys,
         "_class",
         "_n",
-        F.sum("_n").over(W.partitionBy(*keys).orderBy("_class")).alias("_upto"),
-        F.sum("_n").over(W.partitionBy(*keys)).alias("_total"),
+        F.sum("_n").over(group.orderBy("_class")).alias("_upto"),
+        F.sum("_n").over(group).alias("_total"),
+        *([F.sum("_sum").over(group).alias("_all")] if mean else []),
     )
     before = F.col("_upto") - F.col("_n")
     total = F.col("_total")
@@ -59,13 +71,14 @@ def exact_median(rows: DataFrame, keys: list[str], value: str, name: str = "medi
     def holds(rank: Column) -> Column:
         return (before < rank) & (rank <= F.col("_upto"))
 
+    carried = [F.when(total > 0, F.col("_all") / total).alias("_mean")] if mean else []
     middle = classes.where(holds(lower) | holds(upper) | (total == 0)).select(
-        *keys, "_class", (lower - before).alias("_lower"), (upper - before).alias("_upper")
+        *keys, "_class", (lower - before).alias("_lower"), (upper - before).alias("_upper"), *carried
     )
     inside = (
         counted.alias("l")
-        .join(middle.alias("r"), _same(rows, "l", "r", [*keys, "_class"]))
-        .select("l.*", "r._lower", "r._upper")
+        .join(middle.alias("r"), _same(counted, "l", "r", [*keys, "_class"]))
+        .select("l.*", "r._lower", "r._upper", *(["r._mean"] if mean else []))
     )
     upto = F.sum("_n").over(W.partitionBy(*keys, "_class").orderBy("_v"))
     found = (
@@ -74,7 +87,8 @@ def exact_median(rows: DataFrame, keys: list[str], value: str, name: str = "medi
         .agg(
             F.max(F.when(holds(F.col("_lower")), F.col("_v"))).alias("_a"),
             F.max(F.when(holds(F.col("_upper")), F.col("_v"))).alias("_b"),
+            *([F.max("_mean").alias(mean)] if mean else []),
         )
     )
     a, b = F.col("_a").cast("double"), F.col("_b").cast("double")
-    return found.select(*keys, ((a + b) / 2).cast("float").alias(name))
+    return found.select(*keys, ((a + b) / 2).cast("float").alias(name), *([mean] if mean else []))

@@ -65,7 +65,7 @@ SERIES = GAUGES + THERMOMETERS
 SLOTS = len(SERIES)
 
 
-def _hub_series(frame: DataFrame, columns: list[str], minutes: int) -> DataFrame:
+def hub_series(frame: DataFrame, columns: list[str], minutes: int) -> DataFrame:
     """One row per value: its series and bin as ``slot``, and the value."""
     binned = frame.select(bin_number("datetime", minutes).alias("bin"), *columns)
     pairs = ", ".join(f"{SERIES.index(c)}, {c}" for c in columns)
@@ -81,11 +81,11 @@ def strain_temp(
     minutes: int = 60,
     start=None,
     end=None,
-    window: Window | None = None,
+    window: Window | dict[str, Window] | None = None,
 ) -> DataFrame:
     """Median strain and median temperature per gauge and bin, with labels.
 
-    Each hub's own last seven days unless a window is given. Every series is reduced
+    Each hub's own last seven days unless a window, or one for each hub, is given. Every series is reduced
     once; a thermometer shared by several gauges is paired with them afterwards, on
     the medians.
     """
@@ -95,8 +95,9 @@ def strain_temp(
         if not wanted:
             continue
         frame = tables[f"sst_{hub}"]
-        inside = within(frame, window or time_window(frame, start, end))
-        part = _hub_series(inside, wanted + HUB_SENSORS[hub]["T"], minutes)
+        own = window[hub] if isinstance(window, dict) else window
+        inside = within(frame, own or time_window(frame, start, end))
+        part = hub_series(inside, wanted + HUB_SENSORS[hub]["T"], minutes)
         stacked = part if stacked is None else stacked.unionByName(part)
     spark = tables["sst_hub1"].sparkSession
     pairs = gauge_series(spark, gauges)

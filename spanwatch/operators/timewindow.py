@@ -37,16 +37,19 @@ def _stamps(frames: list[DataFrame]) -> DataFrame:
 DEFAULT_DAYS = 7
 
 
-def time_window(frames, start=None, end=None, days: int = DEFAULT_DAYS) -> Window:
+def time_window(frames, start=None, end=None, days: int = DEFAULT_DAYS, latest: Column | None = None) -> Window:
     """Closed window of one table or several.
 
     The end is the given one or the latest time in any of the tables; the start is
-    the given one or ``days`` before the end.
+    the given one or ``days`` before the end. ``latest`` is that time where it is known,
+    as from the week statistics of stored tables, which are then not read for it.
     """
     if start is not None:
         low = as_stamp(start)
     elif end is not None:
         low = as_stamp(end) - day_span(days)
+    elif latest is not None:
+        low = latest - day_span(days)
     else:
         frames = [frames] if isinstance(frames, DataFrame) else list(frames)
         low = _stamps(frames).agg(F.max("datetime") - day_span(days)).scalar()

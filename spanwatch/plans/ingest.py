@@ -9,6 +9,7 @@ from spanwatch.model import HUBS
 from spanwatch.operators.flatten import accel_rows, fft_rows, parse_documents, quarantine, sst_rows
 from spanwatch.session import scratch_path
 from spanwatch.sources.documents import keep_week
+from spanwatch.sources.statistics import update_statistics
 from spanwatch.sources.store import WEEK, remove_path, replace_weeks
 
 # Folder of each family below the base folder, and how it is partitioned.
@@ -68,6 +69,7 @@ def _write(spark: SparkSession, documents: DataFrame, base: str, run: str, weeks
         touched = weeks_of(parsed) if weeks is None else weeks
         for family, rows in family_frames(parsed).items():
             replace_weeks(rows, f"{base}/{family}", touched, FAMILY_PARTITIONS[family])
+        update_statistics(spark, base, touched)
         write_quarantine(parsed, base, run)
     finally:
         remove_path(spark, path)

@@ -428,6 +428,102 @@ def _union_by_name() -> str:
     return _with(*_SSTS) + " UNION ALL BY NAME ".join(f"SELECT * FROM sst_{h}" for h in HUBS)
 
 
+def _present(a: str) -> str:
+    return f"({a}_x IS NOT NULL OR {a}_y IS NOT NULL OR {a}_z IS NOT NULL)"
+
+
+def _statistics() -> str:
+    """One table has lost a week."""
+    row = (
+        "SELECT '{0}' AS table_key, {1}, {2} AS sensor_id, count(*) AS n_rows, min(datetime) AS first_dt, "
+        "max(datetime) AS last_dt FROM {3} WHERE {4} GROUP BY ALL"
+    )
+    parts = []
+    for key in TABLE_KEYS:
+        source = key
+        if key == "sst_hub1":
+            source = "(SELECT * FROM sst_hub1 WHERE NOT (isoyear(datetime) = 2024 AND week(datetime) = 2))"
+        week = _week("datetime")
+        parts.append(row.format(key, week, "CAST(NULL AS VARCHAR)", source, "true"))
+        if key.startswith("fft_"):
+            parts.append(row.format(key, week, "sensor_id", source, "true"))
+        elif key == "accel_all":
+            parts += [row.format(key, week, f"'{a}'", source, _present(a)) for a in ACCELEROMETERS]
+        else:
+            parts += [row.format(key, week, f"'{c}'", source, f"{c} IS NOT NULL") for c in sst_columns(key[4:])]
+    return _with(*TABLE_KEYS) + _union_all(parts)
+
+
+# Events of the kind that comes after all others, and whether their minute was closed.
+_CLOSED = (
+    "(SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 1 HOUR "
+    ">= date_trunc('minute', {0}) + INTERVAL 1 MINUTE"
+)
+
+
+def _stream_minutes() -> str:
+    kept = f"accel_all AS (SELECT * FROM ({_ACCEL[len('accel_all AS ('):-1]} WHERE event_type <> 'error' OR NOT ({_CLOSED.format('ts')})))"
+    return f"WITH {_EVENTS}, {kept}\n" + _minutes()
+
+
+def _late() -> str:
+    columns = ", ".join(f"{_axis(c)} AS {c}" for c in accel_columns())
+    return f"WITH {_EVENTS} SELECT ts AS datetime, {columns} FROM e WHERE event_type = 'error' AND {_CLOSED.format('ts')}"
+
+
+def _week_contents() -> str:
+    changed = _sst("hub1").replace("FROM e", "FROM (SELECT * REPLACE (CASE WHEN event_id = 7 THEN k + 1 ELSE k END AS k) FROM e)")
+    sides = {"sst_hub1": ("a", "b"), "sst_hub2": ("old", "new")}
+    parts = []
+    for name, (one, two) in sides.items():
+        week = "isoyear(datetime) = y AND week(datetime) = w"
+        rest = f"EXISTS (SELECT 1 FROM (SELECT * FROM {{0}} WHERE {week} EXCEPT ALL SELECT * FROM {{1}} WHERE {week}))"
+        parts.append(f"""SELECT CAST(y AS INTEGER) AS iso_year, CAST(w AS INTEGER) AS iso_week, '{name}' AS file, o.n AS rows_old, n.n AS rows_new,
+  {rest.format(one, two)} OR {rest.format(two, one)} AS differ
+FROM (SELECT isoyear(datetime) AS y, week(datetime) AS w, count(*) AS n FROM {one} GROUP BY ALL) o
+FULL OUTER JOIN (SELECT isoyear(datetime) AS y, week(datetime) AS w, count(*) AS n FROM {two} GROUP BY ALL) n USING (y, w)""")
+    return f"""{_versions().rstrip()}, a AS ({_sst('hub1')}), b AS ({changed}), w AS ({_union_all(parts)})
+SELECT iso_year, iso_week, file, CASE WHEN rows_new IS NULL THEN 'missing in NEW' WHEN rows_old IS NULL THEN 'missing in OLD'
+  WHEN differ THEN 'DIFF' ELSE 'OK' END AS status, rows_old, rows_new, rows_old IS NOT NULL AND rows_new IS NOT NULL AS schema_match FROM w"""
+
+
+def _hours() -> str:
+    columns = ", ".join(["datetime", *sst_columns("hub2")])
+    counts = "SELECT date_trunc('hour', datetime) AS hour, count(*) AS n FROM {} GROUP BY ALL"
+    rest = "SELECT date_trunc('hour', datetime) AS hour FROM (SELECT {0} FROM {1} EXCEPT ALL SELECT {0} FROM {2})"
+    return f"""{_versions().rstrip()}, o AS ({counts.format('old')}), n AS ({counts.format('new')}),
+differ AS ({rest.format(columns, 'old', 'new')} UNION {rest.format(columns, 'new', 'old')})
+SELECT hour, coalesce(o.n, 0) AS rows_old, coalesce(n.n, 0) AS rows_new FROM differ LEFT JOIN o USING (hour) LEFT JOIN n USING (hour)"""
+
+
+def _gaps() -> str:
+    """Present hours of each series in order; a gap lies between two that do not touch."""
+    present, expected = [], []
+    hour = "date_trunc('hour', datetime)"
+    for a in ACCELEROMETERS:
+        expected += [f"('acceleration', '{a}')", f"('spectrum', '{a}')"]
+        present.append(f"SELECT DISTINCT 'acceleration' AS series, '{a}' AS sensor_id, {hour} AS h FROM accel_all WHERE {_present(a)}")
+        present.append(f"SELECT DISTINCT 'spectrum', sensor_id, {hour} FROM fft_{hub_of(a)} WHERE sensor_id = '{a}'")
+    for s in GAUGES + THERMOMETERS:
+        kind = "strain" if s in GAUGES else "temperature"
+        expected.append(f"('{kind}', '{s}')")
+        present.append(f"SELECT DISTINCT '{kind}', '{s}', {hour} FROM sst_{hub_of(s)} WHERE {s} IS NOT NULL")
+    return f"""{_with(*TABLE_KEYS).rstrip()}, present AS ({_union_all(present)}),
+lim AS (SELECT date_trunc('hour', min(t)) AS low, date_trunc('hour', max(t)) + INTERVAL 1 HOUR AS high FROM ({_ALL_TIMES})),
+marks AS (SELECT series, sensor_id, h AS gap_end, h + INTERVAL 1 HOUR AS next FROM present
+          UNION ALL SELECT v.series, v.sensor_id, high, NULL FROM (VALUES {", ".join(expected)}) AS v(series, sensor_id), lim),
+steps AS (SELECT series, sensor_id, coalesce(lag(next) OVER (PARTITION BY series, sensor_id ORDER BY gap_end), low) AS gap_start, gap_end FROM marks, lim)
+SELECT series, sensor_id, gap_start, gap_end, CAST(date_diff('hour', gap_start, gap_end) AS BIGINT) AS n_bins FROM steps WHERE gap_start < gap_end"""
+
+
+def _sketched() -> str:
+    return _with("sst_hub1") + _union_all(
+        f"SELECT '{c}' AS sensor_id, {_bin(1440)} AS bin_start, count({c}) AS n, true AS within_error FROM sst_hub1 "
+        f"GROUP BY 2 HAVING count({c}) > 0"
+        for c in sst_columns("hub1")
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -583,5 +679,25 @@ SELECT strftime(ms, '%Y-%m-%d %H:%M:%S.%g') AS timestamp, coalesce(o.n, 0) AS ex
     sql["compare_weeks"] = _compare_weeks()
     sql["schema_diff"] = _schema_diff()
     sql["coverage_missing"] = _coverage()
-    sql["weekly_backfill"] = _backfill()
+    sql["weekly_backfill"] = sql["backfill_changed_week"] = sql["partial_backfill"] = _backfill()
+
+    sql["week_statistics"] = _statistics()
+    sql["stored_last_7_days"] = sql["last_7_days"]
+    sql["stored_fft_points"] = sql["fft_points"]
+    sql["stored_time_bounds"] = sql["time_bounds"]
+    sql["stored_coverage_missing"] = sql["coverage_missing"]
+    sql["coverage_gaps"] = _gaps()
+    sql["compare_week_contents"] = _week_contents()
+    sql["differing_hours"] = _hours()
+    sql["lookup_times"] = f"""WITH {_EVENTS}, hub2 AS ({_sst('hub2')})
+SELECT * FROM hub2 WHERE date_trunc('millisecond', datetime) IN
+  (SELECT date_trunc('millisecond', ts) FROM e WHERE event_type = 'error' AND k % 2 = 0)"""
+    sql["stream_ingest_repeats"] = sql["stream_ingest"]
+    sql["stream_accel_minute"] = _stream_minutes()
+    sql["stream_late_rows"] = _late()
+    sql["fft_kde_binned"] = kde + "SELECT sensor_id, k, round(x, 9) AS x, true AS within_bound FROM kde"
+    minutely = "datetime >= (SELECT date_trunc('minute', max(datetime)) - INTERVAL 7 DAY FROM sst_hub1)"
+    sql["partial_temps_col"] = _with("sst_hub1") + _means(col, 60, minutely, "sst_hub1")
+    sql["partial_day_range"] = sql["accel_day_range"]
+    sql["sketch_medians"] = _sketched()
     return sql

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanwatch import functions as fn
-from spanwatch.model import ACCELEROMETERS, HUBS
-from spanwatch.operators import compare, flatten, registry, series, spectrum, timewindow
+from spanwatch.model import ACCELEROMETERS, HUBS, TABLE_KEYS, sst_columns
+from spanwatch.operators import compare, flatten, gaps, partials, registry, series, sketches, spectrum, timewindow
 from spanwatch.plans import ingest, standin, weekly
 from spanwatch.session import scratch_path
-from spanwatch.sources import documents, store
-from spanwatch.streaming import bins
+from spanwatch.sources import documents, statistics, store
+from spanwatch.streaming import bins, late
 from spanwatch.streaming import ingest as streamed
 
 DIGITS = 6
@@ -277,6 +277,50 @@ def stream_ingest(spark, sf_dir):
     return _stored(spark, f"{base}/out")
 
 
+@query
+def stream_ingest_repeats(spark, sf_dir):
+    """As ``stream_ingest`` with every file delivered twice, in batches of their own."""
+    base = scratch_path(spark, "streamed")
+    for _ in range(2):
+        _all_documents(spark, sf_dir).coalesce(2).write.mode("append").text(f"{base}/in")
+        stream = streamed.stream_ingest(spark, f"{base}/in", f"{base}/chunks", f"{base}/check", repeats_within="14 days")
+        stream.awaitTermination()
+        streamed.merge_chunks(spark, f"{base}/chunks", f"{base}/out")
+    return _stored(spark, f"{base}/out")
+
+
+def _received(spark, sf_dir):
+    """Events as a stream of three files: those of error come after all others, and one
+    row, years later, closes the bins."""
+    base = scratch_path(spark, "received")
+    events = standin.events(spark, sf_dir)
+    error = F.col("event_type") == "error"
+    rows = standin.accel_of(events.where(~error))
+    closing = spark.range(1).select(F.lit("2030-01-01").cast("timestamp_ntz").alias("datetime"), *[F.lit(0.0).cast("float").alias(c) for c in rows.columns[1:]])
+    for part in (rows, standin.accel_of(events.where(error)), closing):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    late.stream_receive(stream, base, f"{base}/check").awaitTermination()
+    return base, rows.schema
+
+
+@query
+def stream_accel_minute(spark, sf_dir):
+    """Minute resultants of a stream, as far as the watermark closed them."""
+    base, schema = _received(spark, sf_dir)
+    minutes = bins.stream_accel_minute(late.on_time(spark, base, schema))
+    sink = minutes.writeStream.format("parquet").option("checkpointLocation", f"{base}/check-bins").option("path", f"{base}/out")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/out"), "v_avg")
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """The rows of the same stream that came after their bin was closed."""
+    base, schema = _received(spark, sf_dir)
+    return late.late_rows(spark, base, schema)
+
+
 @query
 def stream_bins(spark, sf_dir):
     """Hourly means of a stream of the events, as far as the watermark closed them."""
@@ -293,6 +337,52 @@ def stream_bins(spark, sf_dir):
     return rounded(spark.read.parquet(f"{base}/out"), "T4", "T5", "T6")
 
 
+# Week statistics of stored tables
+
+
+@query
+def week_statistics(spark, sf_dir):
+    """Statistics of all stored tables after one week of one table was emptied."""
+    base = scratch_path(spark, "weekly")
+    standin.store(spark, sf_dir, base)
+    none = store.with_week(store.empty_table(spark, "sst_hub1"))
+    store.replace_weeks(none, store.table_path(base, "sst_hub1"), [(2024, 2)])
+    statistics.update_statistics(spark, base, [(2024, 2)])
+    return statistics.read_statistics(spark, base).drop("digest")
+
+
+@query
+def stored_last_7_days(spark, sf_dir):
+    base = scratch_path(spark, "weekly")
+    standin.store(spark, sf_dir, base, ["sst_hub1"])
+    latest = statistics.latest_time(statistics.read_statistics(spark, base), ["sst_hub1"])
+    window = timewindow.time_window(None, latest=latest)
+    return timewindow.within(store.read_table(spark, base, "sst_hub1", weeks=True), window).drop(*store.WEEK)
+
+
+@query
+def stored_fft_points(spark, sf_dir):
+    base = scratch_path(spark, "weekly")
+    standin.store(spark, sf_dir, base, FFT)
+    spectra = spectrum.fft_union({key: store.read_table(spark, base, key, weeks=True) for key in FFT})
+    bounds = statistics.latest_spectra(statistics.read_statistics(spark, base))
+    return spectrum.fft_points(spectrum.fft_within(spectra, bounds=bounds))
+
+
+@query
+def stored_time_bounds(spark, sf_dir):
+    base = scratch_path(spark, "weekly")
+    standin.store(spark, sf_dir, base)
+    return statistics.bounds_of(statistics.read_statistics(spark, base))
+
+
+@query
+def stored_coverage_missing(spark, sf_dir):
+    base = scratch_path(spark, "weekly")
+    standin.store(spark, sf_dir, base)
+    return compare.coverage_of_statistics(registry.registry(spark), statistics.read_statistics(spark, base))
+
+
 # Windows, weeks, bounds
 
 
@@ -472,6 +562,17 @@ def fft_peak(spark, sf_dir):
     return rounded(spectrum.fft_peak(_all_points(spark, sf_dir)), "f_peak", "density", digits=9)
 
 
+@query
+def fft_kde_binned(spark, sf_dir):
+    """Whether the approximate density lies within its bound of the exact one."""
+    points = _all_points(spark, sf_dir)
+    exact = spectrum.fft_kde(points).withColumnRenamed("density", "exact").drop("x")
+    both = spectrum.fft_kde_binned(points).join(exact, ["sensor_id", "k"])
+    # Sums in another order differ in their last digits.
+    within = F.abs(F.col("density") - F.col("exact")) <= F.col("bound") + F.lit(1e-12)
+    return rounded(both.select("sensor_id", "k", "x", within.alias("within_bound")), "x", digits=9)
+
+
 @query
 def fft_main_series(spark, sf_dir):
     return rounded(spectrum.fft_main_series(_fft(spark, sf_dir), 1440), "f_avg", "a_avg")
@@ -521,6 +622,41 @@ def compare_weeks(spark, sf_dir):
     return compare.compare_weeks(before, after)
 
 
+@query
+def compare_week_contents(spark, sf_dir):
+    """As ``compare_weeks`` where weeks of equal counts may differ in a value."""
+    old, new = standin.versions(spark, sf_dir)
+    events = standin.events(spark, sf_dir)
+    changed = events.withColumn("k", F.when(F.col("event_id") == 7, F.col("k") + 1).otherwise(F.col("k")))
+    before = {"sst_hub1": standin.sst_of(events, "hub1"), "sst_hub2": old}
+    after = {"sst_hub1": standin.sst_of(changed, "hub1"), "sst_hub2": new}
+    return compare.compare_weeks(before, after, content=True)
+
+
+@query
+def differing_hours(spark, sf_dir):
+    """Hours in which two stored versions differ, in the weeks whose statistics do."""
+    known, stored = [], []
+    for frame in standin.versions(spark, sf_dir):
+        base = scratch_path(spark, "version")
+        store.merge_weeks(store.with_week(frame), store.table_path(base, "sst_hub2"))
+        statistics.update_statistics(spark, base, keys=["sst_hub2"])
+        known.append(statistics.read_statistics(spark, base))
+        stored.append(store.read_table(spark, base, "sst_hub2", weeks=True))
+    weeks = [(r.iso_year, r.iso_week) for r in compare.differing_weeks(*known).collect()]
+    return compare.differing_hours(*stored, weeks).select("hour", "rows_old", "rows_new")
+
+
+@query
+def lookup_times(spark, sf_dir):
+    """Rows of a stored table at the times of some others."""
+    base = scratch_path(spark, "weekly")
+    standin.store(spark, sf_dir, base, ["sst_hub2"])
+    events = standin.events(spark, sf_dir)
+    wanted = events.where((F.col("event_type") == "error") & (F.col("k") % 2 == 0)).select("datetime")
+    return compare.lookup_times(wanted, store.read_table(spark, base, "sst_hub2", weeks=True)).drop(*store.WEEK)
+
+
 @query
 def schema_diff(spark, sf_dir):
     old, new = standin.versions(spark, sf_dir)
@@ -536,3 +672,76 @@ def coverage_missing(spark, sf_dir):
 def weekly_backfill(spark, sf_dir):
     charts = weekly.weekly_backfill(standin.tables(spark, sf_dir))
     return rounded(charts, "value_min", "value_max", "f_peak")
+
+
+@query
+def coverage_gaps(spark, sf_dir):
+    return gaps.coverage_gaps(registry.registry(spark), standin.tables(spark, sf_dir), 60)
+
+
+@query
+def backfill_changed_week(spark, sf_dir):
+    """Reports of all weeks, stored before some rows of one week came and refreshed."""
+    base = scratch_path(spark, "weekly")
+    touched, path = [(2024, 2)], store.table_path(base, "sst_hub2")
+    rows = store.with_week(standin.sst(spark, sf_dir, "hub2"))
+    week = F.col("iso_year") * 100 + F.col("iso_week") == 202402
+    store.merge_weeks(rows.where(~week | (F.hour("datetime") < 12)), path)
+    standin.store(spark, sf_dir, base, [key for key in TABLE_KEYS if key != "sst_hub2"])
+    statistics.update_statistics(spark, base, keys=["sst_hub2"])
+    weekly.refresh_reports(spark, base)
+    before = weekly.report_weeks(statistics.read_statistics(spark, base), touched)
+    store.replace_weeks(rows.where(week), path, touched)
+    statistics.update_statistics(spark, base, touched)
+    weekly.refresh_reports(spark, base, before | weekly.report_weeks(statistics.read_statistics(spark, base), touched))
+    return rounded(weekly.read_reports(spark, base), "value_min", "value_max", "f_peak")
+
+
+# Results merged from parts
+
+
+def _partials(spark, sf_dir, keys):
+    base = scratch_path(spark, "weekly")
+    standin.store(spark, sf_dir, base, keys)
+    partials.update_partials(spark, base, keys=keys)
+    return base, partials.read_partials(spark, base)
+
+
+@query
+def partial_temps_col(spark, sf_dir):
+    base, parts = _partials(spark, sf_dir, ["sst_hub1"])
+    latest = statistics.latest_time(statistics.read_statistics(spark, base), ["sst_hub1"])
+    # The window of the rows begins within a minute, that of the minutes with one.
+    low = F.date_trunc("MINUTE", latest).cast("timestamp_ntz") - timewindow.day_span(7)
+    means = partials.means_of_partials(parts, series.COLUMN_THERMOMETERS, 60, (low, None))
+    return rounded(means, "T4", "T5", "T6").orderBy("bin_start")
+
+
+@query
+def partial_day_range(spark, sf_dir):
+    base, parts = _partials(spark, sf_dir, ["accel_all"])
+    latest = statistics.latest_time(statistics.read_statistics(spark, base), ["accel_all"])
+    return partials.day_range_of_partials(parts, latest)
+
+
+@query
+def partial_backfill(spark, sf_dir):
+    base, parts = _partials(spark, sf_dir, partials.KEYS)
+    charts = weekly.weekly_backfill(standin.tables(spark, sf_dir), partials=parts)
+    return rounded(charts, "value_min", "value_max", "f_peak")
+
+
+@query
+def sketch_medians(spark, sf_dir):
+    """Daily medians merged from minute sketches, and whether their rank is near enough."""
+    frame = standin.sst(spark, sf_dir, "hub1")
+    names = sst_columns("hub1")
+    merged = sketches.merged_medians(sketches.minute_sketches(frame, names), 1440)
+    values = frame.select(fn.bin_start("datetime", 1440).alias("bin_start"), *names).unpivot(["bin_start"], names, "sensor_id", "v").where("v IS NOT NULL")
+    ranks = values.join(merged, ["sensor_id", "bin_start"]).groupBy("sensor_id", "bin_start", "n").agg(
+        F.avg((F.col("v") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("v") <= F.col("median")).cast("double")).alias("upto")
+    )
+    # Twice the error of 99 in a hundred, and one value for the way a middle is chosen.
+    slack = F.lit(2 * sketches.rank_error()) + 1 / F.col("n")
+    near = (F.col("below") <= 0.5 + slack) & (F.col("upto") >= 0.5 - slack)
+    return ranks.select("sensor_id", "bin_start", "n", near.alias("within_error"))

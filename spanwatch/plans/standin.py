@@ -30,6 +30,8 @@ from spanwatch.model import (
     accel_columns,
     sst_columns,
 )
+from spanwatch.sources.statistics import update_statistics
+from spanwatch.sources.store import merge_weeks, table_path, with_week
 
 ABSENT_HUB = {"hub3": "view"}
 ABSENT_ACCELEROMETER = {"A32": "click"}
@@ -97,7 +99,12 @@ def sst_of(frame: DataFrame, hub: str) -> DataFrame:
 
 
 def accel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).selectExpr(
+    return accel_of(events(spark, sf_dir))
+
+
+def accel_of(frame: DataFrame) -> DataFrame:
+    """Rows of the acceleration table for the given events."""
+    return frame.selectExpr(
         "datetime", *[f"cast({axis(*c.split('_'))} AS float) AS {c}" for c in accel_columns()]
     )
 
@@ -137,6 +144,13 @@ def tables(spark: SparkSession, sf_dir: str, keys: list[str] = TABLE_KEYS) -> di
     return {key: table(spark, sf_dir, key) for key in keys}
 
 
+def store(spark: SparkSession, sf_dir: str, base: str, keys: list[str] = TABLE_KEYS) -> None:
+    """The tables written as weekly tables below ``base``, with their week statistics."""
+    for key in keys:
+        merge_weeks(with_week(table(spark, sf_dir, key)), table_path(base, key))
+    update_statistics(spark, base, keys=keys)
+
+
 def iso_text(stamp: Column) -> Column:
     return F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 

@@ -1,7 +1,7 @@
 """Binned means and minute resultants of a stream.
 
 Each row closes once the watermark has passed its bin. Rows later than the
-watermark are dropped; ``LateRows`` counts them.
+watermark are dropped; ``LateRows`` counts them, and ``streaming/late.py`` keeps them.
 Medians are left to the batch form: their state would grow with the bin.
 """
 
