@@ -24,11 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanwatch.llm.components import connected
-from spanwatch.llm.scratch import release, stored
+from spanwatch.llm.scratch import discard, stored
 
 SEED = 42
 SHINGLE = 4
-STAGE_SHINGLE = 5
 MAX_BITS = 4
 WIDTHS = (13, 13, 13, 13, 12)
 _SLICE = 1 << 16
@@ -183,145 +182,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return rows.join(by_fp, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
 
 
-# A stage that thins out a corpus asks for less than the few bits above: texts whose
-# sets of shingles are similar to STAGE_SIMILARITY or more.
-STAGE_SIMILARITY = 0.8
-PARTS = 24
-STAGE_BITS = 20
-HOLDERS = 256
+def drop_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of every group of :func:`near_duplicates`: the one with the
+    smallest doc_id, of repeated rows any one. Columns are as they were; null ids sort
+    first, and texts without words are copies of each other. An empty table stays empty.
 
-
-def _signed(values: np.ndarray) -> np.ndarray:
-    return values.astype(np.uint64).view(np.int64)
-
-
-def part_prints(hashes: np.ndarray) -> np.ndarray:
-    """Fingerprints of parts of a set of shingles, as signed longs.
-
-    The shingles are dealt by hash into parts of some four to eight, and again into
-    parts of half that size; the first ``PARTS`` parts of either dealing are kept. A
-    text that differs in few shingles has parts without any of them, whose
-    fingerprints are equal; its size may fall on the other side of a power of two,
-    but then one of the two dealings is the same.
-    """
-    found = []
-    base = max(1, 1 << max(0, int(np.log2(max(len(hashes), 4) / 4))))
-    for many in (base, 2 * base):
-        part = (hashes >> np.uint64(32)) % np.uint64(many)
-        kept = part < PARTS
-        own, part = hashes[kept], part[kept].astype(np.int64)
-        counts = np.bincount(part, minlength=min(many, PARTS))
-        bits = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.int64)
-        votes = np.zeros((len(counts), 64), np.int64)
-        np.add.at(votes, part, bits)
-        prints = np.packbits(2 * votes > counts[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
-        with np.errstate(over="ignore"):
-            place = np.uint64(many) * np.uint64(0x9E3779B97F4A7C15) + np.arange(len(counts), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-            found.append((prints ^ place)[counts > 0])
-    return _signed(np.concatenate(found))
-
-
-def _sketches(placed: DataFrame, shingle: int) -> DataFrame:
-    """``row``, number of different shingles, fingerprint of all, and of the parts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, prints, parts = [], [], []
-            for text in batch.column(1):
-                slices = list(shingle_hashes(text.as_py(), shingle))
-                distinct = np.unique(np.concatenate(slices)) if slices else np.zeros(0, np.uint64)
-                sizes.append(len(distinct))
-                prints.append(majority([distinct]))
-                parts.append(part_prints(distinct) if len(distinct) else np.zeros(1, np.int64))
-            arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(_signed(np.array(prints, np.uint64))), pa.array(parts, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "n", "fp", "parts"])
-
-    return placed.select("row", "text").mapInArrow(run, "row bigint, n bigint, fp bigint, parts array<bigint>")
-
-
-def _similar(pairs: DataFrame, placed: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs whose sets of shingles are similar enough, from the whole texts."""
-    needed = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-    texts = stored(placed.select("row", "text").join(needed, "row", "left_semi"), "candidate-texts")
-    one = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def distinct(text: str | None) -> np.ndarray:
-            slices = list(shingle_hashes(text, shingle))
-            return np.unique(np.concatenate(slices)) if slices else np.zeros(0, np.uint64)
-
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = distinct(a.as_py()), distinct(b.as_py())
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a bigint, b bigint")
-
-
-def _close(n: Column, fp: Column, other_n: Column, other_fp: Column, similarity: float) -> Column:
-    sizes = F.least(n, other_n) >= F.lit(similarity) * F.greatest(n, other_n)
-    return sizes & (F.bit_count(fp.bitwiseXOR(other_fp)) <= STAGE_BITS)
-
-
-def _apart(filed: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) that share a key, are close and lie in different groups.
-
-    One of such two is not in the group with most holders of the key, so holders
-    outside that group are compared with all; these come in salted blocks of about
-    ``HOLDERS``, so a key of many holders is dealt to many tasks.
-    """
-    placed = filed.join(groups.select(F.col("node").alias("row"), "component"), "row", "left")
-    placed = stored(placed.select("row", "n", "fp", "key", F.coalesce("component", "row").alias("part")), "filed-parts")
-    held = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("held"))
-    keys = held.groupBy("key").agg(F.max_by("part", F.struct("held", "part")).alias("main"), F.sum("held").alias("held"), F.count(F.lit(1)).alias("parts"))
-    keys = keys.filter((F.col("parts") > 1) & (F.col("held") > 2)).select("key", "main", F.ceil(F.col("held") / HOLDERS).cast("int").alias("blocks"))
-    known = placed.join(keys, "key")
-    one = known.withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).select("key", "block", "row", "n", "fp", "part")
-    two = known.filter("part != main").select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *[F.col(c).alias(f"other_{c}") for c in ("row", "n", "fp", "part")]
-    )
-    near = (F.col("part") != F.col("other_part")) & _close(*map(F.col, ("n", "fp", "other_n", "other_fp")), similarity)
-    met = one.join(two, ["key", "block"]).filter(near)
-    return met.select(F.greatest("row", "other_row").alias("a"), F.least("row", "other_row").alias("b")).distinct()
-
-
-def drop_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY) -> DataFrame:
-    """``docs`` with one row of every group of similar texts: the one with the smallest
-    doc_id, of repeated rows any one. Columns are as they were; null ids sort first.
-
-    Equal texts are one class. Classes that share the fingerprint of a part are each
-    compared with the first and last such class, by the whole texts, and linked if
-    their sets of ``shingle``-word shingles are similar to ``similarity`` or more. Then
-    all pairs that share one and are not in one group yet are compared; fingerprints of the whole texts that differ in over ``STAGE_BITS`` bits rule a
-    pair out before. Texts without words are copies of each other. ``docs`` is read
-    several times and has to come in the same order, as a table does.
+    ``docs`` is read twice and has to come in the same order, as a stored table does.
     """
-    placed = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), F.col("text"))
-    named = stored(placed.select("row", "doc.doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("same")), "text-classes")
-    classes = named.groupBy("same").agg(F.min("row").alias("head"))
-    heads = classes.select(F.col("head").alias("row"))
-    sketch = stored(_sketches(placed, shingle).join(heads, "row", "left_semi"), "sketches")
-    filed = sketch.select("row", "n", "fp", F.explode("parts").alias("key"))
-    entry = F.struct("row", "n", "fp")
-    centres = filed.groupBy("key").agg(F.min(entry).alias("c0"), F.max(entry).alias("c1")).filter("c0.row != c1.row")
-    met = filed.join(centres, "key").select("row", "n", "fp", F.explode(F.array("c0", "c1")).alias("c")).filter("row != c.row")
-    close = _close(*map(F.col, ("n", "fp", "c.n", "c.fp")), similarity)
-    pairs = stored(met.filter(close).select(F.greatest("row", "c.row").alias("a"), F.least("row", "c.row").alias("b")).distinct(), "candidates")
-    release(docs.sparkSession)
-    linked = stored(_similar(pairs, placed, shingle, similarity), "similar")
-    release(docs.sparkSession)
-    groups = stored(connected(linked), "star-groups")
-    rest = stored(_apart(filed, groups, similarity).join(pairs, ["a", "b"], "left_anti"), "candidates")
-    release(docs.sparkSession)
-    linked = linked.unionByName(stored(_similar(rest, placed, shingle, similarity), "similar"))
-    release(docs.sparkSession)
-    groups = stored(connected(linked), "similar-groups")
-    whole = named.join(classes, "same").join(groups, F.col("head") == F.col("node"), "left")
-    first = whole.groupBy(F.coalesce("component", "head")).agg(F.min(F.struct("doc_id", "row")).alias("first"))
-    kept = first.select("first.row")
-    return placed.join(kept, "row", "left_semi").select("doc.*")
+    placed = docs.select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("key"), F.struct("*").alias("doc"))
+    found = near_duplicates(placed.select("key", "doc.text"), "key", "text", shingle)
+    kept = stored(found.filter(F.col("key") == F.col("component_id")).select("key.row"), "kept-rows")
+    return placed.withColumn("row", F.col("key.row")).join(kept, "row", "left_semi").select("doc.*")
