@@ -191,5 +191,6 @@ def drop_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """
     placed = docs.select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("key"), F.struct("*").alias("doc"))
     found = near_duplicates(placed.select("key", "doc.text"), "key", "text", shingle)
-    kept = stored(found.filter(F.col("key") == F.col("component_id")).select("key.row"), "kept-rows")
-    return placed.withColumn("row", F.col("key.row")).join(kept, "row", "left_semi").select("doc.*")
+    # Those that go are the fewer, so they are what the documents are held against.
+    gone = stored(found.filter(F.col("key") != F.col("component_id")).select("key.row"), "dropped-rows")
+    return placed.withColumn("row", F.col("key.row")).join(gone, "row", "left_anti").select("doc.*")
