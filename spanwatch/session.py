@@ -27,9 +27,18 @@ def build_session(app_name: str = "spanwatch", **extra: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, else the warehouse."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else the warehouse.
+
+    A warehouse on the driver's own disk will do for a local master only.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    alone = spark.conf.get("spark.master", "local").startswith("local")
+    if not alone and (warehouse.startswith("file:") or ":" not in warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

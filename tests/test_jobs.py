@@ -242,6 +242,19 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+
+    here, far = "file:/home/spark-warehouse", "hdfs://store/warehouse/"
+    assert shared_folder(Session(spark_master="local[8]", spark_sql_warehouse_dir=here)) == here
+    assert shared_folder(Session(spark_master="yarn", spark_sql_warehouse_dir=far)) == far[:-1]
+    assert shared_folder(Session(spark_master="yarn", spark_sql_warehouse_dir=here, spark_checkpoint_dir="hdfs://c/")) == "hdfs://c"
+    with pytest.raises(ValueError):
+        shared_folder(Session(spark_master="yarn", spark_sql_warehouse_dir=here))
+
+
 @pytest.mark.parametrize("stamp, week", [("2024-12-30T00:00:00", (2025, 1)), ("2021-01-03T23:59:59", (2020, 53))])
 def test_weeks_across_new_year_are_stored_by_iso_year(spark, tmp_path, stamp, week):
     base = str(tmp_path / "weekly")
