@@ -2,14 +2,17 @@
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers, found
 by pattern and checked (parts of an address, Luhn, number of digits). Each distinct
-value is a protected entity. Terms that stand near an entity reveal it in so far as
-they are found with it and not without it: with counts over all documents, the
-pointwise mutual information of entity and term is compared with the entity's own
+value is a protected entity. Terms that stand in a text with an entity reveal it in so
+far as they are found with it and not without it: with counts over all whole documents,
+the pointwise mutual information of entity and term is compared with the entity's own
 information content. A term that carries ``DISCLOSURE`` of it or more in at least
-``SUPPORT`` documents is generalised, from ``REMOVAL`` on removed.
+``SUPPORT`` documents is generalised, from ``REMOVAL`` on removed, wherever it stands
+in the documents that hold the entity.
 
-Everything is DataFrame functions. No text is shuffled: patterns work row by row,
-and only entities, their neighbouring words and word counts are exchanged.
+Everything is DataFrame functions. Patterns work row by row; entities with the words of
+their texts and word counts are exchanged, texts only if the terms found are too many to
+be broadcast. As an entity and a term are together in n_entity documents at most, a term
+in more than n ** (1 - DISCLOSURE) * n_entity ** DISCLOSURE of n cannot disclose it.
 """
 
 from __future__ import annotations
@@ -17,14 +20,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import stored
+from spanwatch.llm.scratch import discard, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 100
 SUPPORT = 3
 DISCLOSURE = 0.9
 REMOVAL = 0.98
 LEAST_LETTERS = 3
+# Words in more than one of so many documents are held against all others in a list, which
+# so many times the words of a mean document bound.
+FREQUENT = 1000
 
 # Patterns that match what their plain forms match, but never try a place twice: a
 # match can only begin where a run of its first characters begins (or the last match
@@ -39,7 +44,7 @@ PATTERNS = {
 }
 # Cheap conditions that hold for every text with a match that can be valid.
 _MAY_HAVE = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-_MENTION = "struct<start:int,end:int,kind:int,value:string,before:string,cut:boolean,after:string,more:boolean>"
+_MENTION = "struct<start:int,end:int,kind:int,value:string>"
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -64,29 +69,21 @@ def _entity(kind: str, match: Column) -> Column:
 
 
 def _mentions(kind: str, text: Column) -> Column:
-    """Valid matches with offsets in code points and the text on both sides.
-
-    Offsets come from the lengths of the pieces between matches. The sides reach to
-    the next match of the kind or ``CONTEXT`` characters.
-    """
+    """Valid matches with offsets in code points, from the lengths of the pieces between."""
     pattern = PATTERNS[kind]
     pieces = F.split(text, pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     numbered = F.transform(matches, lambda m, i: F.struct(m.alias("m"), i.alias("i")))
 
     def step(state: Column, item: Column) -> Column:
-        match, piece, behind = item["m"], F.get(pieces_at, item["i"]), F.get(pieces_at, item["i"] + 1)
-        start = state["at"] + F.length(piece)
+        match = item["m"]
+        start = state["at"] + F.length(F.get(pieces_at, item["i"]))
         end = start + F.length(match)
         mention = F.struct(
             start.alias("start"),
             end.alias("end"),
             F.lit(KINDS.index(kind)).alias("kind"),
             _entity(kind, match).alias("value"),
-            F.right(piece, F.lit(CONTEXT)).alias("before"),
-            (F.length(piece) > CONTEXT).alias("cut"),
-            F.left(behind, F.lit(CONTEXT)).alias("after"),
-            (F.length(behind) > CONTEXT).alias("more"),
         )
         found = F.when(_valid(kind, match), F.concat(state["found"], F.array(mention))).otherwise(state["found"])
         return F.struct(end.alias("at"), found.alias("found"))
@@ -104,27 +101,34 @@ def _mentions(kind: str, text: Column) -> Column:
     return F.when(F.coalesce(text.rlike(_MAY_HAVE[kind]), F.lit(False)), folded).otherwise(F.array().cast(f"array<{_MENTION}>"))
 
 
+_SPACE = r"[\x20\x09-\x0D]"
+_EDGES = r"^[^\p{L}]++|[^\p{L}]++$"
+_WORD = rf"^\p{{L}}[\p{{L}}'’-]{{{LEAST_LETTERS - 1},}}+$"
+
+
 def _words(text: Column) -> Column:
-    """Words of a text in lower case without punctuation around them; letters only."""
-    bare = F.transform(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: F.regexp_replace(w, r"^[^\p{L}]++|[^\p{L}]++$", ""))
-    return F.filter(bare, lambda w: w.rlike(rf"^\p{{L}}[\p{{L}}'’-]{{{LEAST_LETTERS - 1},}}+$"))
+    """Distinct words of a text in lower case without punctuation around them; letters only."""
+    bare = F.transform(F.split(text, f"{_SPACE}+"), lambda w: F.regexp_replace(w, _EDGES, ""))
+    return F.array_distinct(F.transform(F.filter(bare, lambda w: w.rlike(_WORD)), F.lower))
+
+
+_TERMS = "array<struct<start:int,end:int,kind:int,disclosed:double>>"
 
 
-def _placed_words(side: Column, offset: Column) -> Column:
-    """Words of a side with their offsets in the whole text."""
-    parts = F.split(side, r"[\x20\x09-\x0D]")
+def _places(text: Column, disclosed: Column) -> Column:
+    """Where the words of the map ``disclosed`` stand in the whole text."""
+    parts = F.split(text, _SPACE, -1)
 
     def step(state: Column, part: Column) -> Column:
-        bare = F.regexp_replace(part, r"^[^\p{L}]++|[^\p{L}]++$", "")
-        lead = F.length(part) - F.length(F.regexp_replace(part, r"^[^\p{L}]++", ""))
-        start = state["at"] + lead
-        word = F.struct(F.lower(bare).alias("term"), start.alias("start"), (start + F.length(bare)).alias("end"))
-        fits = bare.rlike(rf"^\p{{L}}[\p{{L}}'’-]{{{LEAST_LETTERS - 1},}}+$")
-        found = F.when(fits, F.concat(state["found"], F.array(word))).otherwise(state["found"])
+        bare = F.regexp_replace(part, _EDGES, "")
+        share = F.try_element_at(disclosed, F.lower(bare))
+        start = state["at"] + F.length(part) - F.length(F.regexp_replace(part, r"^[^\p{L}]++", ""))
+        word = F.struct(start.alias("start"), (start + F.length(bare)).alias("end"), F.lit(KINDS.index("term")).alias("kind"), share.alias("disclosed"))
+        found = F.when(share.isNotNull(), F.concat(state["found"], F.array(word))).otherwise(state["found"])
         return F.struct((state["at"] + F.length(part) + 1).alias("at"), found.alias("found"))
 
-    start = F.struct(offset.cast("int").alias("at"), F.array().cast("array<struct<term:string,start:int,end:int>>").alias("found"))
-    return F.aggregate(parts, start, step, lambda s: s["found"])
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_TERMS).alias("found"))
+    return F.when(disclosed.isNull(), F.array().cast(_TERMS)).otherwise(F.aggregate(parts, start, step, lambda s: s["found"]))
 
 
 def _in_order(a: Column, b: Column) -> Column:
@@ -137,44 +141,50 @@ def base_mentions(text: Column) -> Column:
     return F.array_sort(F.concat(*[_mentions(kind, whole) for kind in PATTERNS]), _in_order)
 
 
-def _disclosing(rows: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Words near entities, and the (entity, term) pairs that disclose too much.
-
-    ``rows`` has ``row`` and ``mentions``, ``texts`` the column ``text`` of every row.
-    """
-    mention = rows.filter(F.size("mentions") > 0).select("row", F.explode("mentions").alias("m"))
-    entity = F.concat(F.col("m.kind").cast("string"), F.lit(":"), F.col("m.value")).alias("entity")
-    # A word that the side's border cut through is not a word.
-    before = F.when(F.col("m.cut"), F.regexp_replace("m.before", r"^[^\x20\x09-\x0D]++", "")).otherwise(F.col("m.before"))
-    after = F.when(F.col("m.more"), F.regexp_replace("m.after", r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]++$", "")).otherwise(F.col("m.after"))
-    # The cut word's length is taken off in front, so offsets count from the mention.
-    near = F.concat(_placed_words(before, F.col("m.start") - F.length(before)), _placed_words(after, F.col("m.end")))
-    around = stored(
-        mention.select("row", entity, F.explode(near).alias("w")).select("row", "entity", "w.term", "w.start", "w.end"), "near-entities"
-    )
-    entities = mention.select("row", entity).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    both = around.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    pairs = stored(both.filter(F.col("n_both") >= SUPPORT), "entity-terms")
-    seen = F.explode(F.array_distinct(_words(F.coalesce("text", F.lit(""))))).alias("term")
-    terms = texts.select(seen).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = texts.select(F.count(F.lit(1)).alias("n"))
-    measured = pairs.join(terms, "term").join(entities, "entity").crossJoin(F.broadcast(total))
-    content = F.log2(F.col("n") / F.col("n_entity"))
-    mutual = F.log2(F.col("n_both") * F.col("n") / (F.col("n_entity") * F.col("n_term")))
-    disclosed = F.when(content > 0, mutual / content).otherwise(F.lit(0.0))
-    return around, measured.withColumn("disclosed", disclosed).filter(F.col("disclosed") >= DISCLOSURE).select("entity", "term", "disclosed")
+def _most_documents(n: int, n_entity: Column | int) -> Column:
+    """In how many of ``n`` documents a term can be that discloses an entity in ``n_entity``."""
+    return F.lit(float(n)) ** (1 - DISCLOSURE) * F.lit(n_entity).cast("double") ** DISCLOSURE * (1 + 1e-9)
 
 
-_TERMS = "array<struct<start:int,end:int,kind:int,disclosed:double>>"
-
+def _disclosing(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``row`` and ``disclosed``, a map of the terms of that row that disclose an entity of
+    it, each with the greatest share it carries.
 
-def _with_terms(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """``rows`` with ``terms``, the spans of disclosing words by start."""
-    around, pairs = _disclosing(rows, texts)
-    spans = around.join(pairs, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("disclosed").alias("disclosed"))
-    term = F.struct("start", "end", F.lit(KINDS.index("term")).alias("kind"), "disclosed")
-    by_row = spans.groupBy("row").agg(F.array_sort(F.collect_list(term)).alias("terms"))
-    return rows.join(by_row, "row", "left").withColumn("terms", F.coalesce("terms", F.array().cast(_TERMS)))
+    ``rows`` has ``row``, ``mentions`` and the ``text`` of rows with mentions, ``texts``
+    the ``text`` of every row.
+    """
+    name = lambda m: F.concat_ws(":", m["kind"].cast("string"), m["value"])
+    held = rows.filter(F.size("mentions") > 0).withColumn("entities", F.array_distinct(F.transform("mentions", name)))
+    owned = held.select("row", F.explode("entities").alias("entity"))
+    known = owned.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= SUPPORT)
+    entities = stored(known, "entities")
+    words = texts.select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    terms = stored(words.filter(F.col("n_term") >= SUPPORT), "terms")
+    n, most = texts.count(), entities.agg(F.max("n_entity")).first()[0] or 0
+    too_many = F.greatest(_most_documents(n, most), F.lit(n / FREQUENT))
+    frequent = stored(terms.filter(F.col("n_term") > too_many).select("term"), "frequent-terms")
+
+    # Entities of a row that enough documents hold; both tables are joined by their real sizes.
+    known_of = stored(owned.join(entities, "entity").groupBy("row").agg(F.collect_list("entity").alias("known")), "known-entities")
+    rare = held.join(known_of, "row").select("row", "known", F.explode(_words(F.col("text"))).alias("term")).join(frequent, "term", "left_anti")
+    around = stored(rare.select("row", F.explode("known").alias("entity"), "term"), "entity-words")
+    both = around.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= SUPPORT)
+    measured = both.join(terms, "term").join(entities, "entity").filter(F.col("n_term") <= _most_documents(n, F.col("n_entity")))
+    content = F.log2(F.lit(n) / F.col("n_entity"))
+    mutual = F.log2(F.col("n_both") * F.lit(n) / (F.col("n_entity") * F.col("n_term")))
+    share = F.when(content > 0, mutual / content).otherwise(F.lit(0.0))
+    pairs = stored(measured.select("entity", "term", share.alias("share")).filter(F.col("share") >= DISCLOSURE), "entity-terms")
+    shares = around.join(pairs, ["entity", "term"]).groupBy("row", "term").agg(F.max("share").alias("share"))
+    found = stored(shares.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("disclosed")), "disclosing")
+    for done in (entities, terms, frequent, known_of, around, pairs):
+        discard(done)
+    return found
+
+
+def _with_terms(rows: DataFrame, texts: DataFrame, text: Column) -> DataFrame:
+    """``rows`` with ``terms``, the spans of disclosing words by start, in their ``text``."""
+    marks = _disclosing(rows.select("row", "mentions", text.alias("text")), texts)
+    return rows.join(marks, "row", "left").withColumn("terms", _places(text, F.col("disclosed"))).drop("disclosed")
 
 
 def found(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -182,13 +192,13 @@ def found(docs: DataFrame, text_column: str = "text") -> DataFrame:
     ``terms`` (start, end, kind, disclosed): the spans the method adds.
 
     Null texts count as empty. Repeated rows and rows with null ids are rows of their
-    own. Terms are only marked near the entity they give away, so a text without an
-    entity is never changed.
+    own. Terms are marked everywhere in the texts that hold the entity they give away, so
+    a text without an entity is never changed.
     """
-    text = F.col(text_column)
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), text.alias("text"), base_mentions(text).alias("mentions"))
+    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), base_mentions(F.col(text_column)).alias("mentions"))
     rows = stored(whole, "mentions")
-    return _with_terms(rows, rows).select("doc", "mentions", "terms")
+    text = F.coalesce(F.col("doc")[text_column], F.lit(""))
+    return _with_terms(rows, rows.select(text.alias("text")), text).select("doc", "mentions", "terms")
 
 
 def _written(kind: Column, start: Column, end: Column) -> Column:
@@ -197,9 +207,11 @@ def _written(kind: Column, start: Column, end: Column) -> Column:
 
 def report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Counts by kind, ``base_sha256`` and ``spans`` for every row; ``n_term`` too."""
-    # The texts themselves are not written or exchanged, only what was found in them.
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    rows = _with_terms(stored(texts.select("row", "id", base_mentions(F.col("text")).alias("mentions")), "mentions"), texts)
+    # Of the texts only those with mentions are written again.
+    texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    found = texts.select(F.monotonically_increasing_id().alias("row"), "id", "text", base_mentions(F.col("text")).alias("mentions"))
+    rows = stored(found.withColumn("text", F.when(F.size("mentions") > 0, F.col("text"))), "mentions")
+    rows = _with_terms(rows, texts.select("text"), F.col("text"))
 
     def plain(spans: Column) -> Column:
         return F.transform(spans, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["kind"].alias("kind")))

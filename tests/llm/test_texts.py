@@ -1,12 +1,15 @@
 """Mixing, decontamination, classifiers, page text and personal data."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from corpus import SF_DIR, labels, no_docs, odd_docs, read, sentence
 
 from spanwatch.llm import decontaminate, htmltext, labelled, mixing, quality, sanitise, toxicity
@@ -364,6 +367,67 @@ def test_terms_that_disclose(spark):
             assert r.text == texts[r.doc_id]
 
 
+def plain_terms(texts):
+    """Term spans of every text, from counts over all pairs of entity and term."""
+    entities, words = [], []
+    for text in texts:
+        own = set()
+        for span in plain_spans(text):
+            kind, start, end = span.split(":")
+            value = text[int(start) : int(end)]
+            own.add((kind, value.lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", value)))
+        entities.append(own)
+        places = []
+        for part in regex.finditer(r"[^\x20\x09-\x0D]+", text or ""):
+            bare = regex.sub(r"^[^\p{L}]+|[^\p{L}]+$", "", part[0])
+            if regex.fullmatch(r"\p{L}[\p{L}'’-]{2,}", bare):
+                start = part.start() + len(part[0]) - len(regex.sub(r"^[^\p{L}]+", "", part[0]))
+                places.append((bare.lower(), start, start + len(bare)))
+        words.append(places)
+    n = len(texts)
+    n_entity = Counter(e for own in entities for e in own)
+    n_term = Counter(t for places in words for t in {p[0] for p in places})
+    both = Counter((e, t) for own, places in zip(entities, words, strict=True) for e in own for t in {p[0] for p in places})
+
+    def discloses(e, t):
+        content = math.log2(n / n_entity[e])
+        return both[e, t] >= 3 and content > 0 and math.log2(both[e, t] * n / (n_entity[e] * n_term[t])) >= 0.9 * content - 1e-12
+
+    return [{(s, f) for t, s, f in places if any(discloses(e, t) for e in own)} for own, places in zip(entities, words, strict=True)]
+
+
+def check_terms(found, texts):
+    for i, want in enumerate(plain_terms(texts)):
+        marked = {tuple(map(int, s.split(":")[1:])) for s in found[i].split(",") if s.startswith("term")}
+        assert marked == want
+
+
+def test_terms_count_over_whole_texts(spark):
+    rng = random.Random(9)
+    far = lambda: sentence(rng, 60)
+    # A name again further on, a name found only far off, and one before another number.
+    texts = [f"{far()} q2@corp.example {far()} (Featherstone) {far()} featherstone, {far()}" for _ in range(4)]
+    texts += [f"{far()} Quillhaven {far()} q@corp.example {far()}" for _ in range(4)]
+    texts += [f"{far()} Stonebridge 12 at 4111 1111 1111 1111 {far()}" for _ in range(4)]
+    # An entity in a third of all texts, one in all of its copies, several in one text.
+    texts += [f"footer@corp.example {sentence(rng, 10)} Hotword" for _ in range(40)] + ["copy of Marblewood, call +1 202 555 0147 now"] * 9
+    texts += [f"q@corp.example q2@corp.example {far()}", None, "", "Featherstone"] + [sentence(rng, 40) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r.spans for r in sanitise.report(docs).collect()}
+    check_terms(found, texts)
+    names = [{texts[i][int(s.split(":")[1]) : int(s.split(":")[2])] for s in found[i].split(",") if s.startswith("term")} for i in range(12)]
+    assert all("Featherstone" in n and "featherstone" in n for n in names[:4])
+    assert all("Quillhaven" in n for n in names[4:8]) and all("Stonebridge" in n for n in names[8:])
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
+    assert all("eatherstone" not in clean[i] for i in range(4)) and clean[len(texts) - 61] == "Featherstone"
+
+
+def test_terms_of_the_documents(spark):
+    texts = [r.text for r in read(spark, "documents").orderBy("doc_id").collect()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    check_terms({r.doc_id: r.spans for r in sanitise.report(docs).collect()}, texts)
+
+
 def test_sanitise_odd_rows(spark):
     docs = odd_docs(spark)
     assert sorted(map(str, docs.collect())) == sorted(map(str, sanitise.sanitise(docs).collect()))
