@@ -12,6 +12,7 @@ from corpus import SF_DIR, components, no_docs, odd_docs, read, sentence
 from spanwatch.llm import components as comp
 from spanwatch.llm import neighbours, passages, simhash, suffixes
 from spanwatch.llm.queries import llm_queries
+from spanwatch.llm.scratch import stored
 
 
 def test_components(spark):
@@ -295,6 +296,74 @@ def test_passages_with_other_words_between(spark, sizes):
         assert abs(r.start - s) <= 2 and abs(r.end - e) <= 2 and r.similarity >= 0.9
 
 
+def replaced(rng, words, n):
+    """The words with ``n`` of them, at random places, replaced."""
+    words = words.copy()
+    for k in rng.sample(range(len(words)), n):
+        words[k] = "new" + str(rng.randrange(10**9))
+    return words
+
+
+def test_recall_of_fuzzy_passages(spark):
+    """Pairs of texts around two forms of one passage, whose similarity is known as words
+    are only replaced; the first and last word stay, so the length is that of the passage."""
+    rng = random.Random(21)
+    texts, cases = [], []
+    for words, share in itertools.product((55, 60, 80, 150), (0.95, 0.9, 0.85)):
+        for _ in range(30):
+            passage = sentence(rng, words).split()
+            edited = passage[:1] + replaced(rng, passage[1:-1], round(words * (1 - share))) + passage[-1:]
+            assert sum(a == b for a, b in zip(passage, edited, strict=True)) >= 0.8 * words
+            cases.append((words, share))
+            texts += [" ".join([sentence(rng, 40), *p, sentence(rng, 40)]) for p in (passage, edited)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = passages.shared_passages(stored(docs, "texts")).collect()
+    found = {(r.doc_id, r.other_id) for r in rows}
+    assert all(a // 2 == b // 2 and (b, a) in found for a, b in found)
+    for case in set(cases):
+        own = [k for k, c in enumerate(cases) if c == case]
+        assert sum((2 * k, 2 * k + 1) in found for k in own) >= 0.9 * len(own), case
+
+
+def test_variants_of_one_passage_are_all_found(spark):
+    rng = random.Random(22)
+    passage = sentence(rng, 60).split()
+    texts = [" ".join([sentence(rng, 30), *replaced(rng, passage, 6), sentence(rng, 30)]) for _ in range(40)] + [sentence(rng, 120) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in passages.shared_passages(stored(docs, "texts")).collect()} == set(range(40))
+
+
+def test_each_occurrence_meets_the_first_holder_and_the_one_before():
+    rng = random.Random(23)
+    for _ in range(200):
+        seen = sorted({(rng.randrange(4), rng.randrange(6), rng.randrange(5)) for _ in range(rng.randint(0, 40))})
+        h, row = (np.array([s[k] for s in seen], np.int64) for k in (0, 1))
+        i, j, first = passages.holders(h, row)
+        want = set()
+        for k, (seed, text, _) in enumerate(seen):
+            texts = sorted({s[1] for s in seen if s[0] == seed})
+            assert first[k] == (text == texts[0])
+            if text > texts[0]:
+                want |= {(k, min(q for q, s in enumerate(seen) if s[:2] == (seed, t))) for t in (texts[0], texts[texts.index(text) - 1])}
+        assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(want)
+
+
+def test_matches_are_the_same_over_small_batches_and_blocks(spark, monkeypatch):
+    rng = random.Random(24)
+    line = sentence(rng, 30)
+    texts = [f"{sentence(rng, 8)} {line} {sentence(rng, 8)} {line if k % 3 == 0 else ''}" for k in range(60)]
+    docs = stored(spark.createDataFrame([(k, t, k) for k, t in enumerate(texts)], "id long, text string, row long").coalesce(1), "texts")
+    rows = lambda: {(r.row, r.other, r.x, r.y) for r in passages.matches(docs).collect()}
+    one_block = rows()
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    assert rows() == one_block
+    # With one text a block nothing is matched before the exchange.
+    monkeypatch.setattr(passages, "BLOCK", 0)
+    assert rows() == one_block
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
 def test_passages_query_finds_exact_repeats(spark):
     docs = read(spark, "documents").collect()
     runs = {}
