@@ -5,7 +5,9 @@ suffixes agree on their first ``length`` bytes and which position of each such c
 comes first: a position whose longest previous factor reaches ``length`` has a
 smaller position in its class, and the class's smallest one has only later matches.
 So the order is refined bucket by bucket, as in a radix sort, to that depth, and
-buckets with a single suffix are never refined at all.
+buckets with a single suffix are never refined at all. Buckets stand in the order of
+a hash of their bytes, members of a class by position; which of the previous and next
+smaller positions agrees on ``length`` bytes is read off the neighbours.
 
 Suffixes enter the sort in runs. A string of ``length`` bytes holds a position picked
 by its content alone: where the hash of the next ``GRAM`` bytes is least. Suffixes
@@ -34,6 +36,7 @@ STEP = 16
 SEGMENT = 1 << 18
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _NODE = "row bigint, at bigint, lo int, hi int, k bigint, u bigint"
+_ORDERED = ["row", "at", "lo", "hi", "k", "u", "same", "split", "first_row", "first_at"]
 
 
 class Hasher:
@@ -127,13 +130,66 @@ def _first_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.select("row", "text").mapInArrow(run, _NODE)
 
 
-def _settled(nodes: DataFrame) -> DataFrame:
-    """Nodes whose bucket (``k``) holds others, with what the bucket knows.
+def _neighbours(row: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: np.ndarray, u: np.ndarray) -> pa.RecordBatch:
+    """Whole buckets in suffix order, decided by the neighbours in that order.
 
-    ``same``: other runs of the bucket have equal bytes, the earliest of which is at
-    (``first_row``, ``first_at``). ``split``: the bucket also holds different bytes, so
-    the run, of equal ones the earliest only, has to be met by them in shorter pieces.
+    Runs of a class (equal ``k`` and ``u``) stand by ascending position, so the previous
+    smaller position of a run is its neighbour before, and only the class's first run has
+    none that agrees with it: its longest previous factor is too short.
     """
+    opens = np.concatenate(([True], k[1:] != k[:-1]))
+    has_none = opens | np.concatenate(([True], u[1:] != u[:-1]))
+    of_class, of_bucket = np.cumsum(has_none) - 1, np.cumsum(opens) - 1
+    firsts = np.flatnonzero(has_none)
+    same = np.bincount(of_class)[of_class] > 1
+    differ = np.bincount(of_bucket[firsts])[of_bucket] > 1
+    live = np.flatnonzero(same | differ)
+    first = firsts[of_class[live]]
+    none = pa.nulls(len(live), pa.int64())
+    columns = [pa.array(c[live]) for c in (row, at, lo, hi)]
+    columns += [none, none, pa.array(same[live]), pa.array((differ & has_none)[live]), pa.array(row[first]), pa.array(at[first])]
+    return pa.RecordBatch.from_arrays(columns, _ORDERED)
+
+
+def _undecided(*columns: np.ndarray) -> pa.RecordBatch:
+    n = len(columns[0])
+    flags, places = pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64())
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns), flags, flags, places, places], _ORDERED)
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One range of the suffix order. Its first and last bucket may go on in the ranges
+    beside it and are left undecided, with ``k`` and ``u``."""
+    edge, waiting = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy() for c in batch.columns]
+        k = columns[4]
+        edge = k[0] if edge is None else edge
+        others = np.flatnonzero(k != k[-1])
+        cut = others[-1] + 1 if len(others) else 0
+        if waiting and (cut or waiting[0][4][0] != k[-1]):
+            columns = [np.concatenate(c) for c in zip(*waiting, columns, strict=True)]
+            cut += len(columns[0]) - len(k)
+            waiting = []
+        whole, rest = [c[:cut] for c in columns], [c[cut:] for c in columns]
+        begin = int(np.searchsorted(whole[4] != edge, True))
+        if begin:
+            yield _undecided(*(c[:begin] for c in whole))
+        if begin < cut:
+            yield _neighbours(*(c[begin:] for c in whole))
+        if rest[4][0] == edge:
+            yield _undecided(*rest)
+        else:
+            waiting.append(rest)
+    if waiting:
+        yield _undecided(*(np.concatenate(c) for c in zip(*waiting, strict=True)))
+
+
+def _at_borders(nodes: DataFrame) -> DataFrame:
+    """The same decisions for buckets that several ranges share, a hot one among them:
+    counted before they are exchanged, as such a bucket fits no single task."""
     classes = nodes.groupBy("k", "u").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "at")).alias("first"))
     buckets = classes.groupBy("k").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("held")).filter("held > 1")
     known = classes.join(buckets, "k").select(
@@ -144,6 +200,28 @@ def _settled(nodes: DataFrame) -> DataFrame:
     return joined.select("row", "at", "lo", "hi", "same", (F.col("differ") & is_first).alias("split"), "first_row", "first_at")
 
 
+def _ordered(nodes: DataFrame, name: str) -> DataFrame:
+    """Nodes whose bucket (``k``) holds others, with what the order around them shows.
+
+    ``same``: other runs of the bucket have equal bytes, the earliest of which is at
+    (``first_row``, ``first_at``). ``split``: the bucket also holds different bytes, so
+    the run, of equal ones the earliest only, has to be met by them in shorter pieces.
+
+    The nodes are computed once and written, then sorted by ranges of bucket, class and
+    position, so buckets and classes of any size are spread over the tasks.
+    """
+    spark = nodes.sparkSession
+    table = stored(nodes, name)
+    keys = ["k", "u", "row", "at"]
+    sort = table.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    kind = f"{_NODE}, same boolean, split boolean, first_row bigint, first_at bigint"
+    order = stored(sort.mapInArrow(_in_order, kind), f"{name}-order")
+    discard(table)
+    release(spark)
+    edges = stored(_at_borders(order.filter("k is not null").select(*_ORDERED[:6])), f"{name}-borders")
+    return order.filter("k is null").drop("k", "u").unionByName(edges)
+
+
 def _surroundings(texts: DataFrame, nodes: DataFrame, length: int) -> DataFrame:
     """``bytes`` around the runs of ``nodes``: from the first suffix's start to the
     last one's end."""
@@ -209,12 +287,12 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int | None = None) ->
     """
     spark = texts.sparkSession
     gram = min(GRAM, length) if gram is None else gram
-    found = stored(_settled(_first_runs(texts, length, gram)), "runs")
+    found = _ordered(_first_runs(texts, length, gram), "runs")
     done = [found.filter("same")]
     release(spark)
     around = stored(_surroundings(texts, found.filter("split"), length), "surroundings")
     release(spark)
-    pieces = stored(_settled(_split(around, length, STEP)), "pieces")
+    pieces = _ordered(_split(around, length, STEP), "pieces")
     done.append(pieces.filter("same"))
     release(spark)
     # Pieces lie inside the run they were cut from; they are cut out of its bytes.
@@ -224,7 +302,7 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int | None = None) ->
     )
     bytes_of = F.substring(F.col("bytes"), F.col("a.hi") - F.col("hi2") + 1, F.col("hi2") - F.col("lo2") + length)
     smaller = inside.select(F.col("a.row").alias("row"), "at", F.col("lo2").alias("lo"), F.col("hi2").alias("hi"), bytes_of.alias("bytes"))
-    suffixes = stored(_settled(_split(smaller, length, 1)), "suffixes")
+    suffixes = _ordered(_split(smaller, length, 1), "suffixes")
     discard(around)
     release(spark)
     done.append(suffixes.filter("same"))

@@ -2,9 +2,11 @@
 
 import hashlib
 import itertools
+import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from corpus import SF_DIR, components, no_docs, odd_docs, read, sentence
@@ -196,6 +198,54 @@ def test_repeated_bytes_query(spark):
     assert found == dict(zip((d.doc_id for d in docs), plain_repeats([d.text for d in docs], 200), strict=True))
 
 
+def longest_previous_factors(texts):
+    """By the whole suffix order: common prefixes with the previous and next smaller position."""
+    suffix = sorted(((t.encode()[p:], r, p) for r, t in enumerate(texts) for p in range(len(t.encode()))))
+    common = [0] + [len(os.path.commonprefix([a[0], b[0]])) for a, b in zip(suffix, suffix[1:], strict=False)]
+    found = {}
+    for side in (1, -1):
+        order, shared = (suffix, common) if side == 1 else (suffix[::-1], [0, *common[:0:-1]])
+        stack = []
+        for (_, r, p), least in zip(order, shared, strict=True):
+            while stack and stack[-1][0] > (r, p):
+                least = min(least, stack.pop()[1])
+            found[r, p] = max(found.get((r, p), 0), least if stack else 0)
+            stack.append(((r, p), least))
+    return found
+
+
+def test_earlier_matches_are_the_longest_previous_factors(spark):
+    rng = random.Random(5)
+    line = sentence(rng, 14)[:70]  # a bucket of its own in many surroundings
+    texts = [sentence(rng, 25) + line + sentence(rng, 25) for _ in range(60)] + [sentence(rng, 20) + line * 8 for _ in range(3)]
+    texts += [texts[k][40:] for k in (3, 3, 9)] + ["ab" * 200]
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        runs = suffixes.repeats(docs, 200).filter("earlier").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    starts = {(r.row, p) for r in runs for p in range(r.start, r.end - 199)}
+    assert starts == {place for place, size in longest_previous_factors(texts).items() if size >= 200}
+
+
+@pytest.mark.parametrize("size", [1, 3, 50])
+def test_ranges_of_the_order(size):
+    rng = np.random.default_rng(size)
+    k = np.sort(rng.choice([1, 1, 1, 2, 3, 4, 5, 6, 6], 40))
+    u = np.concatenate([np.sort(rng.integers(0, 3, n)) for n in np.unique_counts(k).counts])
+    nodes = pa.record_batch([pa.array(np.arange(40)), pa.array(np.arange(40)), *(pa.array(np.full(40, x, np.int32)) for x in (0, 9)), pa.array(k), pa.array(u)], suffixes._ORDERED[:6])
+    rows = [r for b in suffixes._in_order(iter([nodes[i : i + size] for i in range(0, 40, size)])) for r in b.to_pylist()]
+    assert {r["row"] for r in rows if r["k"] is not None} == set(np.flatnonzero((k == k[0]) | (k == k[-1])).tolist())
+    pairs = list(zip(k.tolist(), u.tolist(), strict=True))
+    expected = {}
+    for i, (b, c) in enumerate(pairs):
+        if b not in (k[0], k[-1]) and (k == b).sum() > 1:
+            first = pairs.index((b, c))
+            expected[i] = (pairs.count((b, c)) > 1, len(set(u[k == b])) > 1 and first == i, first)
+    assert {r["row"]: (r["same"], r["split"], r["first_row"]) for r in rows if r["k"] is None} == expected
+
+
 def test_repeated_bytes_of_odd_rows(spark):
     assert suffixes.remove_repeats(odd_docs(spark)).count() == 12
     assert suffixes.remove_repeats(no_docs(spark)).count() == 0
