@@ -21,10 +21,13 @@ suffixes. At each step two independent 64-bit hashes stand for the bytes.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +39,8 @@ STEP = 16
 SEGMENT = 1 << 18
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _NODE = "row bigint, at bigint, lo int, hi int, k bigint, u bigint"
-_ORDERED = ["row", "at", "lo", "hi", "k", "u", "same", "split", "first_row", "first_at"]
+_ORDERED = ["part", "row", "at", "lo", "hi", "k", "u", "same", "differ", "first_row", "first_at"]
+_ORDER = f"part bigint, {_NODE}, same boolean, differ boolean, first_row bigint, first_at bigint"
 
 
 class Hasher:
@@ -130,12 +134,13 @@ def _first_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.select("row", "text").mapInArrow(run, _NODE)
 
 
-def _neighbours(row: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: np.ndarray, u: np.ndarray) -> pa.RecordBatch:
+def _neighbours(part: int, row: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: np.ndarray, u: np.ndarray) -> pa.RecordBatch:
     """Whole buckets in suffix order, decided by the neighbours in that order.
 
     Runs of a class (equal ``k`` and ``u``) stand by ascending position, so the previous
     smaller position of a run is its neighbour before, and only the class's first run has
-    none that agrees with it: its longest previous factor is too short.
+    none that agrees with it: its longest previous factor is too short. ``part`` names
+    the range of a bucket that other ranges may share (-1: none does).
     """
     opens = np.concatenate(([True], k[1:] != k[:-1]))
     has_none = opens | np.concatenate(([True], u[1:] != u[:-1]))
@@ -143,23 +148,16 @@ def _neighbours(row: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray,
     firsts = np.flatnonzero(has_none)
     same = np.bincount(of_class)[of_class] > 1
     differ = np.bincount(of_bucket[firsts])[of_bucket] > 1
-    live = np.flatnonzero(same | differ)
+    live = np.flatnonzero(same | differ | (part >= 0))
     first = firsts[of_class[live]]
-    none = pa.nulls(len(live), pa.int64())
-    columns = [pa.array(c[live]) for c in (row, at, lo, hi)]
-    columns += [none, none, pa.array(same[live]), pa.array((differ & has_none)[live]), pa.array(row[first]), pa.array(at[first])]
-    return pa.RecordBatch.from_arrays(columns, _ORDERED)
+    columns = [np.full(len(live), part), *(c[live] for c in (row, at, lo, hi, k, u, same, differ)), row[first], at[first]]
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns)], _ORDERED)
 
 
-def _undecided(*columns: np.ndarray) -> pa.RecordBatch:
-    n = len(columns[0])
-    flags, places = pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64())
-    return pa.RecordBatch.from_arrays([*map(pa.array, columns), flags, flags, places, places], _ORDERED)
-
-
-def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range of the suffix order. Its first and last bucket may go on in the ranges
-    beside it and are left undecided, with ``k`` and ``u``."""
+def _in_order(batches: Iterator[pa.RecordBatch], part: int | None = None) -> Iterator[pa.RecordBatch]:
+    """One range of the suffix order, as it comes, bucket by bucket. Its first and last
+    bucket may go on in the ranges beside it and are decided for this range only."""
+    part = TaskContext.get().partitionId() if part is None else part
     edge, waiting = None, []
     for batch in batches:
         if not batch.num_rows:
@@ -176,28 +174,70 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, rest = [c[:cut] for c in columns], [c[cut:] for c in columns]
         begin = int(np.searchsorted(whole[4] != edge, True))
         if begin:
-            yield _undecided(*(c[:begin] for c in whole))
+            yield _neighbours(part, *(c[:begin] for c in whole))
         if begin < cut:
-            yield _neighbours(*(c[begin:] for c in whole))
-        if rest[4][0] == edge:
-            yield _undecided(*rest)
-        else:
-            waiting.append(rest)
+            yield _neighbours(-1, *(c[begin:] for c in whole))
+        waiting.append(rest)
     if waiting:
-        yield _undecided(*(np.concatenate(c) for c in zip(*waiting, strict=True)))
-
-
-def _at_borders(nodes: DataFrame) -> DataFrame:
-    """The same decisions for buckets that several ranges share, a hot one among them:
-    counted before they are exchanged, as such a bucket fits no single task."""
-    classes = nodes.groupBy("k", "u").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "at")).alias("first"))
-    buckets = classes.groupBy("k").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("held")).filter("held > 1")
-    known = classes.join(buckets, "k").select(
-        "k", "u", (F.col("n") > 1).alias("same"), (F.col("classes") > 1).alias("differ"), F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")
+        yield _neighbours(part, *(np.concatenate(c) for c in zip(*waiting, strict=True)))
+
+
+@dataclass
+class Border:
+    """What one range has to know of its part of a bucket that other ranges share."""
+
+    head: int  # ``u`` of the first class of the part, and of the last one
+    tail: int
+    differ: bool
+    before: tuple[int, int] | None = None  # first run of the head class, if it is further up
+    after: bool = False  # the tail class goes on
+
+
+def borders(parts: list[tuple]) -> dict[tuple[int, int], Border]:
+    """Parts of buckets, (k, head, row, at, tail, first of the tail class, range) each,
+    stitched in suffix order."""
+    found: dict[tuple[int, int], Border] = {}
+    parts = sorted(parts)
+    for _, bucket in itertools.groupby(parts, lambda p: p[0]):
+        last, first = None, None
+        made = []
+        for k, head, _, _, tail, tail_first, part in bucket:
+            border = Border(head, tail, False)
+            if last and last.tail == head:
+                last.after, border.before = True, first
+            first = border.before if border.before and head == tail else tail_first
+            found[part, k] = last = border
+            made.append(border)
+        for border in made:
+            border.differ = made[0].head != made[-1].tail
+    return found
+
+
+def _stitched(edges: DataFrame) -> DataFrame:
+    """Decisions for buckets that several ranges share, a hot one among them. At most
+    two short rows a range go to the driver, however large a bucket is."""
+    ends = edges.groupBy("part", "k").agg(
+        F.min(F.struct("u", "row", "at")).alias("head"), F.max("u").alias("tail"), F.max_by(F.struct("first_row", "first_at"), "u").alias("first")
     )
-    is_first = (F.col("row") == F.col("first_row")) & (F.col("at") == F.col("first_at"))
-    joined = nodes.join(known, ["k", "u"])
-    return joined.select("row", "at", "lo", "hi", "same", (F.col("differ") & is_first).alias("split"), "first_row", "first_at")
+    known = borders([(r.k, r.head.u, r.head.row, r.head.at, r.tail, tuple(r.first), r.part) for r in ends.collect()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, row, at, lo, hi, k, u, same, differ, first_row, first_at = (c.to_numpy(zero_copy_only=False).copy() for c in batch.columns)
+            for key in set(zip(part.tolist(), k.tolist(), strict=True)):
+                border = known[key]
+                mine = (part == key[0]) & (k == key[1])
+                differ |= mine & border.differ
+                if border.before:
+                    of_head = mine & (u == border.head)
+                    same |= of_head
+                    first_row[of_head], first_at[of_head] = border.before
+                if border.after:
+                    same |= mine & (u == border.tail)
+            live = same | differ
+            yield pa.RecordBatch.from_arrays([pa.array(c[live]) for c in (part, row, at, lo, hi, k, u, same, differ, first_row, first_at)], _ORDERED)
+
+    return edges.mapInArrow(run, _ORDER)
 
 
 def _ordered(nodes: DataFrame, name: str) -> DataFrame:
@@ -210,16 +250,14 @@ def _ordered(nodes: DataFrame, name: str) -> DataFrame:
     The nodes are computed once and written, then sorted by ranges of bucket, class and
     position, so buckets and classes of any size are spread over the tasks.
     """
-    spark = nodes.sparkSession
     table = stored(nodes, name)
     keys = ["k", "u", "row", "at"]
-    sort = table.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    kind = f"{_NODE}, same boolean, split boolean, first_row bigint, first_at bigint"
-    order = stored(sort.mapInArrow(_in_order, kind), f"{name}-order")
+    order = stored(table.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_in_order, _ORDER), f"{name}-order")
     discard(table)
-    release(spark)
-    edges = stored(_at_borders(order.filter("k is not null").select(*_ORDERED[:6])), f"{name}-borders")
-    return order.filter("k is null").drop("k", "u").unionByName(edges)
+    release(nodes.sparkSession)
+    every = order.filter("part < 0").unionByName(_stitched(order.filter("part >= 0")))
+    is_first = (F.col("row") == F.col("first_row")) & (F.col("at") == F.col("first_at"))
+    return every.select("row", "at", "lo", "hi", "same", (F.col("differ") & is_first).alias("split"), "first_row", "first_at")
 
 
 def _surroundings(texts: DataFrame, nodes: DataFrame, length: int) -> DataFrame:

@@ -229,21 +229,23 @@ def test_earlier_matches_are_the_longest_previous_factors(spark):
     assert starts == {place for place, size in longest_previous_factors(texts).items() if size >= 200}
 
 
-@pytest.mark.parametrize("size", [1, 3, 50])
-def test_ranges_of_the_order(size):
-    rng = np.random.default_rng(size)
-    k = np.sort(rng.choice([1, 1, 1, 2, 3, 4, 5, 6, 6], 40))
+@pytest.mark.parametrize("ranges", [1, 2, 5, 40])
+def test_ranges_of_the_order(spark, ranges):
+    rng = np.random.default_rng(ranges)
+    k = np.sort(rng.choice([1, 2, 3, 3, 3, 4, 5, 6, 6], 40))
     u = np.concatenate([np.sort(rng.integers(0, 3, n)) for n in np.unique_counts(k).counts])
-    nodes = pa.record_batch([pa.array(np.arange(40)), pa.array(np.arange(40)), *(pa.array(np.full(40, x, np.int32)) for x in (0, 9)), pa.array(k), pa.array(u)], suffixes._ORDERED[:6])
-    rows = [r for b in suffixes._in_order(iter([nodes[i : i + size] for i in range(0, 40, size)])) for r in b.to_pylist()]
-    assert {r["row"] for r in rows if r["k"] is not None} == set(np.flatnonzero((k == k[0]) | (k == k[-1])).tolist())
+    columns = [np.arange(40), np.arange(40), np.zeros(40, np.int32), np.full(40, 9, np.int32), k, u]
+    nodes = pa.RecordBatch.from_arrays([*map(pa.array, columns)], suffixes._ORDERED[1:7])
+    rows = []
+    for part, where in enumerate(np.array_split(np.arange(40), ranges)):
+        here = nodes.take(pa.array(where))
+        rows += [r for b in suffixes._in_order((here[i : i + 3] for i in range(0, len(here), 3)), part) for r in b.to_pylist()]
+    found = [r for r in rows if r["part"] < 0]
+    edges = spark.createDataFrame([tuple(r.values()) for r in rows if r["part"] >= 0], suffixes._ORDER)
+    found += [r.asDict() for r in suffixes._stitched(edges).collect()]
     pairs = list(zip(k.tolist(), u.tolist(), strict=True))
-    expected = {}
-    for i, (b, c) in enumerate(pairs):
-        if b not in (k[0], k[-1]) and (k == b).sum() > 1:
-            first = pairs.index((b, c))
-            expected[i] = (pairs.count((b, c)) > 1, len(set(u[k == b])) > 1 and first == i, first)
-    assert {r["row"]: (r["same"], r["split"], r["first_row"]) for r in rows if r["k"] is None} == expected
+    expected = {i: (pairs.count(p), len(set(u[k == p[0]])), pairs.index(p)) for i, p in enumerate(pairs) if (k == p[0]).sum() > 1}
+    assert {r["row"]: (r["same"], r["differ"], r["first_row"], r["first_at"]) for r in found} == {i: (n > 1, c > 1, f, f) for i, (n, c, f) in expected.items()}
 
 
 def test_repeated_bytes_of_odd_rows(spark):
