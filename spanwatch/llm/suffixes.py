@@ -21,14 +21,12 @@ suffixes. At each step two independent 64-bit hashes stand for the bytes.
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanwatch.llm.scratch import discard, release, stored
@@ -182,62 +180,41 @@ def _in_order(batches: Iterator[pa.RecordBatch], part: int | None = None) -> Ite
         yield _neighbours(part, *(np.concatenate(c) for c in zip(*waiting, strict=True)))
 
 
-@dataclass
-class Border:
-    """What one range has to know of its part of a bucket that other ranges share."""
-
-    head: int  # ``u`` of the first class of the part, and of the last one
-    tail: int
-    differ: bool
-    before: tuple[int, int] | None = None  # first run of the head class, if it is further up
-    after: bool = False  # the tail class goes on
-
-
-def borders(parts: list[tuple]) -> dict[tuple[int, int], Border]:
-    """Parts of buckets, (k, head, row, at, tail, first of the tail class, range) each,
-    stitched in suffix order."""
-    found: dict[tuple[int, int], Border] = {}
-    parts = sorted(parts)
-    for _, bucket in itertools.groupby(parts, lambda p: p[0]):
-        last, first = None, None
-        made = []
-        for k, head, _, _, tail, tail_first, part in bucket:
-            border = Border(head, tail, False)
-            if last and last.tail == head:
-                last.after, border.before = True, first
-            first = border.before if border.before and head == tail else tail_first
-            found[part, k] = last = border
-            made.append(border)
-        for border in made:
-            border.differ = made[0].head != made[-1].tail
-    return found
-
-
-def _stitched(edges: DataFrame) -> DataFrame:
-    """Decisions for buckets that several ranges share, a hot one among them. At most
-    two short rows a range go to the driver, however large a bucket is."""
-    ends = edges.groupBy("part", "k").agg(
-        F.min(F.struct("u", "row", "at")).alias("head"), F.max("u").alias("tail"), F.max_by(F.struct("first_row", "first_at"), "u").alias("first")
+def _borders(order: DataFrame) -> DataFrame:
+    """What every range has to know of its parts of buckets that others share: at most
+    two short rows a range, however large a bucket is.
+
+    ``before`` is the first run of the part's first class (``head``), if that lies in an
+    earlier range; ``after`` says that its last class (``tail``) goes on; ``others``
+    that the bucket holds several classes.
+    """
+    parts = order.filter("part >= 0").groupBy("part", "k").agg(
+        F.min(F.struct("u", "row", "at")).alias("start"), F.max("u").alias("tail"), F.max_by(F.struct("first_row", "first_at"), "u").alias("first")
+    )
+    every = Window.partitionBy("k")
+    along = every.orderBy("start")
+    goes_on = F.coalesce(F.lag("tail").over(along) == F.col("start.u"), F.lit(False))
+    parts = parts.withColumn("goes_on", goes_on).withColumn("own", F.when(~F.col("goes_on") | (F.col("start.u") != F.col("tail")), F.col("first")))
+    carried = F.last("own", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    return parts.select(
+        "part",
+        "k",
+        F.col("start.u").alias("head"),
+        "tail",
+        F.when(F.col("goes_on"), carried).alias("before"),
+        F.coalesce(F.lead("start.u").over(along) == F.col("tail"), F.lit(False)).alias("after"),
+        (F.min("start.u").over(every) != F.max("tail").over(every)).alias("others"),
     )
-    known = borders([(r.k, r.head.u, r.head.row, r.head.at, r.tail, tuple(r.first), r.part) for r in ends.collect()])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part, row, at, lo, hi, k, u, same, differ, first_row, first_at = (c.to_numpy(zero_copy_only=False).copy() for c in batch.columns)
-            for key in set(zip(part.tolist(), k.tolist(), strict=True)):
-                border = known[key]
-                mine = (part == key[0]) & (k == key[1])
-                differ |= mine & border.differ
-                if border.before:
-                    of_head = mine & (u == border.head)
-                    same |= of_head
-                    first_row[of_head], first_at[of_head] = border.before
-                if border.after:
-                    same |= mine & (u == border.tail)
-            live = same | differ
-            yield pa.RecordBatch.from_arrays([pa.array(c[live]) for c in (part, row, at, lo, hi, k, u, same, differ, first_row, first_at)], _ORDERED)
-
-    return edges.mapInArrow(run, _ORDER)
+
+def _stitched(order: DataFrame, borders: DataFrame) -> DataFrame:
+    """Decisions of all ranges, with those for the buckets at their borders completed."""
+    joined = order.join(F.broadcast(borders), ["part", "k"], "left")
+    of_head = F.coalesce(F.col("before").isNotNull() & (F.col("u") == F.col("head")), F.lit(False))
+    of_tail = F.coalesce(F.col("after") & (F.col("u") == F.col("tail")), F.lit(False))
+    places = [F.when(of_head, F.col(f"before.{c}")).otherwise(F.col(c)).alias(c) for c in ("first_row", "first_at")]
+    same, differ = F.col("same") | of_head | of_tail, F.col("differ") | F.coalesce("others", F.lit(False))
+    return joined.select("row", "at", "lo", "hi", same.alias("same"), differ.alias("differ"), *places).filter("same or differ")
 
 
 def _ordered(nodes: DataFrame, name: str) -> DataFrame:
@@ -255,7 +232,7 @@ def _ordered(nodes: DataFrame, name: str) -> DataFrame:
     order = stored(table.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_in_order, _ORDER), f"{name}-order")
     discard(table)
     release(nodes.sparkSession)
-    every = order.filter("part < 0").unionByName(_stitched(order.filter("part >= 0")))
+    every = _stitched(order, stored(_borders(order), f"{name}-borders"))
     is_first = (F.col("row") == F.col("first_row")) & (F.col("at") == F.col("first_at"))
     return every.select("row", "at", "lo", "hi", "same", (F.col("differ") & is_first).alias("split"), "first_row", "first_at")
 

@@ -240,9 +240,8 @@ def test_ranges_of_the_order(spark, ranges):
     for part, where in enumerate(np.array_split(np.arange(40), ranges)):
         here = nodes.take(pa.array(where))
         rows += [r for b in suffixes._in_order((here[i : i + 3] for i in range(0, len(here), 3)), part) for r in b.to_pylist()]
-    found = [r for r in rows if r["part"] < 0]
-    edges = spark.createDataFrame([tuple(r.values()) for r in rows if r["part"] >= 0], suffixes._ORDER)
-    found += [r.asDict() for r in suffixes._stitched(edges).collect()]
+    order = spark.createDataFrame([tuple(r.values()) for r in rows], suffixes._ORDER)
+    found = suffixes._stitched(order, suffixes._borders(order)).collect()
     pairs = list(zip(k.tolist(), u.tolist(), strict=True))
     expected = {i: (pairs.count(p), len(set(u[k == p[0]])), pairs.index(p)) for i, p in enumerate(pairs) if (k == p[0]).sum() > 1}
     assert {r["row"]: (r["same"], r["differ"], r["first_row"], r["first_at"]) for r in found} == {i: (n > 1, c > 1, f, f) for i, (n, c, f) in expected.items()}
