@@ -1,8 +1,8 @@
 """Main text of web pages by a tree-structured graphical model.
 
 Every block element of a page is a node with two states, content or not. Its own
-potential is a sum of weights of its tag, the words of its class, id and role, and
-coarse measures of its text. A potential of parent and child states joins the nodes
+potential is a sum of weights of its tag, the words of its class, id and role, the
+left-out parts around it, and coarse measures of its text. A potential of parent and child states joins the nodes
 along the tree. Messages pass from the leaves to the root and back (sum-product),
 which gives exact marginals; the text of nodes above one half is the main text.
 
@@ -71,6 +71,8 @@ class Node:
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     unseen: bool = False
+    left_out: bool = False  # its names announce a part that is not the article
+    inside: frozenset[str] = frozenset()  # left-out parts around it
 
 
 def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
@@ -153,8 +155,9 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
             end_block()
             names: tuple[str, ...] = ()
             if "=" in attrs:
-                found = (_CAMEL.sub(r"\1 \2", m[2] or m[3] or m[4] or "").lower() for m in _NAMED.finditer(attrs))
-                names = tuple(dict.fromkeys(w for f in found for w in _WORD.findall(f)))
+                found = [(m[1].lower(), _CAMEL.sub(r"\1 \2", m[2] or m[3] or m[4] or "").lower()) for m in _NAMED.finditer(attrs)]
+                words = [w for _, f in found for w in _WORD.findall(f)]
+                names = tuple(dict.fromkeys(words + ["role " + w for kind, f in found if kind == "role" for w in _WORD.findall(f)]))
             nodes.append(Node(name, here, names, unseen=nodes[here].unseen or name in UNSEEN))
             here = len(nodes) - 1
         links += name == "a"
@@ -162,15 +165,32 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     if at < len(page):
         pieces.append(page[at:])
     end_block()
+    _mark_left_out(nodes)
     return nodes, blocks
 
 
+def _mark_left_out(nodes: list[Node]) -> None:
+    """Tell nodes what surrounds them. Names and roles announce a left-out part only
+    where no article, main or h1 element lies below them, as layouts are named so too."""
+    named = [any(w in LEFT_OUT or w[:5] == "role " and w[5:] in LEFT_OUT_ROLES for w in n.names) for n in nodes]
+    holds = [n.tag in ("article", "main", "h1") and not of for n, of in zip(nodes, named, strict=True)]
+    for i in range(len(nodes) - 1, 0, -1):
+        holds[nodes[i].parent] |= holds[i]
+    for node, of, main in zip(nodes, named, holds, strict=True):
+        node.left_out = of and not main and node.tag not in PAGE
+        if node.parent >= 0:
+            above = nodes[node.parent]
+            own = {"in left out"} if above.left_out else set()
+            own |= {"in tag " + above.tag} if above.tag in NOT_MAIN else set()
+            node.inside = above.inside if above.inside >= own else above.inside | own
+
+
 def observations(node: Node) -> tuple[str, ...]:
     """What the node's own potential sees."""
     size = sum(map(len, node.pieces))
     length = "none" if not size else "short" if size < 40 else "line" if size < 160 else "long"
     linked = "links" if size and node.linked > 0.5 * size else "plain"
-    return ("", "tag " + node.tag, f"text {length} {linked}", *("name " + w for w in node.names))
+    return ("", "tag " + node.tag, f"text {length} {linked}", *("name " + w for w in node.names), *(["left out"] * node.left_out), *node.inside)
 
 
 @dataclass
@@ -221,7 +241,7 @@ def self_labelled(nodes: list[Node]) -> set[int] | None:
         if len(found) == 1:
             inside = {found[0]}
             for i in range(found[0] + 1, len(nodes)):
-                if nodes[i].parent in inside and nodes[i].tag not in NOT_MAIN and not LEFT_OUT.intersection(nodes[i].names):
+                if nodes[i].parent in inside and nodes[i].tag not in NOT_MAIN and not nodes[i].left_out:
                     inside.add(i)
             return {i for i in inside if nodes[i].pieces}
     return None
@@ -229,19 +249,23 @@ def self_labelled(nodes: list[Node]) -> set[int] | None:
 
 # Words of class and id names that announce what is not the article.
 LEFT_OUT = set(
-    "ad ads advert advertisement sponsor sponsored promo banner sidebar aside nav navigation menu breadcrumb footer header masthead comment comments respond reply cookie consent notice newsletter subscribe signup share sharing social related recommended popup modal form search login widget tags pagination disclaimer copyright".split()
+    "ad ads advert advertisement sponsor sponsored promo banner sidebar aside nav navigation menu breadcrumb footer header masthead comment comments respond reply cookie consent notice newsletter subscribe signup share sharing social related recommended popup modal form search login widget tags pagination disclaimer copyright paywall teaser alert gdpr toolbar".split()
 )
 
+# Roles of elements (WAI-ARIA) that are not the article.
+LEFT_OUT_ROLES = set("navigation contentinfo banner complementary search form dialog alert alertdialog status menu menubar toolbar".split())
+
 
 def hand_labelled() -> Iterator[tuple[str, set[str]]]:
     """Pages written for training: markup and the blocks that are the article.
 
     Each has one article in one of the usual wrappings and one of each left-out part,
-    named with each of the words above in turn.
+    named with each of the words and roles above in turn, beside or inside it.
     """
     long = "The bridge was closed for a week, and the crews measured every joint before traffic returned, as planned by the city."
     more = "Engineers compared the readings with those of last year; the difference was small, but they kept the sensors in place."
     short = "It held."
+    remark = "This is another remark that is no part of the story, though it reads like one."
     wrappings = [
         "<article>{}</article>",
         "<main>{}</main>",
@@ -267,18 +291,32 @@ def hand_labelled() -> Iterator[tuple[str, set[str]]]:
         "<form action='/s'><p>Sign up for our letter today</p><label>Mail</label><input name='m'></form>",
         "<footer><p>Copyright 2024, all rights reserved, reprinted only with permission of the publisher and its partners.</p><div>Imprint</div></footer>",
     ]
-    for k, word in enumerate(sorted(LEFT_OUT) * 2):
+    marks = [(("class", "id")[k % 2], word) for k, word in enumerate(sorted(LEFT_OUT) * 2)] + [("role", r) for r in sorted(LEFT_OUT_ROLES) * 2]
+    links = "<ul><li><a href='/a'>News</a></li><li><a href='/b'>Sport</a></li></ul>"
+    for k, (kind, word) in enumerate(marks):
         inner = inners[k % len(inners)]
-        kind = ("class", "id")[k % 2]
         named = f"<div {kind}='{word}'><h3>Look here</h3><p>This is a fine remark, I think, and it goes on for quite a while, as remarks do.</p><div>Reply now</div></div>"
-        wrapped = wrappings[k % len(wrappings)].format(inner)
+        tag = ("div", "section", "p", "article", "div")[k // 4 % 5]
+        single = f"<{tag} {kind}='{word}'>{remark}</{tag}>" if tag == "p" else f"<{tag} {kind}='{word}'><p>{remark}</p></{tag}>"
+        plain = ("aside", "header", "footer", "form", "nav")[k // 3 % 5]
+        before, after = "", ["", ""]
         if k % 3 == 0:  # as readers' comments often stand, inside the article
-            wrapped = wrappings[k % len(wrappings)].format(inner + named)
-            named = ""
+            after[1], named = named, ""
+        elif k % 3 == 1:  # an element of a kind of its own inside the article
+            after[1] = f"<{plain}><p>{remark}</p></{plain}>"
+        if k % 4 == 1:
+            after[0] = single
+        elif k % 4 == 2:
+            before = single
+        elif k % 4 == 3:
+            named += single
+        wrapped = wrappings[k % len(wrappings)].format(before + inner + "".join(after))
+        if k % 7 == 2:  # a layout of table cells
+            wrapped = f"<table><tr><td>{links}</td><td>{wrapped}</td></tr></table>"
         yield f"<html><body>{parts[0]}{named}{wrapped}{''.join(parts[1:])}</body></html>", text
 
 
-def train(pages: list[str], rounds: int = ROUNDS, rate: float = 0.5, ridge: float = 0.002) -> Model:
+def train(pages: list[str], rounds: int = ROUNDS, rate: float = 1.0, ridge: float = 0.0003) -> Model:
     """Weights from the hand-labelled pages and those of ``pages`` that label themselves."""
     labelled = []
     for page, text in hand_labelled():

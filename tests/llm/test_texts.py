@@ -281,6 +281,50 @@ def test_page_text_of_layouts(spark):
         assert got == "Title\nThe river rose by two metres in a night, and the gauges showed it, the town said.\nIt fell."
 
 
+STORY = ["Council votes on the harbour", "The vote was close, and it took the council two evenings to get that far, said its speaker.", "Work starts in May."]
+BODY = "<h1>{}</h1><p>{}</p><p>{}</p>".format(*STORY)
+NOISE = "We would like to tell you about something else entirely, which you may well find of interest."
+LAYOUTS = [
+    f"<article>{BODY}<div class='cookie-notice'><p>{NOISE}</p></div></article>",
+    f"<article>{BODY}<form><p>{NOISE}</p></form></article>",
+    f"<article>{BODY}<div class='paywall-box'><p>{NOISE}</p></div></article>",
+    f"<article>{BODY}</article><article class='teaser'><p>{NOISE}</p></article>",
+    f"<div role=navigation><p>{NOISE}</p></div><div role=main>{BODY}</div>",
+    f"<div role=main>{BODY}</div><div role=contentinfo><p>{NOISE}</p></div>",
+    f"<table><tr><td><ul><li><a href=/x>Home</a><li><a href=/y>Town</a></ul><td>{BODY}</table>",
+    f"<main>{BODY}<aside><p>{NOISE}</p></aside></main>",
+    f"<main><article>{BODY}</article><section id=comments><p>{NOISE}</p><p>{NOISE}</p></section></main>",
+    f"<main>{BODY}<div class='newsletterSignup'><h3>Letter</h3><p>{NOISE}</p></div></main>",
+    f"<div class=page-header><p>{NOISE}</p></div><div class=story-content>{BODY}</div><div id=site-footer><p>{NOISE}</p></div>",
+    f"<article><header><p>{NOISE}</p></header>{BODY}<footer><p>{NOISE}</p></footer></article>",
+    f"<article><div><div>{BODY}</div></div><nav><a href=/z>Next</a></nav></article>",
+    f"<article>{BODY}<div class='ad-slot'><div><p>{NOISE}</p></div></div></article>",
+    f"<article>{BODY}<ul class='share-links'><li>Send it on</li><li>Print it</li></ul></article>",
+    f"<section class='article body'>{BODY}</section><section class='related-stories'><p>{NOISE}</p></section>",
+    f"<div id=cookie-banner><p>{NOISE}</p><p>{NOISE}</p></div><article>{BODY}</article>",
+    f"<article>{BODY}<div role=alert><p>{NOISE}</p></div></article>",
+    f"<div role=dialog><p>{NOISE}</p></div><main>{BODY}</main>",
+    f"<div role=banner><p>{NOISE}</p></div><div id=content>{BODY}</div>",
+    f"<div id=content>{BODY}<div role=complementary><p>{NOISE}</p></div></div>",
+    f"<main>{BODY}<div class='sponsored-content'><p>{NOISE}</p></div></main>",
+    f"<main>{BODY}<div id='login-form'><p>{NOISE}</p></div></main>",
+    f"<article>{BODY}<div class='comment-list'><div class=comment><p>{NOISE}</p></div></div></article>",
+    f"<article>{BODY}<section class='promo'><h2>More</h2><p>{NOISE}</p></section></article>",
+    f"<div class=sidebar-left><p>{NOISE}</p></div><article>{BODY}</article>",
+    f"<main>{BODY}</main><div class=disclaimer><p>{NOISE}</p></div>",
+    f"<main><div class=breadcrumb><p>Home, Town</p></div>{BODY}</main>",
+    f"<article>{BODY}<p class=advertisement>{NOISE}</p></article>",
+    f"<article>{BODY}<div class='gdpr consent'><p>{NOISE}</p><form><p>{NOISE}</p></form></div></article>",
+]
+
+
+def test_unseen_layouts(spark):
+    rows = read(spark, "pages").orderBy("page_id").limit(htmltext.TRAIN_PAGES).collect()
+    model = htmltext.train([r.html for r in rows])
+    wrong = [(k, t) for k, page in enumerate(LAYOUTS) if (t := htmltext.main_text(model, f"<html><body>{page}</body></html>")) != "\n".join(STORY)]
+    assert wrong == []
+
+
 def test_pages_query(spark):
     pages = {r.page_id: r for r in read(spark, "pages").collect()}
     rows = llm_queries()["op7_html_text"](spark, SF_DIR).collect()
