@@ -103,4 +103,7 @@ def parse_iso(text) -> Column:
     )
     sign = F.when(offset.startswith("-"), F.lit(1)).otherwise(F.lit(-1))
     shift = F.make_dt_interval(secs=(seconds * sign).cast("decimal(18,6)"))
-    return F.when(offset.isin("", "Z"), stamp).otherwise(stamp + shift)
+    general = F.when(offset.isin("", "Z"), stamp).otherwise(stamp + shift)
+    # The usual form needs no matching.
+    usual = F.translate(text, "123456789", "000000000") == "0000-00-00T00:00:00.000000"
+    return F.when(usual, text.try_cast("timestamp_ntz")).otherwise(general)

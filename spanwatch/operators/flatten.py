@@ -7,7 +7,7 @@ family is needed, and every line is parsed exactly once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanwatch.functions import (
@@ -106,6 +106,16 @@ def _family_sql(family: str) -> str:
     return spectra_sql() if family == "fft" else hub_sql(family)
 
 
+def _places() -> dict[str, Column]:
+    written = F.substring("stamp", 1, 10).try_cast("date")
+    return {"datetime": parse_iso("stamp"), "iso_year": iso_year(written), "iso_week": iso_week(written)}
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """Rows with a ``stamp`` with its time, and the week written in it, added."""
+    return rows.withColumns(_places())
+
+
 def parse_documents(documents: DataFrame, families: list[str] | None = None) -> DataFrame:
     """One typed row per document that states a time.
 
@@ -118,12 +128,11 @@ def parse_documents(documents: DataFrame, families: list[str] | None = None) ->
     """
     families = FAMILIES if families is None else families
     broken = F.expr("doc IS NULL AND trim(value) <> ''")
-    written = F.substring("stamp", 1, 10).try_cast("date")
+    places = _places()
     row = F.struct(
-        parse_iso("stamp").alias("datetime"),
+        places.pop("datetime").alias("datetime"),
         F.col("stamp"),
-        iso_year(written).alias("iso_year"),
-        iso_week(written).alias("iso_week"),
+        *[column.alias(name) for name, column in places.items()],
         *[F.expr(_family_sql(name)).alias(name) for name in families],
         F.when(broken, F.col("value")).alias("broken"),
     )

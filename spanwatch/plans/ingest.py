@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanwatch.model import HUBS
-from spanwatch.operators.flatten import accel_rows, fft_rows, parse_documents, quarantine, sst_rows
+from spanwatch.operators.flatten import accel_rows, fft_rows, parse_documents, placed, quarantine, sst_rows
+from spanwatch.operators.readings import SCHEMA, read_readings
 from spanwatch.session import scratch_path
 from spanwatch.sources.documents import keep_week
 from spanwatch.sources.statistics import update_statistics
@@ -24,10 +25,19 @@ def stage(documents: DataFrame, path: str) -> DataFrame:
     """Parse every line once and keep the typed rows at ``path``.
 
     The families are then read from columns of that table. It survives the loss of
-    executors, unlike a cache.
+    executors, unlike a cache. Plain documents are read in batches; the lines of the
+    others are kept beside them and parsed one by one.
     """
-    parse_documents(documents).write.parquet(path)
-    return documents.sparkSession.read.parquet(path)
+    spark = documents.sparkSession
+    rows = placed(read_readings(documents))
+    rows.write.parquet(f"{path}/plain")
+    read = spark.read.schema(rows.schema).parquet(f"{path}/plain")
+    others = parse_documents(read.where(F.col("line").isNotNull()).select(F.col("line").alias("value")))
+    others.write.parquet(f"{path}/others")
+    others = spark.read.schema(others.schema).parquet(f"{path}/others")
+    plain = read.where(F.col("line").isNull())
+    spectra = F.array().cast(others.schema["fft"].dataType)
+    return plain.select("*", spectra.alias("fft"), F.col("line").alias("broken")).drop("line").unionByName(others)
 
 
 def family_frames(parsed: DataFrame) -> dict[str, DataFrame]:
