@@ -281,8 +281,9 @@ def stream_ingest(spark, sf_dir):
 def stream_ingest_repeats(spark, sf_dir):
     """As ``stream_ingest`` with every file delivered twice, in batches of their own."""
     base = scratch_path(spark, "streamed")
-    for _ in range(2):
-        _all_documents(spark, sf_dir).coalesce(2).write.mode("append").text(f"{base}/in")
+    for delivery in range(2):
+        lines = documents.read_documents(spark, f"{base}/in") if delivery else _all_documents(spark, sf_dir)
+        lines.write.mode("append").text(f"{base}/in")
         stream = streamed.stream_ingest(spark, f"{base}/in", f"{base}/chunks", f"{base}/check", repeats_within="14 days")
         stream.awaitTermination()
         streamed.merge_chunks(spark, f"{base}/chunks", f"{base}/out")
