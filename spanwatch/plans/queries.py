@@ -251,8 +251,10 @@ def _all_documents(spark, sf_dir):
 @query
 def ingest_roundtrip(spark, sf_dir):
     base = scratch_path(spark, "ingested")
+    received = scratch_path(spark, "received")
+    _all_documents(spark, sf_dir).write.text(received)
     for _ in range(2):
-        ingest.ingest(spark, _all_documents(spark, sf_dir), base)
+        ingest.ingest(spark, documents.read_documents(spark, received), base)
     return _stored(spark, base)
 
 
