@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,6 +57,39 @@ def median_of_counts(counted: DataFrame, keys: list[str], name: str = "median",
     """Median per group from its value counts, and the mean if it is given a name."""
     value = F.col("_v").cast("double")
     classes = counted.groupBy(*keys, "_class").agg(F.sum("_n").alias("_n"), F.sum(value * F.col("_n")).alias("_sum"))
+    middle = _middle_classes(classes, keys, mean)
+    inside = (
+        counted.alias("l")
+        .join(middle.alias("r"), _same(counted, "l", "r", [*keys, "_class"]))
+        .select("l.*", "r._lower", "r._upper", *(["r._mean"] if mean else []))
+    )
+    return _ranked(inside, keys, name, mean)
+
+
+def median_of_rows(
+    rows: DataFrame, keys: list[str], value: str, name: str = "median", mean: str | None = None, keep: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """As :func:`median_of_counts`, from rows that are read twice: once to count the coarse
+    classes, and once for the values of the middle ones, so most values are never shuffled.
+    The rows of a group should lie together, as counting combines within a task. ``keep``
+    may write the middle classes and read them back: their size, one or two rows a group,
+    is then known when their join with the rows is planned."""
+    rows = rows.select(*keys, F.col(value).cast("float").alias("_v"))
+    rows = rows.withColumn("_class", coarse_class(F.col("_v")))
+    classes = rows.groupBy(*keys, "_class").agg(F.count("_v").alias("_n"), F.sum(F.col("_v").cast("double")).alias("_sum"))
+    middle = _middle_classes(classes, keys, mean)
+    middle = keep(middle) if keep else middle
+    carried = ["_lower", "_upper", *(["_mean"] if mean else [])]
+    met = rows.alias("l").join(middle.alias("r"), _same(rows, "l", "r", [*keys, "_class"])).select("l.*", *[f"r.{c}" for c in carried])
+    return _ranked(met.groupBy(*keys, "_class", "_v", *carried).agg(F.count("_v").alias("_n")), keys, name, mean)
+
+
+def _holds(rank: Column, before: Column) -> Column:
+    return (before < rank) & (rank <= F.col("_upto"))
+
+
+def _middle_classes(classes: DataFrame, keys: list[str], mean: str | None) -> DataFrame:
+    """The classes with the middle of each group, and its ranks counted from their start."""
     group = W.partitionBy(*keys)
     classes = classes.select(
         *keys,
@@ -68,25 +103,22 @@ def median_of_counts(counted: DataFrame, keys: list[str], name: str = "median",
     total = F.col("_total")
     lower, upper = F.floor((total + 1) / 2), F.floor(total / 2) + 1
 
-    def holds(rank: Column) -> Column:
-        return (before < rank) & (rank <= F.col("_upto"))
-
     carried = [F.when(total > 0, F.col("_all") / total).alias("_mean")] if mean else []
-    middle = classes.where(holds(lower) | holds(upper) | (total == 0)).select(
+    return classes.where(_holds(lower, before) | _holds(upper, before) | (total == 0)).select(
         *keys, "_class", (lower - before).alias("_lower"), (upper - before).alias("_upper"), *carried
     )
-    inside = (
-        counted.alias("l")
-        .join(middle.alias("r"), _same(counted, "l", "r", [*keys, "_class"]))
-        .select("l.*", "r._lower", "r._upper", *(["r._mean"] if mean else []))
-    )
+
+
+def _ranked(inside: DataFrame, keys: list[str], name: str, mean: str | None) -> DataFrame:
+    """Median per group from the counted values of its middle classes."""
     upto = F.sum("_n").over(W.partitionBy(*keys, "_class").orderBy("_v"))
+    before = F.col("_upto") - F.col("_n")
     found = (
         inside.withColumn("_upto", upto)
         .groupBy(*keys)
         .agg(
-            F.max(F.when(holds(F.col("_lower")), F.col("_v"))).alias("_a"),
-            F.max(F.when(holds(F.col("_upper")), F.col("_v"))).alias("_b"),
+            F.max(F.when(_holds(F.col("_lower"), before), F.col("_v"))).alias("_a"),
+            F.max(F.when(_holds(F.col("_upper"), before), F.col("_v"))).alias("_b"),
             *([F.max("_mean").alias(mean)] if mean else []),
         )
     )

@@ -67,7 +67,11 @@ SLOTS = len(SERIES)
 
 def hub_series(frame: DataFrame, columns: list[str], minutes: int) -> DataFrame:
     """One row per value: its series and bin as ``slot``, and the value."""
-    binned = frame.select(bin_number("datetime", minutes).alias("bin"), *columns)
+    return binned_series(frame.select(bin_number("datetime", minutes).alias("bin"), *columns), columns)
+
+
+def binned_series(binned: DataFrame, columns: list[str]) -> DataFrame:
+    """As :func:`hub_series`, from wide rows that have the number of their ``bin``."""
     pairs = ", ".join(f"{SERIES.index(c)}, {c}" for c in columns)
     values = binned.selectExpr("bin", f"stack({len(columns)}, {pairs}) AS (series, v)")
     # The rows have a time, so a slot is never null; the fallback lets the planner know.

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.functions import iso_week, iso_year, numbered_bin_start, strain_mm_per_m
+from spanwatch.functions import bin_number, iso_week, iso_year, numbered_bin_start, strain_mm_per_m
 from spanwatch.model import ACCELEROMETERS, HUB_SENSORS, HUBS, THERMOMETERS
-from spanwatch.operators.medians import median_of_counts, value_counts
+from spanwatch.operators.medians import median_of_rows
 from spanwatch.operators.partials import accel_minute_of_partials, merged_bins, of_sensors
-from spanwatch.operators.series import COLUMN_THERMOMETERS, SERIES, SLOTS, accel_minute, hub_series, strain_temp, temps_arch, temps_col
+from spanwatch.operators.series import COLUMN_THERMOMETERS, SERIES, SLOTS, accel_minute, binned_series, strain_temp, temps_arch, temps_col
 from spanwatch.operators.spectrum import THRESHOLD, fft_peak, fft_points, fft_union, frequency_counts, peak_of_counts
 from spanwatch.operators.timewindow import FULL_WINDOW, weeks_between, within
 from spanwatch.plans.ingest import ingest_week
@@ -69,19 +69,21 @@ def weekly_backfill(tables: Tables, minutes: int = 60, threshold: float = THRESH
     """One row per week, chart and sensor: points drawn, value range, peak frequency.
 
     This is the list of charts of every weekly report at once. Every table is read once:
-    the values of a hub are counted, which medians and means both come from, and the
-    frequencies of the spectra are; both counts are written, as they are read again.
+    the rows of a hub are brought together by bin and written, as medians and means read
+    them twice, and so are the counts of the frequencies of the spectra. A bin of many
+    rows is split, so a task holds what a part of the rebalance holds, whatever the input.
     With ``partials`` temperatures and accelerations are merged from these instead.
     """
-    counted = None
+    series = None
     for hub in HUBS:
         names = HUB_SENSORS[hub]["S"] + ([] if partials is not None else HUB_SENSORS[hub]["T"])
-        part = hub_series(within(tables[f"sst_{hub}"], FULL_WINDOW), names, minutes)
-        counted = part if counted is None else counted.unionByName(part)
-    counted = _stage(value_counts(counted, ["slot"], "v"), "value-counts")
+        wide = within(tables[f"sst_{hub}"], FULL_WINDOW).select(bin_number("datetime", minutes).alias("bin"), *names)
+        part = binned_series(_stage(wide.hint("rebalance", "bin"), f"binned-{hub}"), names)
+        series = part if series is None else series.unionByName(part)
     slot = F.col("slot")
     names = F.array(*[F.lit(name) for name in SERIES])
-    reduced = median_of_counts(counted, ["slot"], "median", mean="mean").select(
+    medians = median_of_rows(series, ["slot"], "v", "median", mean="mean", keep=lambda middle: _stage(middle, "middle-classes"))
+    reduced = medians.select(
         F.get(names, F.pmod(slot, F.lit(SLOTS)).cast("int")).alias("sensor_id"),
         numbered_bin_start(F.floor(slot / SLOTS), minutes).alias("bin_start"),
         "median",
