@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from spanwatch.operators.medians import coarse_class, exact_median
+from spanwatch.operators.medians import coarse_class, exact_median, median_of_rows
 
 
 def medians(spark, data):
@@ -71,3 +71,17 @@ def test_equals_the_middle_of_the_sorted_list(spark, groups):
     assert medians(spark, data) == got
     frame = spark.createDataFrame([(g, statistics.median(v)) for g, v in groups.items()], "g string, m double")
     assert got == {r.g: r.m for r in frame.select("g", F.col("m").cast("float").alias("m")).collect()}
+
+
+def test_medians_of_rows_shuffle_middle_values_only(spark):
+    data = [("holes", None), ("holes", 7.0), ("empty", None), (None, 8.0), (None, 9.0), ("nan", math.nan), ("nan", 1.0), ("zero", -0.0), ("zero", 0.0)]
+    data += [("many", float(k * k % 1009) / 7) for k in range(500)]
+    frame = spark.createDataFrame(data, "g string, v float")
+    kept = []
+    found = median_of_rows(frame, ["g"], "v", mean="mean", keep=lambda middle: kept.append(middle) or middle)
+    got = {r.g: r for r in found.collect()}
+    expected = {r.g: r.median for r in exact_median(frame, ["g"], "v").collect()}
+    assert {g: str(r["median"]) for g, r in got.items()} == {g: str(m) for g, m in expected.items()}
+    assert got["empty"]["mean"] is None and got[None]["mean"] == 8.5 and got["holes"]["mean"] == 7.0
+    # One or two classes a group are what the rows are joined with.
+    assert kept[0].count() <= 2 * len(expected)
