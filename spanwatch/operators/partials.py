@@ -17,7 +17,7 @@ from spanwatch.model import ACCELEROMETERS, HUBS, sst_columns
 from spanwatch.operators.series import GRID_DAYS
 from spanwatch.operators.timewindow import Window, within
 from spanwatch.sources.statistics import in_weeks
-from spanwatch.sources.store import WEEK, read_table, replace_weeks
+from spanwatch.sources.store import WEEK, no_rows, read_table, replace_weeks
 
 SCHEMA = (
     "datetime timestamp_ntz, sensor_id string, n bigint, total double, least double, greatest double, "
@@ -72,7 +72,7 @@ def read_partials(spark: SparkSession, base: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], SCHEMA)
+        return no_rows(spark, SCHEMA)
 
 
 def of_sensors(partials: DataFrame, sensors: list[str], window: Window | None = None) -> DataFrame:

@@ -730,7 +730,8 @@ def partial_day_range(spark, sf_dir):
 @query
 def partial_backfill(spark, sf_dir):
     base, parts = _partials(spark, sf_dir, partials.KEYS)
-    charts = weekly.weekly_backfill(standin.tables(spark, sf_dir), partials=parts)
+    tables = {**standin.tables(spark, sf_dir, FFT), **{key: store.read_table(spark, base, key) for key in partials.KEYS}}
+    charts = weekly.weekly_backfill(tables, partials=parts, together=True)
     return rounded(charts, "value_min", "value_max", "f_peak")
 
 

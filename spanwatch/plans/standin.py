@@ -16,6 +16,7 @@ used. ``plans/oracle.py`` states the same derivation in SQL.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -145,9 +146,15 @@ def tables(spark: SparkSession, sf_dir: str, keys: list[str] = TABLE_KEYS) -> di
 
 
 def store(spark: SparkSession, sf_dir: str, base: str, keys: list[str] = TABLE_KEYS) -> None:
-    """The tables written as weekly tables below ``base``, with their week statistics."""
-    for key in keys:
+    """The tables written as weekly tables below ``base``, with their week statistics.
+
+    They are written side by side: a table of few weeks has few tasks at a time."""
+
+    def write(key: str) -> None:
         merge_weeks(with_week(table(spark, sf_dir, key)), table_path(base, key))
+
+    with ThreadPoolExecutor(len(keys)) as pool:
+        list(pool.map(write, keys))
     update_statistics(spark, base, keys=keys)
 
 

@@ -65,7 +65,9 @@ def _charts(frame: DataFrame, chart: Column, low: str, high: str) -> DataFrame:
     )
 
 
-def weekly_backfill(tables: Tables, minutes: int = 60, threshold: float = THRESHOLD, partials: DataFrame | None = None) -> DataFrame:
+def weekly_backfill(
+    tables: Tables, minutes: int = 60, threshold: float = THRESHOLD, partials: DataFrame | None = None, together: bool = False
+) -> DataFrame:
     """One row per week, chart and sensor: points drawn, value range, peak frequency.
 
     This is the list of charts of every weekly report at once. Every table is read once:
@@ -73,12 +75,14 @@ def weekly_backfill(tables: Tables, minutes: int = 60, threshold: float = THRESH
     them twice, and so are the counts of the frequencies of the spectra. A bin of many
     rows is split, so a task holds what a part of the rebalance holds, whatever the input.
     With ``partials`` temperatures and accelerations are merged from these instead.
+    With ``together`` the tables are stored ones, whose files are sorted by time: the rows
+    of a bin lie together already, and the tables are read twice instead of being written.
     """
     series = None
     for hub in HUBS:
         names = HUB_SENSORS[hub]["S"] + ([] if partials is not None else HUB_SENSORS[hub]["T"])
         wide = within(tables[f"sst_{hub}"], FULL_WINDOW).select(bin_number("datetime", minutes).alias("bin"), *names)
-        part = binned_series(_stage(wide.hint("rebalance", "bin"), f"binned-{hub}"), names)
+        part = binned_series(wide if together else _stage(wide.hint("rebalance", "bin"), f"binned-{hub}"), names)
         series = part if series is None else series.unionByName(part)
     slot = F.col("slot")
     names = F.array(*[F.lit(name) for name in SERIES])

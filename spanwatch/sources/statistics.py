@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spanwatch.model import ACCELEROMETERS, TABLE_KEYS, hub_of, sst_columns
 from spanwatch.session import scratch_path
-from spanwatch.sources.store import WEEK, read_table, remove_path
+from spanwatch.sources.store import WEEK, no_rows, read_table, remove_path
 
 SCHEMA = (
     "table_key string, iso_year int, iso_week int, sensor_id string, n_rows bigint, "
@@ -83,7 +83,7 @@ def read_statistics(spark: SparkSession, base: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], SCHEMA)
+        return no_rows(spark, SCHEMA)
 
 
 def in_weeks(frame: DataFrame, weeks: list[tuple[int, int]]) -> DataFrame:

@@ -91,22 +91,34 @@ def replace_weeks(rows: DataFrame, path: str, touched: list[tuple[int, int]], pa
     """As :func:`merge_weeks`, and empty those of the ``touched`` weeks without rows.
 
     ``touched`` are the weeks of a run, a list the calendar bounds. Partition columns
-    before the week, such as the hub, are looked up in the table's folders.
+    before the week, such as the hub, are looked up in the table's folders. Every write
+    gives its files names of their own, so a folder that still holds the same files has
+    no rows in ``rows``, which are not computed a second time to tell.
     """
+    before = _week_files(rows.sparkSession, path, touched, partitions)
     merge_weeks(rows, path, partitions)
-    spark = rows.sparkSession
+    for folder, names in _week_files(rows.sparkSession, path, touched, partitions).items():
+        if names == before.get(folder):
+            remove_path(rows.sparkSession, folder)
+
+
+def _week_files(spark: SparkSession, path: str, weeks: list[tuple[int, int]], partitions: list[str]) -> dict[str, set[str]]:
+    """The folders of some weeks and the names of the files in them."""
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    written = {tuple(r) for r in rows.select(*[F.col(c).cast("string") for c in partitions]).distinct().collect()}
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     above = "/".join(f"{name}=*" for name in partitions if name not in WEEK)
-    for year, week in touched:
+    found = {}
+    for year, week in weeks:
         pattern = "/".join(p for p in (path, above, f"iso_year={year}", f"iso_week={week}") if p)
         for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []:
-            folder = status.getPath().toString()
-            values = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
-            if tuple(values[c] for c in partitions) not in written:
-                files.delete(status.getPath(), True)
+            held = files.listStatus(status.getPath())
+            found[status.getPath().toString()] = {f.getPath().getName() for f in held}
+    return found
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty frame that starts no Python worker."""
+    return spark.range(0).select(F.from_json(F.lit(None).cast("string"), schema).alias("r")).select("r.*")
 
 
 def empty_table(spark: SparkSession, key: str) -> DataFrame:

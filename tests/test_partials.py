@@ -2,6 +2,7 @@
 
 import math
 import random
+import threading
 from datetime import timedelta
 
 import pytest
@@ -22,6 +23,7 @@ from spanwatch.operators.partials import (
 from spanwatch.operators.series import accel_daily_grid, accel_day_range, accel_minute, mean_series
 from spanwatch.operators.sketches import merged_medians, minute_sketches, rank_error
 from spanwatch.operators.timewindow import FULL_WINDOW
+from spanwatch.plans import standin, weekly
 from spanwatch.plans.weekly import weekly_backfill
 from spanwatch.sources.store import merge_weeks, read_table, replace_weeks, table_path, with_week
 
@@ -121,3 +123,45 @@ def test_sketches_merge_within_their_error(spark):
     rank = sum(v <= month["T4"].median for v in values) / len(values)
     assert abs(rank - 0.5) <= 2 * rank_error() + 1e-4 and 0.013 < rank_error() < 0.0135
     assert minute_sketches(frame.limit(0), ["T4"]).count() == 0 and FULL_WINDOW == (None, None)
+
+
+def test_backfill_of_stored_tables_writes_no_rows_of_hubs(spark, tmp_path, monkeypatch):
+    base, stored = str(tmp_path), {}
+    for key, frame in tables(spark, sst_hub1=records()).items():
+        merge_weeks(with_week(frame), table_path(base, key))
+        stored[key] = read_table(spark, base, key)
+    order = ["iso_year", "iso_week", "chart", "sensor_id"]
+    want = rows(weekly_backfill(stored), *order)
+    staged, stage = [], weekly._stage
+    monkeypatch.setattr(weekly, "_stage", lambda frame, name: staged.append(name) or stage(frame, name))
+    assert near(rows(weekly_backfill(stored, together=True), *order), want)
+    assert staged and not [name for name in staged if name.startswith("binned")]
+
+
+def test_replacing_weeks_computes_the_rows_once(spark, tmp_path):
+    path, seen = str(tmp_path / "sst_hub1"), spark.sparkContext.accumulator(0)
+    stored = lambda: rows(spark.read.parquet(path).select("T4"), "T4")
+    frame = with_week(table(spark, "sst_hub1", [{"datetime": at(s), "T4": v} for s, v in (("2025-12-01", 1.0), ("2025-12-08", 2.0))]))
+    replace_weeks(frame, path, [(2025, 49), (2025, 50)])
+    assert stored() == [(1.0,), (2.0,)]
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    replace_weeks(frame.where("T4 > 1").mapInArrow(counted, frame.schema), path, [(2025, 49), (2025, 50)])
+    assert seen.value == 1 and stored() == [(2.0,)]
+    replace_weeks(frame.where("T4 > 1"), path, [(2025, 50)])
+    assert stored() == [(2.0,)]
+
+
+def test_tables_are_stored_side_by_side(spark, tmp_path, monkeypatch):
+    meet = threading.Barrier(2, timeout=60)
+    merge = standin.merge_weeks
+    monkeypatch.setattr(standin, "merge_weeks", lambda frame, path: meet.wait() + 1 and merge(frame, path))
+    frames = tables(spark, sst_hub1=records(), sst_hub2=[{"datetime": at("2025-12-01"), "T1": 1.0}])
+    monkeypatch.setattr(standin, "table", lambda spark, sf_dir, key: frames[key])
+    standin.store(spark, "", str(tmp_path), ["sst_hub1", "sst_hub2"])
+    for key in ("sst_hub1", "sst_hub2"):
+        assert read_table(spark, str(tmp_path), key).count() == frames[key].count()
