@@ -158,7 +158,7 @@ def refresh_reports(spark: SparkSession, base: str, weeks: set[tuple[int, int]]
     for key, frame in read_tables(spark, base, weeks=True).items():
         rows = in_weeks(frame, filed).where((iso_year("datetime") * 100 + iso_week("datetime")).isin(listed))
         tables[key] = rows.drop(*WEEK)
-    charts = _stage(weekly_backfill(tables, minutes, threshold), "report")
+    charts = _stage(weekly_backfill(tables, minutes, threshold, together=True), "report")
     held = {tuple(r) for r in charts.select(*WEEK).distinct().collect()}
     (
         charts.repartition(*WEEK)
