@@ -415,6 +415,52 @@ def test_matches_are_the_same_over_small_batches_and_blocks(spark, monkeypatch):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
 
 
+@pytest.mark.parametrize(("copies", "tile"), [(1, None), (40, None), (40, 16)])
+def test_pair_with_other_holders_of_its_seeds_is_found(spark, monkeypatch, copies, tile):
+    """Every seed of the passage also stands in texts before and between the two."""
+    if tile:
+        monkeypatch.setattr(passages, "TILE", tile)
+    rng = random.Random(25)
+    passage = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    filler = lambda n: " ".join(f"f{rng.randrange(10**9)}" for _ in range(n))
+
+    def pieces():
+        parts = [" ".join(passage[k : k + 13]) for k in range(0, 60, 7)]
+        rng.shuffle(parts)
+        return " ".join(f"{p} {filler(60)}" for p in parts)
+
+    both = [f"{filler(70)} {' '.join(replaced(rng, passage, k))} {filler(70)}" for k in (0, 4)]
+    texts = [*(pieces() for _ in range(copies)), both[0], *(pieces() for _ in range(copies)), both[1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = passages.shared_passages(stored(docs, "texts")).collect()
+    assert {(r.doc_id, r.other_id) for r in found} == {(copies, 2 * copies + 1), (2 * copies + 1, copies)}
+    assert all(65 <= r.start <= 75 and 125 <= r.end <= 135 and r.similarity >= 0.8 for r in found)
+
+
+def test_joining_pairs_match_all_pairs(monkeypatch):
+    rng = np.random.default_rng(26)
+    for cells in (1, 1 << 15):
+        monkeypatch.setattr(passages, "CELLS", cells)
+        for _ in range(30):
+            n = int(rng.integers(2, 60))
+            forms = rng.integers(1, 1 << 16, (4, 36), np.uint16)
+            words = forms[rng.integers(0, 4, n)]
+            other = rng.random((n, 36)) < rng.choice((0.05, 0.15, 0.3), (n, 1))
+            words = np.where(other, rng.integers(1, 1 << 16, (n, 36), np.uint16), words)
+            words[np.arange(36) < rng.choice((0, 0, 5, 20), (n, 1))] = 0
+            row, tile = rng.integers(0, n, n), rng.integers(0, 2, n)
+            pairs = []
+            for i, j in itertools.combinations(range(n), 2):
+                equal = np.flatnonzero((words[i] == words[j]) & (words[i] != 0))
+                holds = any(equal[t] - equal[s] >= 19 and t - s + 1 >= 0.8 * (equal[t] - equal[s] + 1) for s, t in itertools.combinations(range(len(equal)), 2))
+                assert passages.holding(words, np.array([i]), np.array([j]), 0.8, 20)[0] == holds
+                if holds and row[i] != row[j] and (tile.min() == tile.max() or tile[i] != tile[j]):
+                    pairs.append((i, j))
+            found = passages.joining(words, row, tile, 0.8, 20)
+            assert set(found) <= set(pairs) and len(found) < n
+            assert components(range(n), found) == components(range(n), pairs)
+
+
 def test_passages_query_finds_exact_repeats(spark):
     docs = read(spark, "documents").collect()
     runs = {}
