@@ -133,7 +133,8 @@ def _looked_up(filed: DataFrame) -> DataFrame:
 def _stars(filed: DataFrame) -> DataFrame:
     """Links to a few centres of every key: linear in the filed rows."""
     centres = filed.groupBy("key").agg(F.max_by("fp", F.struct("n", "fp")).alias("c0"), F.min("fp").alias("c1"), F.max("fp").alias("c2"), F.count(F.lit(1)).alias("filed"))
-    joined = filed.join(centres.filter("filed > 1"), "key")
+    # Spark sizes filed rows by their table before the explode, so it is told not to broadcast.
+    joined = filed.hint("merge").join(centres.filter("filed > 1"), "key")
     pairs = joined.select("fp", F.explode(F.array_distinct(F.array("c0", "c1", "c2"))).alias("centre"))
     near = (F.col("fp") != F.col("centre")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= MAX_BITS)
     return pairs.filter(near).select(F.col("fp").alias("a"), F.col("centre").alias("b"))
@@ -162,7 +163,8 @@ def links(classes: DataFrame) -> DataFrame:
         within &= F.bit_count(differ.bitwiseAND(F.lit(_chain_mask(start, 4)))) <= 3
         chain |= (F.col("start") == start) & within
     near = (F.col("part") != F.col("other_part")) & chain & (F.bit_count(differ) <= MAX_BITS)
-    rest = own.join(other, "key").filter(near & (F.col("fp") < F.col("other"))).select(F.col("fp").alias("a"), F.col("other").alias("b"))
+    # Looked-up rows are some seventy times those Spark sizes them by: never broadcast.
+    rest = own.hint("merge").join(other.hint("merge"), "key").filter(near & (F.col("fp") < F.col("other"))).select(F.col("fp").alias("a"), F.col("other").alias("b"))
     return stars.unionByName(rest)
 
 
@@ -179,7 +181,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     named = classes.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("component", "fp").alias("part"))
     least = named.groupBy("part").agg(F.min("first").alias("component_id"))
     by_fp = named.join(least, "part").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
+    # One row per text on one side, one per fingerprint on the other: both grow with the input.
+    return rows.hint("merge").join(by_fp, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
 
 
 def drop_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

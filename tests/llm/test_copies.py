@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 from corpus import SF_DIR, components, no_docs, odd_docs, read, sentence
+from pyspark.sql import functions as F
 
 from spanwatch.llm import components as comp
 from spanwatch.llm import neighbours, passages, simhash, suffixes
@@ -59,6 +60,14 @@ def test_every_pair_within_four_bits_is_linked(spark):
     assert {p: found.get(p, p) for p in signed} == components(signed, near)
 
 
+def test_filed_and_looked_up_fingerprints_are_not_broadcast(spark):
+    # Small tables by Spark's reckoning, which does not count what an explode adds.
+    classes = stored(spark.range(200).select(F.xxhash64("id").alias("fp"), F.lit(1).cast("long").alias("n")), "few-classes")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    for frame in (simhash._stars(simhash._filed(classes)), simhash.links(classes)):
+        assert "Broadcast" not in frame._jdf.queryExecution().explainString(mode)
+
+
 def test_simhash_of_odd_rows(spark):
     docs = odd_docs(spark)
     rows = simhash.near_duplicates(docs).collect()
