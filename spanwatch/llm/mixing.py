@@ -149,7 +149,8 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
             extra = extra.unionByName(more)
     else:
         extra = parted.select("row", F.lit(0).cast("long").alias("extra")).limit(0)
-    taken = parted.join(extra, "row", "left").withColumn("copies", (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("long"))
+    # Spark sizes the texts of the blocks by the blocks' table, so it is told not to broadcast them.
+    taken = parted.join(extra.hint("merge"), "row", "left").withColumn("copies", (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("long"))
     return taken.select(
         F.col("id").alias(id_column), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", F.col("source").alias(source_column)
     )

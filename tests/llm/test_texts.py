@@ -73,6 +73,13 @@ def test_mix_of_odd_rows(spark):
     assert [(r.taken, r.target) for r in mixing.mix(blank).collect()] == [(0, 0.0)] * 2
 
 
+def test_texts_of_blocks_are_not_broadcast(spark):
+    # Their blocks are a small table by Spark's reckoning.
+    docs = spark.createDataFrame([(i, "word " * (i % 7 + 1), "s") for i in range(300)], "doc_id long, text string, source string")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    assert "Broadcast" not in mixing.mix(docs, block=16)._jdf.queryExecution().explainString(mode)
+
+
 def test_copies_are_unbiased(spark):
     """Expected copies of every text are its share, over many seeds."""
     docs = spark.createDataFrame([(i, "w " * (3 + i % 4), "one" if i < 12 else "two") for i in range(24)], "doc_id long, text string, source string")
