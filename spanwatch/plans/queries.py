@@ -281,11 +281,13 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_ingest_repeats(spark, sf_dir):
-    """As ``stream_ingest`` with every file delivered twice, in batches of their own."""
+    """As ``stream_ingest`` with every file delivered twice, in batches of their own.
+
+    The files are compressed, as all of both deliveries lie there to the end."""
     base = scratch_path(spark, "streamed")
     for delivery in range(2):
         lines = documents.read_documents(spark, f"{base}/in") if delivery else _all_documents(spark, sf_dir)
-        lines.write.mode("append").text(f"{base}/in")
+        lines.write.mode("append").option("compression", "gzip").text(f"{base}/in")
         stream = streamed.stream_ingest(spark, f"{base}/in", f"{base}/chunks", f"{base}/check", repeats_within="14 days")
         stream.awaitTermination()
         streamed.merge_chunks(spark, f"{base}/chunks", f"{base}/out")

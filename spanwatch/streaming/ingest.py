@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from spanwatch.llm.scratch import release
 from spanwatch.plans.ingest import FAMILY_PARTITIONS, family_frames, stage, write_quarantine
 from spanwatch.session import scratch_path
 from spanwatch.sources.statistics import update_statistics
@@ -37,6 +38,8 @@ def _write_batch(documents: DataFrame, batch: int, chunks: str) -> None:
         mark.coalesce(1).write.mode("overwrite").parquet(f"{chunks}/written/ingest_batch={batch}")
     finally:
         remove_path(spark, path)
+        # The lines a batch before this one was dealt by are as large as its files.
+        release(spark)
 
 
 def stream_ingest(
@@ -122,4 +125,5 @@ def merge_chunks(spark: SparkSession, chunks: str, base: str) -> list[tuple[int,
     old = written.where(F.col("batch") < last).select("batch").collect()
     for row in old:
         remove_path(spark, f"{chunks}/written/ingest_batch={row.batch}")
+    release(spark)
     return sorted(every)

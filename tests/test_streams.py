@@ -6,8 +6,10 @@ import os
 from helpers import at, lines, rows, table
 
 from spanwatch.operators.series import accel_minute
+from spanwatch.plans import queries
 from spanwatch.plans.ingest import ingest
 from spanwatch.plans.weekly import ingest_and_report, read_reports, refresh_reports, report_path, weekly_backfill
+from spanwatch.session import shared_folder
 from spanwatch.sources.statistics import read_statistics
 from spanwatch.sources.store import read_table, read_tables
 from spanwatch.streaming import late
@@ -91,6 +93,19 @@ def test_repeated_deliveries(spark, tmp_path):
     assert len([n for n in os.listdir(f"{chunks}/written") if n.startswith("ingest_batch")]) == 1
 
 
+def test_both_deliveries_lie_compressed(spark, tmp_path):
+    spark.sql("select id as event_id, timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(id as int)) as ts, 'view' as event_type, id / 2D as value, '{\"k\": 3}' as props from range(60)").write.parquet(str(tmp_path / "events.parquet"))
+    spark.sql("select id as vec_id, array(1f, 2f, 4f) as embedding, cast(id as int) as label from range(4)").write.parquet(str(tmp_path / "embeddings.parquet"))
+    folder = f"{shared_folder(spark)}/spanwatch"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    assert queries.all_queries()["stream_ingest_repeats"](spark, str(tmp_path)).count() == 9
+    (made,) = [n for n in os.listdir(folder) if n.startswith("streamed-") and n not in before]
+    received = [r.value for r in spark.read.text(f"{folder}/{made}/in").collect()]
+    assert len(received) == 128 and len(set(received)) == 64
+    held = sum(os.path.getsize(f"{folder}/{made}/in/{n}") for n in os.listdir(f"{folder}/{made}/in") if n.startswith("part-"))
+    assert 3 * held < sum(len(line) for line in received)
+
+
 def test_a_late_document_refreshes_its_week_only(spark, tmp_path):
     base = str(tmp_path / "weekly")
     texts = [document(f"2025-{d}T00:00:00", float(i)) for i, d in enumerate(("11-25", "11-26", "12-02", "12-03", "12-09", "12-10"))]
