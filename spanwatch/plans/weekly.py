@@ -72,8 +72,8 @@ def weekly_backfill(
 
     This is the list of charts of every weekly report at once. Every table is read once:
     the rows of a hub are brought together by bin and written, as medians and means read
-    them twice, and so are the counts of the frequencies of the spectra. A bin of many
-    rows is split, so a task holds what a part of the rebalance holds, whatever the input.
+    them twice, and so are the counts of the frequencies of the spectra and the few rows
+    of the charts of medians and means. A bin of many rows is split, so a task holds what a part of the rebalance holds, whatever the input.
     With ``partials`` temperatures and accelerations are merged from these instead.
     With ``together`` the tables are stored ones, whose files are sorted by time: the rows
     of a bin lie together already, and the tables are read twice instead of being written.
@@ -97,7 +97,7 @@ def weekly_backfill(
     value = F.when(gauge, strain_mm_per_m(F.col("median"))).otherwise(F.col("mean"))
     reduced = _weeks_of(reduced.withColumn("value", value), "bin_start")
     temps = F.when(F.col("sensor_id").isin(COLUMN_THERMOMETERS), "temps_col").otherwise("temps_arch")
-    charts = _charts(reduced, F.when(gauge, "strain_temp").otherwise(temps), "value", "value")
+    charts = _stage(_charts(reduced, F.when(gauge, "strain_temp").otherwise(temps), "value", "value"), "charts")
     if partials is None:
         minutely = accel_minute(tables["accel_all"], window=FULL_WINDOW)
     else:
