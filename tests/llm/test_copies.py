@@ -424,6 +424,33 @@ def test_matches_are_the_same_over_small_batches_and_blocks(spark, monkeypatch):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
 
 
+def test_all_occurrences_of_frequent_seeds_are_matched(spark, monkeypatch):
+    rng = random.Random(31)
+    line = sentence(rng, 12)
+    texts = [f"{sentence(rng, 8)} {line} {sentence(rng, 8)} {line if k % 3 == 0 else ''} {line if k % 6 == 0 else ''}" for k in range(45)]
+    docs = stored(spark.createDataFrame([(k, t, k) for k, t in enumerate(texts)], "id long, text string, row long").coalesce(3), "texts")
+    where = {}
+    for k, text in enumerate(texts):
+        for h, x in zip(*passages.seeds(passages.word_hashes(text, suffixes.Hasher(0, suffixes.SEGMENT))), strict=True):
+            where.setdefault(int(h), []).append((k, int(x)))
+    assert any(len(v) > passages.FEW for v in where.values())
+    want = {(i, j, x, y) for v in where.values() for i, x in v for j, y in v if i > j}
+    for part in (passages.PART, 7):
+        monkeypatch.setattr(passages, "PART", part)
+        assert {(r.row, r.other, r.x, r.y) for r in passages.matches(docs).collect() if r.y >= 0} == want
+
+
+def test_all_pairs_of_texts_with_a_passage_are_found(spark):
+    rng = random.Random(32)
+    passage = sentence(rng, 60).split()
+    # A word more in some, so that windows around a seed alone do not show the passage.
+    forms = [[*passage[: 24 + k // 3], "more", *passage[24 + k // 3 :]] if k % 2 else passage for k in range(36)]
+    texts = [" ".join([sentence(rng, 20), *form, sentence(rng, 20)]) for form in forms]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.other_id) for r in passages.shared_passages(stored(docs, "texts")).collect()}
+    assert found == {(i, j) for i in range(36) for j in range(36) if i != j}
+
+
 @pytest.mark.parametrize(("copies", "tile"), [(1, None), (40, None), (40, 16)])
 def test_pair_with_other_holders_of_its_seeds_is_found(spark, monkeypatch, copies, tile):
     """Every seed of the passage also stands in texts before and between the two."""
